@@ -1,4 +1,4 @@
-"""Labels and bars of the printed reports."""
+"""Labels, bars and shard names of the printed reports."""
 
 from __future__ import annotations
 
@@ -22,3 +22,8 @@ def bar(count: Column, total: Column, width: int = 50) -> Column:
 
 def mebibytes(n_bytes: Column) -> Column:
     return n_bytes / F.lit(1024 * 1024)
+
+
+def shard_label(path: Column) -> Column:
+    """File name, preceded by its ``shard=N`` folder where there is one."""
+    return F.regexp_extract(path, r"((?:[^/=]+=[^/=]+/)?[^/]+)$", 1)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ordering import whole_div
 from ..functions.patterns import TermList, matches_any
+from ..functions.strictjson import parse_single
 from ..runtime import spread
 from .filters import is_safe_verdict
 
@@ -37,7 +38,7 @@ def topic_grid(topics: DataFrame, variations: int = VARIATIONS, topic: str = "to
 def extract_messages(reply: Column) -> Column:
     """Parse the span from the first "[" to the last "]"; null if there is none or it is broken."""
     found = F.regexp_extract(reply, r"(?s)\[.*\]", 0)
-    return F.from_json(F.nullif(found, F.lit("")), MESSAGES)
+    return parse_single(F.nullif(found, F.lit("")), MESSAGES)
 
 
 def messages_valid(messages: Column) -> Column:

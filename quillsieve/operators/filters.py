@@ -45,7 +45,8 @@ def audience_allowed(
             rules.setdefault(tuple(sorted({w.lower() for w in wanted})), []).append(name)
     for wanted, names in rules.items():
         allowed = allowed | (subset.isin(names) & normal.isin(list(wanted)))
-    return allowed
+    # Implied by the rules, but unlike them it can be pushed into the scan.
+    return subset.isin(list(subsets)) & allowed
 
 
 def audience_filter(

@@ -181,6 +181,16 @@ def shard_ends(
             thresholds = np.where(inside, values[np.minimum(at, len(values) - 1)] + target, thresholds)
         return pd.DataFrame({"block": key[0], "entry": entries, "exit": thresholds})
 
+    def compose_at(width: int):
+        def compose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            parts = [(entries, exits) for _, entries, exits in in_order(pdf)]
+            entries = reachable(np.concatenate([e for e, _ in parts]), key[0] * width)
+            return pd.DataFrame(
+                {"block": key[0], "entry": entries, "exit": walk_thresholds(parts, entries)}
+            )
+
+        return compose
+
     map_schema = "block bigint, entry bigint, exit bigint"
     levels: list[DataFrame] = []
     if n_blocks > 1:
@@ -189,17 +199,9 @@ def shard_ends(
     while groups > chain_blocks:
         width *= chain_blocks
         groups = -(-groups // chain_blocks)
-        group_width = width
-
-        def compose(key: tuple, pdf: pd.DataFrame, group_width: int = group_width) -> pd.DataFrame:
-            parts = [(entries, exits) for _, entries, exits in in_order(pdf)]
-            entries = reachable(np.concatenate([e for e, _ in parts]), key[0] * group_width)
-            return pd.DataFrame(
-                {"block": key[0], "entry": entries, "exit": walk_thresholds(parts, entries)}
-            )
-
         grouped = levels[-1].withColumn("group", whole_div(F.col("block"), chain_blocks))
-        levels.append(materialize(grouped.groupBy("group").applyInPandas(compose, map_schema), "maps"))
+        composed = grouped.groupBy("group").applyInPandas(compose_at(width), map_schema)
+        levels.append(materialize(composed, "maps"))
 
     def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
         threshold = np.array([pdf["threshold"].iloc[0]])

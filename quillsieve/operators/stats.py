@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ordering import whole_div
-from ..functions.reporting import bar, mebibytes, range_label
+from ..functions.reporting import bar, mebibytes, range_label, shard_label
 from ..functions.textnorm import CHARS_PER_TOKEN, pattern_tokens
 from ..runtime import materialize
 from .packing import sample_rows
@@ -19,14 +19,15 @@ TOKEN_SAMPLE = 1000
 def shard_stats(docs: DataFrame, row_groups: DataFrame | None = None) -> DataFrame:
     """Documents, characters and size per shard file.
 
-    ``docs`` has ``name``, ``text`` and ``file_size`` (see scan_shards); the
-    optional ``row_groups`` table comes from the footer reader.
+    ``docs`` comes from scan_shards; the optional ``row_groups`` table comes
+    from the footer reader.
     """
-    stats = docs.groupBy("name").agg(
+    per_file = docs.groupBy("path").agg(
         F.count(F.lit(1)).alias("docs"),
         F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("chars"),
         mebibytes(F.max("file_size")).alias("size_mb"),
     )
+    stats = per_file.withColumn("path", shard_label(F.col("path"))).withColumnRenamed("path", "name")
     return stats if row_groups is None else stats.join(row_groups, "name", "left")
 
 

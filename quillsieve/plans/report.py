@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.reporting import shard_label
 from ..functions.textnorm import pattern_tokens
 from ..operators.stats import corpus_report, shard_stats, token_estimate
-from ..sources.shards import footers, scan_shards, shard_files, shard_label
+from ..sources.shards import footers, scan_shards, shard_files
 
 
 def footer_groups(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.reporting import shard_label
 from ..functions.textnorm import is_empty
 from ..operators.packing import ROW_GROUP_ROWS
 
@@ -14,18 +15,15 @@ from ..operators.packing import ROW_GROUP_ROWS
 MAX_WRITE_TASKS = 200_000
 
 
-def shard_label(path: Column) -> Column:
-    """File name, preceded by its ``shard=N`` folder where there is one."""
-    return F.regexp_extract(path, r"((?:[^/=]+=[^/=]+/)?[^/]+)$", 1)
-
-
 def scan_shards(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``name, text, file_size`` of every shard file; unused columns are never read."""
+    """``path, name, text, file_size`` of every shard file; unused columns are never read."""
     reader = spark.read.schema("text string")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    located = F.col("_metadata.file_path")
     return reader.parquet(path).select(
-        shard_label(F.col("_metadata.file_path")).alias("name"),
+        located.alias("path"),
+        shard_label(located).alias("name"),
         "text",
         F.col("_metadata.file_size").alias("file_size"),
     )
@@ -129,9 +127,13 @@ def validate_shards(
             .option("recursiveFileLookup", "true")
             .option("ignoreCorruptFiles", "true")
             .parquet(path)
-            .select(shard_label(F.col("_metadata.file_path")).alias("name"), "text")
+            .select(F.col("_metadata.file_path").alias("file"), "text")
+        )
+        empty = (
+            texts.groupBy("file")
+            .agg(F.count_if(is_empty(F.col("text"))).alias("empty"))
+            .select(shard_label(F.col("file")).alias("name"), "empty")
         )
-        empty = texts.groupBy("name").agg(F.count_if(is_empty(F.col("text"))).alias("empty"))
         facts = facts.join(empty, "name", "left")
     else:
         facts = facts.withColumn("empty", F.lit(None).cast("bigint"))

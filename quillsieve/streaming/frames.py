@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.strictjson import parse_single
 from ..functions.textnorm import FRAME_WHITESPACE, strip
 from ..operators.dialogues import joined_text
 
@@ -20,7 +21,7 @@ def frame_token(line: Column) -> Column:
     """Token of an event line; null for other lines, the end mark, and broken or empty payloads."""
     trimmed = strip(line, FRAME_WHITESPACE)
     payload = strip(F.substring(trimmed, len(DATA_PREFIX) + 1, 1 << 30), FRAME_WHITESPACE)
-    token = F.from_json(payload, "token string")["token"]
+    token = parse_single(payload, "struct<token:string>")["token"]
     usable = trimmed.startswith(DATA_PREFIX) & (payload != END_PAYLOAD)
     return F.when(usable, F.nullif(token, F.lit("")))
 
