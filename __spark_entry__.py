@@ -112,12 +112,12 @@ def written_shards(spark: SparkSession, sf_dir: str) -> str:
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model replies: the dialogue inside prose; those opened by "system" lose their last bracket."""
-    nested = dialogues.conversation_messages(table(spark, sf_dir, "conversations"))
-    body = F.to_json("messages")
-    cut = F.when(
-        F.get("messages", F.lit(0))["role"] == "system", F.expr("left(body, length(body) - 1)")
-    ).otherwise(F.col("body"))
-    return nested.withColumn("body", body).select(
+    listed = dialogues.conversation_json(table(spark, sf_dir, "conversations"))
+    opened_by_system = F.col("messages").startswith('[{"role":"system"')
+    cut = F.when(opened_by_system, F.expr("left(messages, length(messages) - 1)")).otherwise(
+        F.col("messages")
+    )
+    return listed.select(
         "conv_id", F.concat(F.lit("Sure, here it is:\n"), cut, F.lit("\nEnjoy!")).alias("reply")
     )
 
@@ -219,7 +219,7 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dialogue_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "dialogues")
-    raw.append_dialogues(dialogues.conversation_messages(table(spark, sf_dir, "conversations")), path)
+    raw.append_dialogues(dialogues.conversation_json(table(spark, sf_dir, "conversations")), path)
     return spark.read.text(path)
 
 
@@ -586,12 +586,23 @@ TERM_SQL = [
 ]
 
 
+def ascii_words(text: str) -> str:
+    """Lowered text in which the ASCII-only word boundary of the SQL engine is right.
+
+    Accented letters become "x" (in no term), other foreign symbols a space.
+    """
+    spaced = f"regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}\\x00-\\x7F]', ' ', 'g')"
+    return f"regexp_replace({spaced}, '[^\\x00-\\x7F]', 'x', 'g')"
+
+
 def any_term(text: str) -> str:
-    return "(" + " OR ".join(f"regexp_matches(lower({text}), '{p}')" for _, p in TERM_SQL) + ")"
+    words = ascii_words(text)
+    return "(" + " OR ".join(f"regexp_matches({words}, '{p}')" for _, p in TERM_SQL) + ")"
 
 
 def first_term(text: str) -> str:
-    cases = " ".join(f"WHEN regexp_matches(lower({text}), '{p}') THEN '{t}'" for t, p in TERM_SQL)
+    words = ascii_words(text)
+    cases = " ".join(f"WHEN regexp_matches({words}, '{p}') THEN '{t}'" for t, p in TERM_SQL)
     return f"CASE {cases} END"
 
 

@@ -206,12 +206,13 @@ def matches_any(lowered: Column, terms: TermList) -> Column:
     return F.coalesce(lowered.rlike(terms.pattern), F.lit(False))
 
 
-def first_match(lowered: Column, terms: TermList) -> Column:
+def first_match(lowered: Column, terms: TermList, flagged: bool = False) -> Column:
     """The matching term that comes first in list order, else null.
 
     Clean rows stop at the combined pattern. A flagged row is narrowed down by
     halves of the list (about log2(n) scans), so no row is ever paired with
-    the whole list. Pass a materialised lowered column.
+    the whole list. Pass a materialised lowered column; ``flagged`` says that
+    only matching rows are left.
     """
     if not terms.terms:
         return F.lit(None).cast("string")
@@ -238,7 +239,8 @@ def first_match(lowered: Column, terms: TermList) -> Column:
             narrow(rows[half:])
         )
 
-    return F.when(matches_any(lowered, terms), narrow(terms.terms))
+    found = narrow(terms.terms)
+    return found if flagged else F.when(matches_any(lowered, terms), found)
 
 
 def contains_phrase(lowered: Column, phrases: Iterable[str]) -> Column:

@@ -29,6 +29,39 @@ def mark_blocked(df: DataFrame, terms: TermList, text: str = "text") -> DataFram
     return spread(df).withColumn("blocked", matches_any(F.lower(F.col(text)), terms))
 
 
+def screen(
+    df: DataFrame,
+    terms: TermList,
+    phrases: Iterable[str] = (),
+    text: str = "text",
+) -> DataFrame:
+    """Add ``stage``: "blocklist", "phrase", or null for a clean document."""
+    lowered = F.lower(F.col(text))
+    stage = F.when(matches_any(lowered, terms), "blocklist").when(
+        contains_phrase(lowered, phrases), "phrase"
+    )
+    return spread(df).withColumn("stage", stage)
+
+
+def evidence(
+    screened: DataFrame,
+    terms: TermList,
+    phrases: Iterable[str] = (),
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """Rejected documents of ``screen`` with the term or phrase that caught them."""
+    lowered = screened.where(F.col("stage").isNotNull()).select(
+        key, "stage", F.lower(F.col(text)).alias("_lowered")
+    )
+    matched = F.when(
+        F.col("stage") == "blocklist", first_match(F.col("_lowered"), terms, flagged=True)
+    )
+    for phrase in phrases:
+        matched = matched.when(F.col("_lowered").contains(phrase), phrase)
+    return lowered.select(key, "stage", matched.alias("matched"))
+
+
 def audit_counts(marked: DataFrame, shard: str = "shard") -> DataFrame:
     """Per-shard total, removed, kept and written rows (mark_blocked output).
 
@@ -75,20 +108,9 @@ def audit_log(
     text: str = "text",
 ) -> DataFrame:
     """Rejected documents with the pass that caught them and the evidence."""
-    lowered = spread(df.select(key, text)).select(key, F.lower(F.col(text)).alias("_lowered"))
-    term = F.col("_term")
-    phrase_hit = None
-    for phrase in phrases:
-        found = F.col("_lowered").contains(phrase)
-        phrase_hit = F.when(found, phrase) if phrase_hit is None else phrase_hit.when(found, phrase)
-    staged = lowered.withColumn("_term", first_match(F.col("_lowered"), terms)).withColumn(
-        "_phrase", phrase_hit if phrase_hit is not None else F.lit(None).cast("string")
-    )
-    return staged.where(term.isNotNull() | F.col("_phrase").isNotNull()).select(
-        key,
-        F.when(term.isNotNull(), "blocklist").otherwise("phrase").alias("stage"),
-        F.coalesce(term, F.col("_phrase")).alias("matched"),
-    )
+    phrases = list(phrases)
+    screened = screen(df.select(key, text), terms, phrases, text)
+    return evidence(screened, terms, phrases, key, text)
 
 
 def pending(df: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
@@ -102,7 +124,9 @@ __all__ = [
     "audit_log",
     "audit_summary",
     "dirty_shards",
+    "evidence",
     "mark_blocked",
     "pending",
+    "screen",
     "term_table",
 ]

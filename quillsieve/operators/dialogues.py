@@ -125,18 +125,13 @@ def conversation_text(
     return joined_text(turns, key, turn, line, "\n")
 
 
-def conversation_messages(
+def conversation_json(
     turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """Nested form. The array is the output row itself, so it must fit in one row."""
-    message = F.struct(
-        F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content")
-    )
-    ordered = F.array_sort(F.collect_list(message))
-    stripped = F.transform(
-        ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
-    )
-    return turns.groupBy(key).agg(stripped.alias("messages"))
+    """``key, messages``: the dialogue as one JSON array of ``{role, content}`` objects."""
+    message = F.to_json(F.struct(F.col(role).alias("role"), F.col(text).alias("content")))
+    listed = joined_text(turns, key, turn, message, ",", "messages")
+    return listed.withColumn("messages", F.concat(F.lit("["), "messages", F.lit("]")))
 
 
 def dialogue_status(

@@ -89,7 +89,8 @@ def flagged(
     """Only the documents that match, with the term that rejected them."""
     candidates = spread(df).where(matches_any(F.lower(F.col(text)), terms))
     lowered = candidates.withColumn("_lowered", F.lower(F.col(text)))
-    return lowered.withColumn(out, first_match(F.col("_lowered"), terms)).drop("_lowered")
+    term = first_match(F.col("_lowered"), terms, flagged=True)
+    return lowered.withColumn(out, term).drop("_lowered")
 
 
 def phrase_filter(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -23,6 +25,8 @@ ROW_GROUP_ROWS = 1024
 
 # Rows one window partition or one numpy block should hold.
 BUCKET_ROWS = 1 << 20
+# Tasks used at most when every shard is handled by one task.
+MAX_SHARD_TASKS = 200_000
 # Blocks whose boundary maps are chained in one task.
 CHAIN_BLOCKS = 64
 
@@ -61,34 +65,62 @@ def seeded_positions(
     )
 
 
-def pack_shards(
+@dataclass(frozen=True)
+class ShardPlan:
+    """Where every shard of a packed corpus ends, as keys of the seeded shuffle."""
+
+    lengths: DataFrame
+    lookup: DataFrame
+    lookup_rows: int
+    digits: int
+    seed: int
+
+    def _place(self, keyed: DataFrame) -> DataFrame:
+        here = F.size(F.filter("closing", lambda k: k < F.col("shuffle_key")))
+        return (
+            keyed.withColumn("bucket", key_bucket(F.col("shuffle_key"), self.digits))
+            .join(broadcast_within(self.lookup, self.lookup_rows), "bucket")
+            .withColumn("shard", (F.col("closed") + here).cast("bigint"))
+            .drop("bucket", "closing", "closed")
+        )
+
+    def assign(self, df: DataFrame, row_id: str = "doc_id") -> DataFrame:
+        """Add ``shuffle_key`` and ``shard``; row-local, the texts are not shuffled."""
+        return self._place(df.withColumn("shuffle_key", shuffle_key(F.col(row_id), self.seed)))
+
+    def sizes(self) -> DataFrame:
+        """Rows per shard, from the stored lengths."""
+        keys = self.lengths.select(F.col("key").alias("shuffle_key"))
+        return self._place(keys).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+def plan_shards(
     df: DataFrame,
     row_id: str = "doc_id",
     text: str = "text",
+    chars: str | None = None,
     target: int = SHARD_CHARS,
     seed: int = SHUFFLE_SEED,
     bucket_rows: int = BUCKET_ROWS,
     chain_blocks: int = CHAIN_BLOCKS,
-) -> DataFrame:
-    """Add ``shuffle_key`` and ``shard``: greedy packing of the seeded shuffle.
+) -> ShardPlan:
+    """Greedy packing of the seeded shuffle.
 
     A shard closes with the document that brings it to ``target`` characters
-    and the next one starts empty. Lengths are read in a first, narrow pass;
-    the texts themselves are not shuffled: each row finds its shard by comparing
-    its key with the closing keys of its bucket.
+    and the next one starts empty. Only keys and lengths are handled here;
+    ``chars`` names a stored length column, so that no text is read at all.
     """
     key = shuffle_key(F.col(row_id), seed)
-    narrow = materialize(
-        df.select(
-            key.alias("key"), F.coalesce(F.length(text), F.lit(0)).cast("bigint").alias("chars")
-        ),
+    length = F.col(chars) if chars else F.length(text)
+    lengths = materialize(
+        df.select(key.alias("key"), F.coalesce(length, F.lit(0)).cast("bigint").alias("chars")),
         "lengths",
     )
-    rows, total = narrow.agg(F.count("key"), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    rows, total = lengths.agg(F.count("key"), F.coalesce(F.sum("chars"), F.lit(0))).first()
     digits = max(bucket_digits(rows, bucket_rows), bucket_digits(total // target, 4))
     buckets = 16**digits
 
-    keyed = narrow.withColumn("bucket", key_bucket(F.col("key"), digits))
+    keyed = lengths.withColumn("bucket", key_bucket(F.col("key"), digits))
     starts = broadcast_within(_bucket_starts(keyed, F.sum("chars")), buckets)
     running = F.sum("chars").over(
         Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
@@ -116,17 +148,20 @@ def pack_shards(
         .withColumn("closing", F.coalesce("closing", none))
         .withColumn("closed", F.coalesce(F.sum(F.size("closing")).over(earlier), F.lit(0)))
     )
-    lookup = materialize(lookup, "closing")
-    here = F.size(F.filter("closing", lambda k: k < F.col("shuffle_key")))
-    return (
-        df.withColumn("shuffle_key", key)
-        .withColumn("bucket", key_bucket(F.col("shuffle_key"), digits))
-        .join(broadcast_within(lookup, buckets + total // target), "bucket")
-        .withColumn("shard", (F.col("closed") + here).cast("bigint"))
-        .drop("bucket", "closing", "closed")
+    return ShardPlan(
+        lengths=lengths,
+        lookup=materialize(lookup, "closing"),
+        lookup_rows=buckets + total // target,
+        digits=digits,
+        seed=seed,
     )
 
 
+def pack_shards(df: DataFrame, row_id: str = "doc_id", **options) -> DataFrame:
+    """Add ``shuffle_key`` and ``shard``; the options are those of plan_shards."""
+    return plan_shards(df, row_id, **options).assign(df, row_id)
+
+
 def shard_ends(
     cums: DataFrame,
     rows: int,
@@ -244,17 +279,27 @@ def pad_shards(
     order: str = "shuffle_key",
     group_rows: int = ROW_GROUP_ROWS,
     bucket_rows: int = BUCKET_ROWS,
+    sizes: DataFrame | None = None,
+    whole_shards: bool = False,
 ) -> DataFrame:
     """Fill every shard to a multiple of ``group_rows`` with copies of its own rows.
 
     Copy j of shard s repeats the row at rank ``md5(s:j) mod n``, i.e. a draw
     with replacement. Added: ``is_pad``, and ``copy`` (0 for the row itself).
-    ``order`` is a hex key. A shard too large for one task is ranked in key
-    buckets, so a single huge shard does not end up in one task.
+    ``order`` is a hex key; ``sizes`` (shard, n) saves the counting pass.
+
+    A shard too large for one task is ranked in key buckets, so a single huge
+    shard does not end up in one task. ``whole_shards`` is for packed shards,
+    which are bounded and become one file each: the rows are shuffled once, by
+    shard, and ``write_shards(clustered=True)`` needs no further shuffle.
     """
-    sizes = materialize(df.groupBy(shard).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    if sizes is None:
+        sizes = df.groupBy(shard).agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes, "sizes")
     n_shards, largest = sizes.agg(F.count("n"), F.coalesce(F.max("n"), F.lit(0))).first()
-    digits = bucket_digits(largest, bucket_rows)
+    digits = 0 if whole_shards else bucket_digits(largest, bucket_rows)
+    if whole_shards:
+        df = df.repartition(max(1, min(n_shards, MAX_SHARD_TASKS)), shard)
 
     missing = (group_rows - F.col("n") % group_rows).cast("int")
     draw = F.conv(
@@ -269,7 +314,8 @@ def pad_shards(
     )
 
     keyed = df.withColumn("bucket", key_bucket(F.col(order), digits))
-    in_bucket = Window.partitionBy(shard, "bucket").orderBy(order, row_id)
+    place = [shard] if digits == 0 else [shard, "bucket"]
+    in_bucket = Window.partitionBy(*place).orderBy(order, row_id)
     rank = (F.row_number().over(in_bucket) - 1).cast("bigint")
     if digits == 0:
         ranked = keyed.withColumn("rank", rank)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.ordering import shuffle_key
 from ..functions.patterns import DEFAULT_PHRASES, TermList, contains_phrase
-from ..operators.audit import audit_counts, audit_log, mark_blocked
+from ..operators.audit import audit_counts, dirty_shards, evidence, screen
 from ..operators.packing import ROW_GROUP_ROWS, pad_shards
+from ..runtime import broadcast_within, materialize
 
 
 @dataclass(frozen=True)
@@ -31,24 +32,26 @@ def audit_corpus(
     text: str = "text",
     group_rows: int = ROW_GROUP_ROWS,
 ) -> AuditResult:
-    """Screen ``docs``; ``phrases`` adds the second pass to the same scan.
+    """Screen ``docs`` in one pass; ``phrases`` adds the second pass to the same scan.
 
-    Pad copies of an earlier run are dropped first and the survivors padded anew.
+    Matching costs far more than storing, so the screened rows are written once
+    and counts, log and repacking read them back: counts without the texts, the
+    log only the rejected rows. Pad copies of an earlier run are dropped first
+    and the survivors padded anew.
     """
     phrases = list(phrases)
     if "is_pad" in docs.columns:
         docs = docs.where(~F.col("is_pad")).drop("is_pad", "copy")
-    marked = mark_blocked(docs, terms, text)
-    if phrases:
-        blocked = F.col("blocked") | contains_phrase(F.lower(F.col(text)), phrases)
-        marked = marked.withColumn("blocked", blocked)
-    kept = marked.where(~F.col("blocked")).drop("blocked")
+    screened = materialize(screen(docs, terms, phrases, text), "screened")
+    counts = audit_counts(screened.withColumn("blocked", F.col("stage").isNotNull()), shard)
+    kept = screened.where(F.col("stage").isNull()).drop("stage")
     if "shuffle_key" not in kept.columns:
         kept = kept.withColumn("shuffle_key", shuffle_key(F.col(row_id)))
+    sizes = counts.where(F.col("kept") > 0).select(shard, F.col("kept").alias("n"))
     return AuditResult(
-        kept=pad_shards(kept, shard, row_id, group_rows=group_rows),
-        counts=audit_counts(marked, shard),
-        log=audit_log(docs, terms, phrases, row_id, text),
+        kept=pad_shards(kept, shard, row_id, group_rows=group_rows, sizes=sizes),
+        counts=counts,
+        log=evidence(screened, terms, phrases, row_id, text),
     )
 
 
@@ -61,10 +64,12 @@ def rewrite_dirty(
     group_rows: int = ROW_GROUP_ROWS,
 ) -> DataFrame:
     """The padded replacement rows of the shards that lose a document; others are left alone."""
-    hit = contains_phrase(F.lower(F.col(text)), list(phrases))
-    marked = docs.withColumn("_hit", hit)
-    dirty = marked.where("_hit").select(shard).distinct()
-    survivors = marked.where(~F.col("_hit")).drop("_hit").join(dirty, shard, "left_semi")
+    phrases = list(phrases)
+    dirty = materialize(dirty_shards(docs, phrases, shard, text), "dirty")
+    survivors = docs.where(~contains_phrase(F.lower(F.col(text)), phrases)).join(
+        broadcast_within(dirty.select(shard), dirty.count()), shard, "left_semi"
+    )
     if "shuffle_key" not in survivors.columns:
         survivors = survivors.withColumn("shuffle_key", shuffle_key(F.col(row_id)))
-    return pad_shards(survivors, shard, row_id, group_rows=group_rows)
+    sizes = dirty.where(F.col("kept") > 0).select(shard, F.col("kept").alias("n"))
+    return pad_shards(survivors, shard, row_id, group_rows=group_rows, sizes=sizes)

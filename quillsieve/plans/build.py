@@ -14,7 +14,7 @@ from ..functions.textnorm import (
     token_count,
 )
 from ..operators.filters import DEFAULT_SUBSETS, audience_allowed
-from ..operators.packing import ROW_GROUP_ROWS, SHARD_CHARS, pack_shards, pad_shards
+from ..operators.packing import ROW_GROUP_ROWS, SHARD_CHARS, pad_shards, plan_shards
 from ..operators.selection import SOURCE_FRACTIONS, budget_cut, fraction_budgets, union_sources
 from ..runtime import materialize
 
@@ -63,7 +63,12 @@ def build_corpus(
     group_rows: int = ROW_GROUP_ROWS,
     seed: int = SHUFFLE_SEED,
 ) -> DataFrame:
-    """``doc_id, text, tokens, shuffle_key, shard, copy, is_pad``, ready for write_shards."""
+    """``doc_id, text, tokens, chars, shuffle_key, shard, copy, is_pad``.
+
+    The selected texts are stored once with their lengths. Packing then reads
+    keys and lengths only, and the texts are shuffled a single time, by shard:
+    write the result with ``write_shards(..., clustered=True)``.
+    """
     budgets = fraction_budgets(target_tokens, fractions)
     merged = union_sources(
         [
@@ -71,5 +76,8 @@ def build_corpus(
             select_books(books, budgets["books"]),
         ]
     )
-    packed = pack_shards(merged, target=shard_chars, seed=seed)
-    return pad_shards(packed, group_rows=group_rows)
+    selected = materialize(merged.withColumn("chars", F.length("text")), "selected")
+    plan = plan_shards(selected, chars="chars", target=shard_chars, seed=seed)
+    return pad_shards(
+        plan.assign(selected), group_rows=group_rows, sizes=plan.sizes(), whole_shards=True
+    )

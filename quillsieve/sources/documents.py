@@ -52,8 +52,10 @@ def append_jsonl(df: DataFrame, path: str, *columns: str) -> None:
 
 
 def append_dialogues(df: DataFrame, path: str, messages: str = "messages") -> None:
-    """One JSON array per line."""
-    df.select(F.to_json(messages).alias("value")).write.mode("append").text(path)
+    """One JSON array per line; ``messages`` is nested or already JSON."""
+    nested = dict(df.dtypes)[messages] != "string"
+    value = F.to_json(messages) if nested else F.col(messages)
+    df.select(value.alias("value")).write.mode("append").text(path)
 
 
 def read_books(spark: SparkSession, path: str) -> DataFrame:

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.reporting import shard_label
 from ..functions.textnorm import is_empty
-from ..operators.packing import ROW_GROUP_ROWS
-
-# Tasks used at most for one shard write.
-MAX_WRITE_TASKS = 200_000
-
+from ..runtime import materialize
+from ..operators.packing import MAX_SHARD_TASKS, ROW_GROUP_ROWS
 
 def scan_shards(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``path, name, text, file_size`` of every shard file; unused columns are never read."""
@@ -37,21 +34,24 @@ def write_shards(
     text: str = "text",
     group_rows: int = ROW_GROUP_ROWS,
     mode: str = "error",
+    clustered: bool = False,
+    extra: Sequence[str] = (),
 ) -> None:
-    """One ``shard=N`` folder per shard, holding the text column only.
+    """One ``shard=N`` folder per shard, holding the text column (and ``extra`` ones).
 
     Rows of a shard meet in one task, which streams them into row groups of
     exactly ``group_rows``; the committer publishes files only when complete.
+    ``clustered`` says that this is already so, and saves the shuffle.
     ``mode="dynamic"`` replaces just the shards present in ``df``. Never write
     to the path being read: stage elsewhere and switch.
     """
-    n_shards = df.select(shard).distinct().count()
-    tasks = max(1, min(n_shards, MAX_WRITE_TASKS))
+    rows = df.select(shard, text, *extra, order)
+    if not clustered:
+        n_shards = df.select(shard).distinct().count()
+        rows = rows.repartition(max(1, min(n_shards, MAX_SHARD_TASKS)), shard)
     writer = (
-        df.select(shard, text, order)
-        .repartition(tasks, shard)
-        .sortWithinPartitions(shard, order)
-        .select(shard, text)
+        rows.sortWithinPartitions(shard, order)
+        .select(shard, text, *extra)
         .write.partitionBy(shard)
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", 3)
@@ -116,8 +116,8 @@ def validate_shards(
 
     An unreadable file reports that alone. The last row group may be short.
     """
-    facts = footers(shard_files(spark, path, glob)).withColumn(
-        "name", shard_label(F.col("path"))
+    facts = materialize(
+        footers(shard_files(spark, path, glob)).withColumn("name", shard_label(F.col("path"))), "footers"
     )
     readable = facts.where(F.col("error").isNull() & F.col("has_text")).count()
     if readable:

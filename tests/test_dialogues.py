@@ -59,8 +59,8 @@ def test_long_form_rules_match_nested_rules(spark):
     random.Random(3).shuffle(rows)
     df = turns(spark, rows)
     long_form = {r.conv_id: r.is_valid for r in D.valid_conversations(df).collect()}
-    nested = D.conversation_messages(df)
-    nested_form = {r.conv_id: r.ok for r in nested.select("conv_id", D.messages_valid(F.col("messages")).alias("ok")).collect()}
+    nested = D.conversation_json(df).withColumn("m", D.extract_messages(F.col("messages")))
+    nested_form = {r.conv_id: r.ok for r in nested.select("conv_id", D.messages_valid(F.col("m")).alias("ok")).collect()}
     assert long_form == nested_form == {0: True, 1: False, 2: False, 3: False, 4: True, 9: False}
 
 

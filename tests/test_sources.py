@@ -17,8 +17,9 @@ TERMS = TermList.of([Term(0, "badword")])
 
 def make_shards(spark, path, n=2500, target=30_000, group=256):
     df = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("document number "), "id").alias("text"))
-    padded = packing.pad_shards(packing.pack_shards(df, target=target), group_rows=group)
-    shards.write_shards(padded, path, group_rows=group)
+    plan = packing.plan_shards(df, target=target)
+    padded = packing.pad_shards(plan.assign(df), group_rows=group, sizes=plan.sizes(), whole_shards=True)
+    shards.write_shards(padded, path, group_rows=group, clustered=True)
     return padded
 
 
