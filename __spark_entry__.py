@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from quillsieve.functions.matching import has_phrase  # noqa: E402
 from quillsieve.functions.patterns import Term, TermList  # noqa: E402
 from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplate  # noqa: E402
 from quillsieve.operators import audit, dialogues, filters, packing, selection, stats  # noqa: E402
@@ -292,9 +293,8 @@ def score_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layered_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    low = F.lower("text")
     marked = audit.mark_blocked(table(spark, sf_dir, "documents"), TERMS).select(
-        "doc_id", "blocked", filters.contains_phrase(low, PHRASES).alias("phrase")
+        "doc_id", "blocked", has_phrase(F.col("text"), PHRASES).alias("phrase")
     )
     labelled = marked.join(
         table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double")), "doc_id", "left"

@@ -1,17 +1,14 @@
-"""Term lists compiled to native regular expressions.
+"""Term and phrase lists, and the pattern of a term.
 
-A term list is input data: callers bring their own rows. The driver turns it
-into one pattern whose branches share prefixes; wide forks are grouped behind a
-lookahead so that most characters are ruled out after a few class tests.
+A term list is input data: callers bring their own rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
-from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from .textnorm import WHITESPACE
 
@@ -45,11 +42,8 @@ DEFAULT_PHRASES = [
 MAX_TERMS = 50_000
 
 _GAP = "gap"
-_FORK = 6
-_LEAVES = 512
 _WORD = r"[\p{L}\p{N}_]"
-# Spelled out because "\b" changed meaning between Java releases.
-_BOUNDARY = rf"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+_NO_WORD = r"[^\p{L}\p{N}_]"
 
 
 @dataclass(frozen=True)
@@ -83,79 +77,6 @@ def term_pattern(term: str) -> str:
     )
 
 
-class _Node:
-    __slots__ = ("edges", "end")
-
-    def __init__(self) -> None:
-        self.edges: dict = {}
-        self.end = False
-
-
-def _prefix_tree(terms: Iterable[str]) -> _Node:
-    root = _Node()
-    for term in terms:
-        node = root
-        for unit in _units(term):
-            node = node.edges.setdefault(unit, _Node())
-        node.end = True
-    return root
-
-
-def _first_chars(nodes: Iterable[_Node]) -> set[str]:
-    """Characters a match can start with, looking through leading gaps."""
-    chars: set[str] = set()
-    for node in nodes:
-        for unit, child in node.edges.items():
-            if unit == _GAP:
-                chars |= set(GAP_CHARS) | _first_chars([child])
-            else:
-                chars |= unit
-    return chars
-
-
-def _render(node: _Node, keep_tails: bool) -> str:
-    """Pattern for what may follow a tree position.
-
-    Where a complete term ends, longer terms are implied and dropped, unless
-    ``keep_tails`` is set because a word boundary must follow.
-    """
-    if node.end and not keep_tails:
-        return ""
-    branches = []
-    for unit, child in node.edges.items():
-        head = _char_class(GAP_CHARS) + "*" if unit == _GAP else _char_class(unit)
-        branches.append((unit, head + _render(child, keep_tails)))
-    if not branches:
-        return ""
-    body = _fork(branches)
-    if node.end:
-        return f"(?:{body})?"
-    return f"(?:{body})" if len(branches) > 1 else body
-
-
-def _fork(branches: list[tuple]) -> str:
-    """Alternation; more than ``_FORK`` character branches are grouped by a lookahead."""
-    chars = sorted((b for b in branches if b[0] != _GAP), key=lambda b: sorted(b[0]))
-    parts = [body for unit, body in branches if unit == _GAP]
-    if len(chars) <= _FORK:
-        return "|".join([body for _, body in chars] + parts)
-    for start in range(0, len(chars), _FORK):
-        group = chars[start : start + _FORK]
-        gate = _char_class(frozenset().union(*(unit for unit, _ in group)))
-        parts.append(f"(?={gate})(?:" + "|".join(body for _, body in group) + ")")
-    return "|".join(parts)
-
-
-def substring_pattern(terms: Iterable[str]) -> str:
-    return _render(_prefix_tree(terms), False)
-
-
-def whole_word_pattern(terms: Iterable[str]) -> str:
-    root = _prefix_tree(terms)
-    gate = f"(?={_char_class(_first_chars([root]))})"
-    return f"{gate}{_BOUNDARY}(?:{_render(root, True)}){_BOUNDARY}"
-
-
 @dataclass(frozen=True)
 class TermList:
     """Terms in list order, duplicates (ignoring case) removed, first one kept."""
@@ -181,71 +102,46 @@ class TermList:
             raise ValueError(f"a term list holds at most {MAX_TERMS} terms")
         return cls.of(Term(r.ord, r.term, r.category or "", bool(r.whole_word)) for r in rows)
 
-    @cached_property
-    def pattern(self) -> str | None:
-        """One pattern that finds any term in lowered text; None for an empty list."""
-        anywhere = [t.term for t in self.terms if not t.whole_word]
-        words = [t.term for t in self.terms if t.whole_word]
-        parts = []
-        if anywhere:
-            parts.append(substring_pattern(anywhere))
-        if words:
-            parts.append(whole_word_pattern(words))
-        return "|".join(parts) if parts else None
-
-
-def single_pattern(term: Term) -> str:
-    body = term_pattern(term.term)
-    return f"{_BOUNDARY}{body}{_BOUNDARY}" if term.whole_word else body
-
-
-def matches_any(lowered: Column, terms: TermList) -> Column:
-    """True when any term occurs; null text counts as clean."""
-    if terms.pattern is None:
-        return F.lit(False)
-    return F.coalesce(lowered.rlike(terms.pattern), F.lit(False))
 
+def scan_pattern(term: Term) -> str:
+    """Pattern that finds one term in lowered text.
 
-def first_match(lowered: Column, terms: TermList, flagged: bool = False) -> Column:
-    """The matching term that comes first in list order, else null.
+    ``\\b`` knows ASCII only in the matching engine, so boundaries are spelled out.
 
-    Clean rows stop at the combined pattern. A flagged row is narrowed down by
-    halves of the list (about log2(n) scans), so no row is ever paired with
-    the whole list. Pass a materialised lowered column; ``flagged`` says that
-    only matching rows are left.
+    A word boundary lies between a word character and anything else, so an
+    edge character that is a symbol needs a word character next to it and one
+    that is a word character needs none. The neighbours are matched along.
     """
-    if not terms.terms:
-        return F.lit(None).cast("string")
-    leaf_size = -(-len(terms.terms) // _LEAVES)
-
-    def leaf(rows: tuple[Term, ...]) -> Column:
-        if len(rows) == 1:
-            return F.lit(rows[0].term)
-        members = F.array(
-            *[
-                F.struct(F.lit(single_pattern(t)).alias("pattern"), F.lit(t.term).alias("term"))
-                for t in rows
-            ]
-        )
-        found = F.filter(members, lambda m: F.rlike(lowered, m["pattern"]))
-        return F.get(found, F.lit(0))["term"]
-
-    def narrow(rows: tuple[Term, ...]) -> Column:
-        if len(rows) <= leaf_size:
-            return leaf(rows)
-        half = len(rows) // 2
-        front = TermList(rows[:half])
-        return F.when(matches_any(lowered, front), narrow(rows[:half])).otherwise(
-            narrow(rows[half:])
-        )
-
-    found = narrow(terms.terms)
-    return found if flagged else F.when(matches_any(lowered, terms), found)
-
-
-def contains_phrase(lowered: Column, phrases: Iterable[str]) -> Column:
-    """True when any phrase is a plain substring; null text counts as clean."""
-    found = F.lit(False)
-    for phrase in phrases:
-        found = found | lowered.contains(phrase)
-    return F.coalesce(found, F.lit(False))
+    if not term.whole_word:
+        return term_pattern(term.term)
+    if term.term != term.term.strip(" "):
+        raise ValueError(f"a whole-word term starts or ends with a space: {term.term!r}")
+    units = [
+        (_char_class(GAP_CHARS) + "*", frozenset(GAP_CHARS)) if u == _GAP else (_char_class(u), u)
+        for u in _units(term.term)
+    ]
+
+    def edges(chars: frozenset) -> list[tuple[str, bool]]:
+        """The edge unit split into word characters and symbols."""
+        word = {c for c in chars if c.isalnum() or c == "_"}
+        split = [(word, True), (chars - word, False)]
+        return [(_char_class(part), is_word) for part, is_word in split if part]
+
+    def before(is_word: bool) -> str:
+        return f"(?:^|{_NO_WORD})" if is_word else _WORD
+
+    def after(is_word: bool) -> str:
+        return f"(?:{_NO_WORD}|$)" if is_word else _WORD
+
+    first, last = edges(units[0][1]), edges(units[-1][1])
+    if len(units) == 1:
+        return "|".join(before(w) + chars + after(w) for chars, w in first)
+    middle = "".join(pattern for pattern, _ in units[1:-1])
+    heads = "|".join(before(w) + chars for chars, w in first)
+    tails = "|".join(chars + after(w) for chars, w in last)
+    return f"(?:{heads}){middle}(?:{tails})"
+
+
+def phrase_pattern(phrase: str) -> str:
+    """A phrase stands for itself: no boundaries, no substitutions."""
+    return "".join(_escape(ch) for ch in phrase)

@@ -6,7 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.patterns import DEFAULT_PHRASES, TermList, contains_phrase, first_match, matches_any
+from ..functions.matching import blocked, first_phrase, first_term, has_phrase
+from ..functions.patterns import DEFAULT_PHRASES, TermList
 from ..runtime import spread
 from .packing import ROW_GROUP_ROWS, padded_rows
 
@@ -26,7 +27,7 @@ def term_table(df: DataFrame) -> DataFrame:
 
 
 def mark_blocked(df: DataFrame, terms: TermList, text: str = "text") -> DataFrame:
-    return spread(df).withColumn("blocked", matches_any(F.lower(F.col(text)), terms))
+    return spread(df).withColumn("blocked", blocked(F.col(text), terms))
 
 
 def screen(
@@ -36,9 +37,8 @@ def screen(
     text: str = "text",
 ) -> DataFrame:
     """Add ``stage``: "blocklist", "phrase", or null for a clean document."""
-    lowered = F.lower(F.col(text))
-    stage = F.when(matches_any(lowered, terms), "blocklist").when(
-        contains_phrase(lowered, phrases), "phrase"
+    stage = F.when(blocked(F.col(text), terms), "blocklist").when(
+        has_phrase(F.col(text), phrases), "phrase"
     )
     return spread(df).withColumn("stage", stage)
 
@@ -51,15 +51,14 @@ def evidence(
     text: str = "text",
 ) -> DataFrame:
     """Rejected documents of ``screen`` with the term or phrase that caught them."""
-    lowered = screened.where(F.col("stage").isNotNull()).select(
-        key, "stage", F.lower(F.col(text)).alias("_lowered")
+    rejected = screened.where(F.col("stage").isNotNull()).select(
+        key,
+        "stage",
+        first_term(F.col(text), terms).alias("_term"),
+        first_phrase(F.col(text), phrases).alias("_phrase"),
     )
-    matched = F.when(
-        F.col("stage") == "blocklist", first_match(F.col("_lowered"), terms, flagged=True)
-    )
-    for phrase in phrases:
-        matched = matched.when(F.col("_lowered").contains(phrase), phrase)
-    return lowered.select(key, "stage", matched.alias("matched"))
+    matched = F.coalesce("_term", "_phrase")
+    return rejected.select(key, "stage", matched.alias("matched"))
 
 
 def audit_counts(marked: DataFrame, shard: str = "shard") -> DataFrame:
@@ -93,9 +92,9 @@ def dirty_shards(
     text: str = "text",
 ) -> DataFrame:
     """Shards the phrase pass changes, with their removed and kept rows."""
-    hit = contains_phrase(F.lower(F.col(text)), phrases)
-    counts = df.groupBy(shard).agg(
-        F.count_if(hit).alias("removed"), F.count_if(~hit).alias("kept")
+    hits = spread(df.select(shard, text)).select(shard, has_phrase(F.col(text), phrases).alias("_hit"))
+    counts = hits.groupBy(shard).agg(
+        F.count_if("_hit").alias("removed"), F.count_if(~F.col("_hit")).alias("kept")
     )
     return counts.where(F.col("removed") > 0)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ordering import whole_div
-from ..functions.patterns import TermList, matches_any
+from ..functions.matching import blocked
+from ..functions.patterns import TermList
 from ..functions.strictjson import parse_single
 from ..runtime import spread
 from .filters import is_safe_verdict
@@ -25,6 +26,9 @@ PROMPT = (
 # Variations written per topic.
 VARIATIONS = 50
 
+# Stands between messages that are matched together.
+MESSAGE_BREAK = "\x01"
+
 # Pieces joined by one aggregation buffer.
 PIECE_SPAN = 1024
 
@@ -57,8 +61,13 @@ def messages_text(messages: Column) -> Column:
 
 
 def messages_blocked(messages: Column, terms: TermList) -> Column:
-    """True when any single message contains a blocked term."""
-    return F.exists(messages, lambda m: matches_any(F.lower(m["content"]), terms))
+    """True when any single message contains a blocked term.
+
+    The contents are matched as one text; the separator is no letter, no space
+    and in no term, so nothing matches across messages.
+    """
+    contents = F.array_join(F.transform(messages, lambda m: m["content"]), MESSAGE_BREAK)
+    return blocked(contents, terms)
 
 
 def valid_conversations(
@@ -83,11 +92,11 @@ def blocked_conversations(
     turns: DataFrame, terms: TermList, key: str = "conv_id", text: str = "text"
 ) -> DataFrame:
     """Blocked-message count and verdict per conversation (map-side combined)."""
-    hit = matches_any(F.lower(F.col(text)), terms)
     return (
         spread(turns.select(key, text))
+        .select(key, blocked(F.col(text), terms).alias("_hit"))
         .groupBy(key)
-        .agg(F.count_if(hit).alias("blocked_messages"))
+        .agg(F.count_if("_hit").alias("blocked_messages"))
         .withColumn("is_blocked", F.col("blocked_messages") > 0)
     )
 

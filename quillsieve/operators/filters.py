@@ -6,13 +6,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.patterns import (
-    DEFAULT_PHRASES,
-    TermList,
-    contains_phrase,
-    first_match,
-    matches_any,
-)
+from ..functions.matching import blocked, first_term, has_phrase
+from ..functions.patterns import DEFAULT_PHRASES, TermList
 from ..functions.textnorm import MIN_DOC_CHARS, is_empty, long_enough, strip
 from ..runtime import spread
 
@@ -72,31 +67,27 @@ def empty_docs(df: DataFrame, *keys: str, text: str = "text") -> DataFrame:
 
 def blocklist_filter(df: DataFrame, terms: TermList, text: str = "text") -> DataFrame:
     """Keep the documents in which no term occurs."""
-    return spread(df).where(~matches_any(F.lower(F.col(text)), terms))
+    return spread(df).where(~blocked(F.col(text), terms))
 
 
 def with_first_term(
     df: DataFrame, terms: TermList, text: str = "text", out: str = "matched_term"
 ) -> DataFrame:
     """Add the first matching term in list order, null for clean documents."""
-    lowered = spread(df).withColumn("_lowered", F.lower(F.col(text)))
-    return lowered.withColumn(out, first_match(F.col("_lowered"), terms)).drop("_lowered")
+    return spread(df).withColumn(out, first_term(F.col(text), terms))
 
 
 def flagged(
     df: DataFrame, terms: TermList, text: str = "text", out: str = "matched_term"
 ) -> DataFrame:
     """Only the documents that match, with the term that rejected them."""
-    candidates = spread(df).where(matches_any(F.lower(F.col(text)), terms))
-    lowered = candidates.withColumn("_lowered", F.lower(F.col(text)))
-    term = first_match(F.col("_lowered"), terms, flagged=True)
-    return lowered.withColumn(out, term).drop("_lowered")
+    return with_first_term(df, terms, text, out).where(F.col(out).isNotNull())
 
 
 def phrase_filter(
     df: DataFrame, phrases: Iterable[str] = DEFAULT_PHRASES, text: str = "text"
 ) -> DataFrame:
-    return df.where(~contains_phrase(F.lower(F.col(text)), phrases))
+    return spread(df).where(~has_phrase(F.col(text), phrases))
 
 
 def is_safe_verdict(verdict: Column) -> Column:

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.ordering import shuffle_key
-from ..functions.patterns import DEFAULT_PHRASES, TermList, contains_phrase
+from ..functions.matching import has_phrase
+from ..functions.patterns import DEFAULT_PHRASES, TermList
 from ..operators.audit import audit_counts, dirty_shards, evidence, screen
 from ..operators.packing import ROW_GROUP_ROWS, pad_shards
 from ..runtime import broadcast_within, materialize
@@ -66,7 +67,7 @@ def rewrite_dirty(
     """The padded replacement rows of the shards that lose a document; others are left alone."""
     phrases = list(phrases)
     dirty = materialize(dirty_shards(docs, phrases, shard, text), "dirty")
-    survivors = docs.where(~contains_phrase(F.lower(F.col(text)), phrases)).join(
+    survivors = docs.where(~has_phrase(F.col(text), phrases)).join(
         broadcast_within(dirty.select(shard), dirty.count()), shard, "left_semi"
     )
     if "shuffle_key" not in survivors.columns:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.strictjson import parse_single
@@ -17,25 +17,29 @@ DATA_PREFIX = "data:"
 END_PAYLOAD = "[DONE]"
 
 
-def frame_token(line: Column) -> Column:
-    """Token of an event line; null for other lines, the end mark, and broken or empty payloads."""
-    trimmed = strip(line, FRAME_WHITESPACE)
-    payload = strip(F.substring(trimmed, len(DATA_PREFIX) + 1, 1 << 30), FRAME_WHITESPACE)
-    token = parse_single(payload, "struct<token:string>")["token"]
-    usable = trimmed.startswith(DATA_PREFIX) & (payload != END_PAYLOAD)
-    return F.when(usable, F.nullif(token, F.lit("")))
+def with_tokens(lines: DataFrame, line: str = "line", out: str = "token") -> DataFrame:
+    """Replace an event line by its token.
 
-
-def frame_tokens(lines: DataFrame, line: str = "line") -> DataFrame:
-    return lines.withColumn("token", frame_token(F.col(line))).drop(line)
+    Other lines, the end mark, and broken or empty payloads give an empty token.
+    Each step is its own column, so no line is trimmed or parsed repeatedly.
+    """
+    trimmed = lines.withColumn("_line", strip(F.col(line), FRAME_WHITESPACE)).drop(line)
+    payload = strip(F.substring("_line", len(DATA_PREFIX) + 1, 1 << 30), FRAME_WHITESPACE)
+    framed = trimmed.withColumn(
+        "_payload", F.when(F.col("_line").startswith(DATA_PREFIX), payload)
+    ).drop("_line")
+    token = F.when(
+        F.col("_payload") != END_PAYLOAD,
+        parse_single(F.col("_payload"), "struct<token:string>")["token"],
+    )
+    return framed.withColumn(out, F.coalesce(token, F.lit(""))).drop("_payload")
 
 
 def reassemble(
     lines: DataFrame, stream: str = "stream_id", seq: str = "seq", line: str = "line"
 ) -> DataFrame:
     """Full text per stream; a stream without tokens yields an empty text."""
-    piece = F.coalesce(frame_token(F.col(line)), F.lit(""))
-    return joined_text(lines, stream, seq, piece)
+    return joined_text(with_tokens(lines, line, "token"), stream, seq, F.col("token"))
 
 
 def reassemble_stream(
@@ -70,10 +74,8 @@ def reassemble_stream(
                 {"stream_id": [key[0]], "from_seq": [first], "piece": ["".join(piece)]}
             )
 
-    tokens = lines.select(
-        F.col(stream).cast("string").alias("stream_id"),
-        F.col(seq).cast("bigint").alias("seq"),
-        F.coalesce(frame_token(F.col(line)), F.lit("")).alias("token"),
+    tokens = with_tokens(lines, line, "token").select(
+        F.col(stream).cast("string").alias("stream_id"), F.col(seq).cast("bigint").alias("seq"), "token"
     )
     return tokens.groupBy("stream_id").applyInPandasWithState(
         advance,

@@ -70,6 +70,15 @@ def test_any_blocked_message_blocks_the_dialogue(spark):
     assert {r.conv_id: (r.blocked_messages, r.is_blocked) for r in D.blocked_conversations(df, terms).collect()} == {1: (1, True), 2: (0, False)}
 
 
+def test_nothing_matches_across_messages(spark):
+    terms = TermList.of([Term(0, "bad word"), Term(1, "end", "", True)])
+    cases = [["a bad", "word"], ["bad", " word"], ["week", "end"], ["weekend"], ["bad word", "x"], [], None]
+    rows = [(i, c and [("user", t) for t in c]) for i, c in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, m array<struct<role:string,content:string>>")
+    got = [r.b for r in df.orderBy("i").select(D.messages_blocked(F.col("m"), terms).alias("b")).collect()]
+    assert got == [False, False, True, False, True, False, False]
+
+
 def test_joined_text_orders_long_keys(spark):
     n = 5000
     rows = [("k", i, str(i)) for i in range(n)] + [("other", 3, "x")]

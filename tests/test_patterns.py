@@ -1,11 +1,13 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from quillsieve.functions import patterns as P
+from quillsieve.functions.matching import _compiled, _kernel, blocked, first_phrase
 from quillsieve.functions.patterns import Term, TermList
 from quillsieve.operators import audit, filters
 
@@ -51,6 +53,38 @@ def test_first_term_follows_list_order_and_boundaries(spark):
     assert spark_first(spark, TERMS, TEXTS) == [python_first(TERMS, t) for t in TEXTS]
 
 
+def test_flags_agree_with_single_regexes(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS + [None]], "text string")
+    got = [r.flag for r in df.select(blocked(F.col("text"), TERMS).alias("flag")).collect()]
+    assert got == [bool(t is not None and python_first(TERMS, t)) for t in TEXTS + [None]]
+
+
+def test_whole_word_term_with_outer_space_is_refused():
+    with pytest.raises(ValueError):
+        P.scan_pattern(Term(0, " a", "", True))
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.text("abck -s$_@x", min_size=1, max_size=3).filter(lambda t: t.strip() == t and t), st.booleans()),
+        min_size=1,
+        max_size=8,
+    ),
+    st.lists(st.text("abck -s$@4_z5é.", max_size=8), min_size=1, max_size=12),
+)
+def test_batch_kernel_property(words, texts):
+    """List order, boundaries, gaps and substitutions against one regex per term."""
+    terms = TermList.of([Term(i, w, "", whole) for i, (w, whole) in enumerate(words)])
+    _, first = _kernel(*_compiled(terms))
+    assert first(pa.array(texts, pa.string())).to_pylist() == [python_first(terms, t) for t in texts]
+
+
+def test_long_lists_are_matched_in_chunks(spark):
+    terms = TermList.of([Term(i, f"w{i:04d}q") for i in range(1000)])
+    assert spark_first(spark, terms, ["x w0999q w0700q", "w0000q", "w1000q"]) == ["w0700q", "w0000q", None]
+
+
 def test_null_text_is_clean(spark):
     df = spark.createDataFrame([(1, None), (2, "zebra")], "i int, text string")
     assert [r.i for r in filters.blocklist_filter(df, TERMS).collect()] == [1]
@@ -70,32 +104,6 @@ def test_duplicates_keep_the_first():
     assert [(t.ord, t.term, t.whole_word) for t in terms.terms] == [(1, "b", True), (2, "a", False)]
 
 
-def test_combined_pattern_equals_single_terms_in_python():
-    """The factored pattern finds exactly what the flat list finds."""
-    rng = random.Random(5)
-    letters = "abcekilostuz -"
-    words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))).strip() for _ in range(200)]
-    terms = TermList.of([Term(i, w, "", i % 5 == 0) for i, w in enumerate(words) if w])
-    # Python's re has no \p classes; its \w is the same set.
-    combined = re.compile(terms.pattern.replace(r"[\p{L}\p{N}_]", r"\w"))
-    flat = [python_pattern(t) for t in terms.terms]
-    alphabet = letters + "@43!1|y0*$57+v^&é_."
-    for _ in range(3000):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12)))
-        assert bool(combined.search(text)) == any(p.search(text) for p in flat), text
-
-
-@settings(max_examples=200, deadline=None)
-@given(
-    st.lists(st.text("abck -s$", min_size=1, max_size=4).filter(lambda t: t.strip()), min_size=1, max_size=12),
-    st.text("abck -s$@4_z5", max_size=12),
-)
-def test_substring_pattern_property(words, text):
-    pattern = re.compile(P.substring_pattern(words))
-    flat = [python_pattern(Term(0, w)) for w in words]
-    assert bool(pattern.search(text)) == any(p.search(text) for p in flat)
-
-
 def test_wide_list_first_match_in_spark(spark):
     rng = random.Random(9)
     words = sorted({"".join(rng.choice("abcdefghilmnorstu") for _ in range(5)) for _ in range(700)})
@@ -125,3 +133,6 @@ def test_term_table_keeps_first_ordinal(spark):
 def test_phrases_have_no_substitutions(spark):
     df = spark.createDataFrame([(1, "MIT License"), (2, "m1t license"), (3, None)], "i int, text string")
     assert sorted(r.i for r in filters.phrase_filter(df, ["mit license"]).collect()) == [2, 3]
+    assert filters.phrase_filter(df, []).count() == 3
+    found = df.select("i", first_phrase(F.col("text"), ["license", "mit license", "a.b"]).alias("p")).collect()
+    assert {r.i: r.p for r in found} == {1: "license", 2: "license", 3: None}
