@@ -19,7 +19,7 @@ from quillsieve.plans.audit import audit_corpus, rewrite_dirty  # noqa: E402
 from quillsieve.plans.build import build_corpus  # noqa: E402
 from quillsieve.plans.dialogues import request_table, screen_replies  # noqa: E402
 from quillsieve.plans.report import report_json  # noqa: E402
-from quillsieve.runtime import materialize, run_dir  # noqa: E402
+from quillsieve.runtime import materialize, run_dir, spread  # noqa: E402
 from quillsieve.sources import documents as raw, ledger, shards  # noqa: E402
 from quillsieve.streaming import audit_stream, frames  # noqa: E402
 
@@ -106,8 +106,12 @@ def packed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_shards(spark: SparkSession, sf_dir: str) -> str:
     path = run_dir(spark, "shards")
-    padded = packing.pad_shards(packed_shards(spark, sf_dir), group_rows=GROUP_ROWS)
-    shards.write_shards(padded, path, group_rows=GROUP_ROWS)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    plan = packing.plan_shards(docs, target=SHARD_TARGET)
+    padded = packing.pad_shards(
+        plan.assign(docs), group_rows=GROUP_ROWS, sizes=plan.sizes(), whole_shards=True
+    )
+    shards.write_shards(padded, path, group_rows=GROUP_ROWS, clustered=True)
     return path
 
 
@@ -134,7 +138,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     noise = F.array(F.lit(": keep-alive"), F.lit('data: {"token": '), F.lit('data: {"token":""}'))
     ending = F.array(F.lit('  data: {"done":true}'), F.lit("data: [DONE]"))
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"))
     return turns.select(
         F.concat_ws(":", "conv_id", "turn").alias("stream_id"),
         F.posexplode(F.concat(noise, lines, ending)).alias("seq", "line"),
@@ -273,6 +277,25 @@ def blocklist_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.flagged(docs, TERMS).select("doc_id", "matched_term")
 
 
+def wide_terms(spark: SparkSession, sf_dir: str) -> TermList:
+    """Hundreds of substring terms: the long plain words of the benchmark table."""
+    words = table(spark, sf_dir, "benchmark").select(
+        "item_id", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("pos", "term")
+    )
+    listed = words.where(F.length("term") >= 8).select(
+        (F.col("item_id") * 100_000 + F.col("pos")).alias("ord"),
+        "term",
+        F.lit("word").alias("category"),
+        F.lit(False).alias("whole_word"),
+    )
+    return TermList.from_table(audit.term_table(listed))
+
+
+def blocklist_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return filters.blocklist_filter(docs, wide_terms(spark, sf_dir)).select("doc_id")
+
+
 def phrase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.phrase_filter(table(spark, sf_dir, "documents"), PHRASES).select("doc_id", "text")
 
@@ -559,7 +582,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         scan_shards, subset_scan, jsonl_roundtrip, jsonl_count, wholetext_scan, catalog_select,
         write_shards, validate_shards, all_shards_valid, resume_pending, dialogue_jsonl,
         corpus_report_json, audience_filter, min_length, empty_docs, blocklist_filter,
-        blocklist_first_term, blocklist_flagged, phrase_filter, verdict_gate, score_gate,
+        blocklist_first_term, blocklist_flagged, blocklist_wide, phrase_filter, verdict_gate, score_gate,
         layered_gate, term_table, audit_summary, dirty_shards, audit_log, audit_repack,
         dirty_rewrite, stream_audit, source_union, epoch_mixture, token_budget, subset_totals,
         mixture_budget, tokenizer_extract, seeded_shuffle, shard_pack, pad_shards,
@@ -760,6 +783,15 @@ def oracle_sql() -> dict[str, str]:
         "blocklist_filter": f"SELECT doc_id, text FROM documents WHERE NOT coalesce({any_term('text')}, false)",
         "blocklist_first_term": f"SELECT doc_id, {first_term('text')} AS matched_term FROM documents",
         "blocklist_flagged": f"SELECT doc_id, {first_term('text')} AS matched_term FROM documents WHERE {any_term('text')}",
+        "blocklist_wide": """WITH words AS (
+              SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS term FROM benchmark),
+            patterns AS (SELECT array_to_string(list_transform(string_split(term, ''), lambda ch: CASE ch
+                WHEN 'a' THEN '[a@4^]' WHEN 'e' THEN '[e3&]' WHEN 'i' THEN '[i1!|y]' WHEN 'o' THEN '[o0*]'
+                WHEN 's' THEN '[s$5z]' WHEN 't' THEN '[t7+]' WHEN 'l' THEN '[l1|]' WHEN 'u' THEN '[uv@*]'
+                WHEN 'c' THEN '[ck]' WHEN 'k' THEN '[kc]' ELSE ch END), '') AS p
+              FROM words WHERE length(term) >= 8),
+            list AS (SELECT string_agg(p, '|') AS p FROM patterns)
+            SELECT doc_id FROM documents, list WHERE NOT regexp_matches(lower(text), p)""",
         "phrase_filter": f"SELECT doc_id, text FROM documents WHERE NOT {any_phrase('text')}",
         "verdict_gate": """SELECT doc_id, coalesce(labels.toxic = 0, false) AS is_safe
             FROM documents LEFT JOIN labels USING (doc_id)""",

@@ -29,5 +29,5 @@ def bucket_digits(rows: int, rows_per_bucket: int) -> int:
 
 
 def whole_div(value: Column, by: int) -> Column:
-    """Integer division of a non-negative bigint, exact beyond 2**53."""
-    return ((value - value % by) / by).cast("bigint")
+    """Integer division of a non-negative whole number, exact beyond 2**53."""
+    return F.call_function("div", value, F.lit(by))

@@ -25,6 +25,8 @@ ROW_GROUP_ROWS = 1024
 
 # Rows one window partition or one numpy block should hold.
 BUCKET_ROWS = 1 << 20
+# Hex digits of a global order's buckets, at least: small inputs get the same plan.
+MIN_DIGITS = 2
 # Tasks used at most when every shard is handled by one task.
 MAX_SHARD_TASKS = 200_000
 # Blocks whose boundary maps are chained in one task.
@@ -36,7 +38,11 @@ def padded_rows(rows: Column, group_rows: int = ROW_GROUP_ROWS) -> Column:
 
 
 def _bucket_starts(df: DataFrame, value: Column, *group: str) -> DataFrame:
-    """Total of ``value`` in the earlier buckets, per bucket (a small table)."""
+    """Total of ``value`` in the earlier buckets, per bucket.
+
+    Only the bucket totals are ordered in one place: 16**digits rows, which is
+    65,536 for 40 billion documents.
+    """
     order = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     earlier = order.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = df.groupBy(*group, "bucket").agg(value.alias("_part"))
@@ -53,7 +59,7 @@ def seeded_positions(
     of the earlier buckets; nothing sorts the whole table in one task.
     """
     ids = df.select(row_id)
-    digits = bucket_digits(ids.count(), bucket_rows)
+    digits = max(MIN_DIGITS, bucket_digits(ids.count(), bucket_rows))
     key = shuffle_key(F.col(row_id), seed)
     keyed = ids.withColumn("shuffle_key", key).withColumn("bucket", key_bucket(key, digits))
     starts = broadcast_within(_bucket_starts(keyed, F.count(F.lit(1))), 16**digits)
@@ -117,7 +123,7 @@ def plan_shards(
         "lengths",
     )
     rows, total = lengths.agg(F.count("key"), F.coalesce(F.sum("chars"), F.lit(0))).first()
-    digits = max(bucket_digits(rows, bucket_rows), bucket_digits(total // target, 4))
+    digits = max(MIN_DIGITS, bucket_digits(rows, bucket_rows), bucket_digits(total // target, 4))
     buckets = 16**digits
 
     keyed = lengths.withColumn("bucket", key_bucket(F.col("key"), digits))

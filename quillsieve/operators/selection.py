@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -106,8 +107,9 @@ def budget_cut(
         part = F.lit(None).cast("bigint")
         for name, r in wide.items():
             r["step"] = (r["hi"] - r["lo"]) // splits + 1
-            offset = F.col("r") - F.lit(r["lo"])
-            part = F.when(F.col("g") == name, whole_div(offset, r["step"])).otherwise(part)
+            # Decimals, because ids may span more than half of the bigint range.
+            offset = F.col("r").cast("decimal(20,0)") - F.lit(Decimal(r["lo"]))
+            part = F.when(F.col("g") == name, whole_div(offset, Decimal(r["step"]))).otherwise(part)
         sums = (
             narrow.where(inside(wide))
             .groupBy("g", part.alias("part"))

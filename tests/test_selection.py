@@ -37,6 +37,15 @@ def test_budget_cut_equals_sequential_rule(spark, seed):
         assert kept(cut) == brute_cut(rows, budget), budget
 
 
+def test_budget_cut_with_hash_like_ids(spark):
+    rng = random.Random(8)
+    rows = [(0, rng.randint(-(2**63), 2**63 - 1), 1) for _ in range(200)]
+    rows += [(0, 2**63 - 1 - i, 1) for i in range(100)]
+    for budget in (50, 150, 250, 290):
+        cut = selection.budget_cut(frame(spark, rows), budget, leaf_rows=5, splits=8)
+        assert kept(cut) == brute_cut(rows, budget)
+
+
 def test_budget_cut_exact_hit_and_overshoot(spark):
     df = frame(spark, [(0, 1, 10), (0, 2, 10), (0, 3, 0), (0, 4, 10)])
     assert kept(selection.budget_cut(df, 20)) == {(0, 1), (0, 2)}
