@@ -28,7 +28,7 @@ BUCKET_ROWS = 1 << 20
 # Hex digits of a global order's buckets, at least: small inputs get the same plan.
 MIN_DIGITS = 2
 # Tasks used at most when every shard is handled by one task.
-MAX_SHARD_TASKS = 200_000
+MAX_SHARD_TASKS = 50_000
 # Blocks whose boundary maps are chained in one task.
 CHAIN_BLOCKS = 64
 
@@ -75,7 +75,7 @@ def seeded_positions(
 class ShardPlan:
     """Where every shard of a packed corpus ends, as keys of the seeded shuffle."""
 
-    lengths: DataFrame
+    placed: DataFrame
     lookup: DataFrame
     lookup_rows: int
     digits: int
@@ -95,8 +95,9 @@ class ShardPlan:
         return self._place(df.withColumn("shuffle_key", shuffle_key(F.col(row_id), self.seed)))
 
     def sizes(self) -> DataFrame:
-        """Rows per shard, from the stored lengths."""
-        keys = self.lengths.select(F.col("key").alias("shuffle_key"))
+        """Rows per shard, from the stored keys; these lie in shuffle order, so that
+        the map side already combines most of them."""
+        keys = self.placed.select(F.col("key").alias("shuffle_key"))
         return self._place(keys).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -123,7 +124,7 @@ def plan_shards(
         "lengths",
     )
     rows, total = lengths.agg(F.count("key"), F.coalesce(F.sum("chars"), F.lit(0))).first()
-    digits = max(MIN_DIGITS, bucket_digits(rows, bucket_rows), bucket_digits(total // target, 4))
+    digits = max(MIN_DIGITS, bucket_digits(rows, bucket_rows), bucket_digits(total // target, 16))
     buckets = 16**digits
 
     keyed = lengths.withColumn("bucket", key_bucket(F.col("key"), digits))
@@ -137,11 +138,12 @@ def plan_shards(
         .select("bucket", "key", "chars", (F.col("start") + F.col("_running")).alias("cum")),
         "placed",
     )
-    ends = shard_ends(placed.select("cum"), rows, total, target, bucket_rows, chain_blocks)
-    # An empty document shares its "cum" with the one before; it never closes a shard.
+    # An empty document shares its "cum" with the one before and never closes a shard;
+    # without them the totals are strictly increasing.
+    filled = placed.where("chars > 0")
+    ends = shard_ends(filled.select("cum"), rows, total, target, bucket_rows, chain_blocks)
     closing = (
-        placed.where("chars > 0")
-        .join(broadcast_within(ends, total // target + 1), "cum")
+        filled.join(broadcast_within(ends, total // target + 1), "cum")
         .groupBy("bucket")
         .agg(F.array_sort(F.collect_list("key")).alias("closing"))
     )
@@ -155,7 +157,7 @@ def plan_shards(
         .withColumn("closed", F.coalesce(F.sum(F.size("closing")).over(earlier), F.lit(0)))
     )
     return ShardPlan(
-        lengths=lengths,
+        placed=placed,
         lookup=materialize(lookup, "closing"),
         lookup_rows=buckets + total // target,
         digits=digits,
@@ -176,7 +178,7 @@ def shard_ends(
     block_rows: int = BUCKET_ROWS,
     chain_blocks: int = CHAIN_BLOCKS,
 ) -> DataFrame:
-    """Running totals (``cum``) at which a shard closes.
+    """Running totals (distinct ``cum`` values) at which a shard closes.
 
     The next end is the first total at or above "last end + target", a chain
     with one link per shard. It is cut into blocks of the value range. Every
@@ -189,7 +191,7 @@ def shard_ends(
     rows_per_shard = max(1, rows * target // max(total, 1))
     span = max(1, block_rows // rows_per_shard) * target
     n_blocks = total // span + 1
-    blocked = cums.distinct().select(whole_div(F.col("cum"), span).alias("block"), "cum")
+    blocked = cums.select(whole_div(F.col("cum"), span).alias("block"), "cum")
     entered = spark.createDataFrame([(0, target)], "block bigint, threshold bigint")
 
     def walk_thresholds(blocks: list, thresholds: np.ndarray) -> np.ndarray:
@@ -346,8 +348,20 @@ def pad_shards(
 
 
 def sample_rows(df: DataFrame, k: int, row_id: str, seed: int = SAMPLE_SEED) -> DataFrame:
-    """Seeded sample of ``min(k, n)`` rows without replacement (top-k per task, then merged)."""
-    return df.orderBy(shuffle_key(F.col(row_id), seed), row_id).limit(k)
+    """Seeded sample of ``min(k, n)`` rows without replacement: the k smallest keys.
+
+    Each task would send its own k candidates to the merge. On large inputs a
+    key ceiling that about 2k rows pass keeps that small; should too few pass,
+    all rows compete.
+    """
+    key = shuffle_key(F.col(row_id), seed)
+    rows = df.count()
+    if rows > 8 * k + 800:
+        share = int((2 * k + 200) / rows * 16**12)
+        near = df.where(key < F.lit(f"{share:012x}"))
+        if near.count() >= k:
+            df = near
+    return df.orderBy(key, row_id).limit(k)
 
 
 def sample_previews(

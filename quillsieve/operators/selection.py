@@ -17,6 +17,8 @@ SOURCE_FRACTIONS = {"educational": 0.70, "books": 0.30}
 # Rows one running-sum window may hold, and the ways a wider range is split.
 LEAF_ROWS = 1 << 20
 RANGE_SPLITS = 1024
+# Subsets (times groups) whose totals the driver walks through.
+MAX_SUBSETS = 100_000
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
@@ -84,7 +86,10 @@ def budget_cut(
         F.sum("t").alias("t"), F.count("t").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")
     )
     per_subset: dict[str, list] = {}
-    for row in summed.collect():
+    listed = summed.limit(MAX_SUBSETS + 1).collect()
+    if len(listed) > MAX_SUBSETS:
+        raise ValueError(f"{ord!r} must number subsets; it has more than {MAX_SUBSETS} values")
+    for row in listed:
         per_subset.setdefault(row.g, []).append(row)
 
     open_ranges = {}

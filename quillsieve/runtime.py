@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Rows a table may provably have before it is no longer sent to every executor.
-BROADCAST_ROWS = 500_000
+# Rows a narrow table may provably have before it is no longer sent to every executor
+# (about 100 bytes each).
+BROADCAST_ROWS = 1_000_000
 
 # Inputs below this size are spread over the cores after the scan; larger ones
 # already arrive in enough row groups and must not be shuffled for it.

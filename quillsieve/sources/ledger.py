@@ -24,7 +24,7 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 def outstanding(df: DataFrame, ledger: DataFrame, kind: str, key: str) -> DataFrame:
     """Rows whose key the ledger does not list."""
-    done = ledger.where(F.col("kind") == kind).select(F.col("key").alias("_done")).distinct()
+    done = ledger.where(F.col("kind") == kind).select(F.col("key").alias("_done"))
     return df.join(done, F.col(key).cast("string") == F.col("_done"), "left_anti")
 
 

@@ -116,6 +116,12 @@ def test_sample_is_without_replacement_and_bounded(spark):
     assert got == sorted(range(10), key=lambda i: key(i, 123))[:3]
 
 
+def test_sample_of_a_large_input_is_the_same(spark):
+    df = spark.range(5000).withColumnRenamed("id", "doc_id")
+    got = [r.doc_id for r in packing.sample_rows(df, 50, "doc_id").collect()]
+    assert got == sorted(range(5000), key=lambda i: key(i, 123))[:50]
+
+
 def test_split_takes_last_shard(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, 2), (4, 2)], "doc_id int, shard bigint")
     got = {r.doc_id: r.split for r in packing.train_val_split(df).collect()}
