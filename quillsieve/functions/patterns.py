@@ -42,8 +42,11 @@ DEFAULT_PHRASES = [
 MAX_TERMS = 50_000
 
 _GAP = "gap"
-_WORD = r"[\p{L}\p{N}_]"
-_NO_WORD = r"[^\p{L}\p{N}_]"
+# Neighbours of a word boundary: (word character, anything else), once for those
+# that are so for certain and once for all that may be. Classes of foreign letters
+# would overflow the matching engine's state cache; see matching.py.
+_CERTAIN = (r"[0-9A-Za-z_]", r"[\x00-/:-@\[-^`{-\x7f]")
+_POSSIBLE = (r"[0-9A-Za-z_\x{80}-\x{10FFFF}]", r"[^0-9A-Za-z_]")
 
 
 @dataclass(frozen=True)
@@ -103,19 +106,28 @@ class TermList:
         return cls.of(Term(r.ord, r.term, r.category or "", bool(r.whole_word)) for r in rows)
 
 
-def scan_pattern(term: Term) -> str:
-    """Pattern that finds one term in lowered text.
+def exact_pattern(term: Term) -> str:
+    """Pattern of one term with word boundaries that know all letters."""
+    body = term_pattern(term.term)
+    return rf"\b{body}\b" if term.whole_word else body
 
-    ``\\b`` knows ASCII only in the matching engine, so boundaries are spelled out.
 
-    A word boundary lies between a word character and anything else, so an
-    edge character that is a symbol needs a word character next to it and one
-    that is a word character needs none. The neighbours are matched along.
+def scan_patterns(term: Term) -> tuple[str, str]:
+    """Patterns for an engine whose ``\\b`` knows ASCII only: sure and possible matches.
+
+    They differ only where a foreign character touches a whole-word term. A
+    boundary lies between a word character and anything else, so an edge that
+    is a symbol needs a word character next to it and one that is a word
+    character needs none. The neighbours are matched along.
     """
     if not term.whole_word:
-        return term_pattern(term.term)
+        return term_pattern(term.term), term_pattern(term.term)
     if term.term != term.term.strip(" "):
         raise ValueError(f"a whole-word term starts or ends with a space: {term.term!r}")
+    return _bounded(term, *_CERTAIN), _bounded(term, *_POSSIBLE)
+
+
+def _bounded(term: Term, word_char: str, other_char: str) -> str:
     units = [
         (_char_class(GAP_CHARS) + "*", frozenset(GAP_CHARS)) if u == _GAP else (_char_class(u), u)
         for u in _units(term.term)
@@ -128,10 +140,10 @@ def scan_pattern(term: Term) -> str:
         return [(_char_class(part), is_word) for part, is_word in split if part]
 
     def before(is_word: bool) -> str:
-        return f"(?:^|{_NO_WORD})" if is_word else _WORD
+        return f"(?:^|{other_char})" if is_word else word_char
 
     def after(is_word: bool) -> str:
-        return f"(?:{_NO_WORD}|$)" if is_word else _WORD
+        return f"(?:{other_char}|$)" if is_word else word_char
 
     first, last = edges(units[0][1]), edges(units[-1][1])
     if len(units) == 1:

@@ -61,7 +61,7 @@ def test_flags_agree_with_single_regexes(spark):
 
 def test_whole_word_term_with_outer_space_is_refused():
     with pytest.raises(ValueError):
-        P.scan_pattern(Term(0, " a", "", True))
+        P.scan_patterns(Term(0, " a", "", True))
 
 
 @settings(max_examples=300, deadline=None)
