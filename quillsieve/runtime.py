@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # (about 100 bytes each).
 BROADCAST_ROWS = 1_000_000
 
-# Inputs below this size are spread over the cores after the scan; larger ones
-# already arrive in enough row groups and must not be shuffled for it.
+# Inputs below this size may sit in fewer row groups than there are cores; larger
+# ones must not be shuffled for it.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
@@ -61,8 +61,9 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a small single-row-group input over the cores before CPU-heavy work."""
-    spark = df.sparkSession
+    """Spread a small input in few files over the cores before CPU-heavy work."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if size < SMALL_INPUT_BYTES and cores > 1 else df
+    if size >= SMALL_INPUT_BYTES:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
