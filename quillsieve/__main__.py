@@ -18,6 +18,7 @@ from .plans.audit import audit_corpus, rewrite_dirty
 from .plans.build import TARGET_TOKENS, build_corpus
 from .plans.dialogues import TARGET_DIALOGUES, accepted, request_table, screen_replies
 from .plans.report import report_json
+from .runtime import drop_stages
 from .sources.documents import append_dialogues, read_books, scan_subsets
 from .sources.shards import all_valid, validate_shards, write_shards
 from .streaming.audit_stream import audit_new_shards, audited, audited_counts
@@ -147,7 +148,10 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"quillsieve {args.job}").getOrCreate()
-    args.run(spark, args)
+    try:
+        args.run(spark, args)
+    finally:
+        drop_stages(spark)
 
 
 if __name__ == "__main__":

@@ -16,6 +16,7 @@ BROADCAST_ROWS = 1_000_000
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
+_app_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,13 +35,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _filesystem(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder, dropped when the application ends."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+    """A fresh path below this application's part of the shared folder.
+
+    That part is removed when the application ends (see also drop_stages).
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _app_dirs:
+        root = f"{shared_dir(spark)}/quillsieve-{app}-{uuid.uuid4().hex}"
+        filesystem, target = _filesystem(spark, root)
+        filesystem.mkdirs(target)
+        filesystem.deleteOnExit(target)
+        _app_dirs[app] = root
+    return f"{_app_dirs[app]}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove the stored intermediate tables early; results built on them must be written by now."""
+    root = _app_dirs.pop(spark.sparkContext.applicationId, None)
+    if root:
+        filesystem, target = _filesystem(spark, root)
+        filesystem.delete(target, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -8,7 +9,7 @@ from quillsieve.functions.patterns import Term, TermList
 from quillsieve.operators import packing
 from quillsieve.plans.build import build_corpus
 from quillsieve.plans.report import report_json
-from quillsieve.runtime import materialize, run_dir, shared_dir
+from quillsieve.runtime import drop_stages, materialize, run_dir, shared_dir
 from quillsieve.sources import documents, ledger, shards
 from quillsieve.streaming import audit_stream
 
@@ -176,3 +177,12 @@ def test_materialized_tables_live_in_the_shared_folder(spark):
     df = materialize(spark.range(3), "probe")
     assert df.count() == 3 and all(shared_dir(spark) in f for f in df.inputFiles())
     assert run_dir(spark, "x") != run_dir(spark, "x")
+
+
+def test_stages_can_be_dropped(spark):
+    df = materialize(spark.range(3), "probe")
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    assert os.path.isdir(folder)
+    drop_stages(spark)
+    assert not os.path.exists(os.path.dirname(folder))
+    assert materialize(spark.range(2), "probe").count() == 2
