@@ -57,8 +57,8 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
     docs = shard_rows(spark, args.input)
     phrases = DEFAULT_PHRASES if args.phrases else []
-    result = audit_corpus(docs, read_terms(spark, args.terms), phrases)
-    write_shards(result.kept, args.output, extra=pad_flag(args))
+    result = audit_corpus(docs, read_terms(spark, args.terms), phrases, whole_shards=True)
+    write_shards(result.kept, args.output, clustered=True, extra=pad_flag(args))
     result.log.write.mode("overwrite").json(f"{args.output}-log")
     result.counts.orderBy("shard").show(1000, truncate=False)
 
@@ -79,7 +79,8 @@ def audit_new(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def rewrite(spark: SparkSession, args: argparse.Namespace) -> None:
     """Second pass: writes replacements of the changed shards to a staging folder."""
-    write_shards(rewrite_dirty(shard_rows(spark, args.input)), args.output, mode="dynamic")
+    changed = rewrite_dirty(shard_rows(spark, args.input), whole_shards=True)
+    write_shards(changed, args.output, mode="dynamic", clustered=True)
 
 
 def stats(spark: SparkSession, args: argparse.Namespace) -> None:

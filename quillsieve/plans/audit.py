@@ -32,13 +32,14 @@ def audit_corpus(
     row_id: str = "doc_id",
     text: str = "text",
     group_rows: int = ROW_GROUP_ROWS,
+    whole_shards: bool = False,
 ) -> AuditResult:
     """Screen ``docs`` in one pass; ``phrases`` adds the second pass to the same scan.
 
     Matching costs far more than storing, so the screened rows are written once
     and counts, log and repacking read them back: counts without the texts, the
     log only the rejected rows. Pad copies of an earlier run are dropped first
-    and the survivors padded anew.
+    and the survivors padded anew (``whole_shards`` as in pad_shards).
     """
     phrases = list(phrases)
     if "is_pad" in docs.columns:
@@ -50,7 +51,9 @@ def audit_corpus(
         kept = kept.withColumn("shuffle_key", shuffle_key(F.col(row_id)))
     sizes = counts.where(F.col("kept") > 0).select(shard, F.col("kept").alias("n"))
     return AuditResult(
-        kept=pad_shards(kept, shard, row_id, group_rows=group_rows, sizes=sizes),
+        kept=pad_shards(
+            kept, shard, row_id, group_rows=group_rows, sizes=sizes, whole_shards=whole_shards
+        ),
         counts=counts,
         log=evidence(screened, terms, phrases, row_id, text),
     )
@@ -63,6 +66,7 @@ def rewrite_dirty(
     row_id: str = "doc_id",
     text: str = "text",
     group_rows: int = ROW_GROUP_ROWS,
+    whole_shards: bool = False,
 ) -> DataFrame:
     """The padded replacement rows of the shards that lose a document; others are left alone."""
     phrases = list(phrases)
@@ -73,4 +77,6 @@ def rewrite_dirty(
     if "shuffle_key" not in survivors.columns:
         survivors = survivors.withColumn("shuffle_key", shuffle_key(F.col(row_id)))
     sizes = dirty.where(F.col("kept") > 0).select(shard, F.col("kept").alias("n"))
-    return pad_shards(survivors, shard, row_id, group_rows=group_rows, sizes=sizes)
+    return pad_shards(
+        survivors, shard, row_id, group_rows=group_rows, sizes=sizes, whole_shards=whole_shards
+    )

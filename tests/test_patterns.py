@@ -1,5 +1,4 @@
 import random
-import re
 
 import pyarrow as pa
 import pytest
@@ -12,18 +11,36 @@ from quillsieve.functions.patterns import Term, TermList
 from quillsieve.operators import audit, filters
 
 
-def python_pattern(term):
-    """The rule for one term, spelled out independently."""
-    table = {k: "[" + re.escape(v) + "]" for k, v in P.SUBSTITUTIONS.items()}
-    body = "".join(table.get(c, r"[\s\-_]*" if c == " " else re.escape(c)) for c in term.term.lower())
-    return re.compile(rf"\b{body}\b" if term.whole_word else body, re.IGNORECASE)
+def occurs(term, text):
+    """Character-by-character search for one term, without regular expressions."""
+    text = text.lower()
+
+    def is_word(at):
+        return 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+
+    def boundary(at):
+        return is_word(at - 1) != is_word(at)
+
+    for start in range(len(text) + 1):
+        ends = {start}
+        for letter in term.term:
+            if letter == " ":
+                for end in sorted(ends):
+                    while end < len(text) and (text[end].isspace() or text[end] in "-_"):
+                        end += 1
+                        ends.add(end)
+            else:
+                accepted = P.SUBSTITUTIONS.get(letter, letter)
+                ends = {end + 1 for end in ends if end < len(text) and text[end] in accepted}
+        if term.whole_word:
+            ends = {end for end in ends if boundary(start) and boundary(end)}
+        if ends:
+            return True
+    return False
 
 
 def python_first(terms, text):
-    for term in terms.terms:
-        if python_pattern(term).search(text):
-            return term.term
-    return None
+    return next((term.term for term in terms.terms if occurs(term, text)), None)
 
 
 def spark_first(spark, terms, texts):

@@ -1,5 +1,3 @@
-import re
-
 from pyspark.sql import functions as F
 
 from quillsieve.functions import reporting, textnorm as tn
@@ -43,34 +41,26 @@ def test_token_count_truncates_and_prefers_stored(spark):
     assert got == [int(47 / 4.8), int(48 / 4.8), 3, 0]
 
 
-def expected_body(raw):
-    start = re.search(r"\*\*\* ?START OF (?:THE|THIS) PROJECT GUTENBERG EBOOK.*?\*\*\*", raw, re.I)
-    if start:
-        raw = raw[start.end():]
-    end = re.search(r"\*\*\* ?END OF (?:THE|THIS) PROJECT GUTENBERG EBOOK.*?\*\*\*", raw, re.I)
-    if end:
-        raw = raw[: end.start()]
-    return re.sub(r"\n{4,}", "\n\n\n", raw.strip())
-
-
 def test_strip_boilerplate_marker_cases(spark):
     s, e = "*** START OF THE PROJECT GUTENBERG EBOOK A ***", "*** END OF THIS PROJECT GUTENBERG EBOOK A ***"
-    raws = [
-        f"head\n{s}\nbody\n{e}\ntail",
-        f"head\n{s}\nbody",
-        f"body\n{e}\ntail",
-        "no markers\n\n\n\n\nat all",
-        f"h ***start of this project gutenberg ebook x*** body {e}",
-        "h *** START OF THE PROJECT GUTENBERG EBOOK A\nB *** body",
-        f"{s} one {e} two {e} three",
-        f"{e} first {s} second",
-        f"a\r\n{s}\r\nline\r\n{e}\r\n",
-        f"{s}  x \u0085{e}",
-        "*** START OF THE PROJECT GUTENBERG EBOOK A\rB *** body",
-        f"{s} a {s} b {e}",
-        "",
-    ]
-    assert evaluate(spark, raws, tn.strip_boilerplate(F.col("v"))) == [expected_body(r) for r in raws]
+    split_marker = "h *** START OF THE PROJECT GUTENBERG EBOOK A\nB *** body"
+    cases = {
+        f"head\n{s}\nbody\n{e}\ntail": "body",
+        f"head\n{s}\nbody": "body",
+        f"body\n{e}\ntail": "body",
+        "no markers\n\n\n\n\nat all": "no markers\n\n\nat all",
+        "three\n\n\nstay": "three\n\n\nstay",
+        f"h ***start of this project gutenberg ebook x*** body {e}": "body",
+        split_marker: split_marker,
+        f"{s} one {e} two {e} three": "one",
+        f"{e} first {s} second": "second",
+        f"a\r\n{s}\r\nline\r\n{e}\r\n": "line",
+        f"{s}  x \u0085{e}": "x",
+        "*** START OF THE PROJECT GUTENBERG EBOOK A\rB *** body": "body",
+        f"{s} a {s} b {e}": f"a {s} b",
+        "": "",
+    }
+    assert evaluate(spark, list(cases), tn.strip_boilerplate(F.col("v"))) == list(cases.values())
 
 
 def test_strip_boilerplate_large_input(spark):
