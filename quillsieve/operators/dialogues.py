@@ -104,7 +104,7 @@ def blocked_conversations(
 def joined_text(
     rows: DataFrame, key: str, order: str, piece: Column, separator: str = "", out: str = "text"
 ) -> DataFrame:
-    """Concatenate the pieces of a key in ``order`` (a non-negative integer).
+    """Concatenate the pieces of a key in ``order`` (a non-negative integer); nulls are skipped.
 
     Runs of consecutive pieces are joined first, spread over the cluster, so a
     long key arrives at its last step as a few large strings.
@@ -116,7 +116,6 @@ def joined_text(
 
     runs = (
         rows.select(key, order, piece.alias("_piece"))
-        .where(F.col("_piece").isNotNull())
         .groupBy(key, whole_div(F.col(order), PIECE_SPAN).alias("_run"))
         .agg(F.collect_list(run).alias("_items"))
         .select(key, "_run", glue(F.col("_items")).alias("_piece"))
