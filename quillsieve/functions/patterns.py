@@ -39,7 +39,7 @@ DEFAULT_PHRASES = [
 ]
 
 # A list this long is a data table, not a pattern; it is refused rather than cut.
-MAX_TERMS = 50_000
+MAX_TERMS = 500_000
 
 _GAP = "gap"
 # Neighbours of a word boundary: (word character, anything else), once for those
