@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable, Iterator
@@ -577,7 +578,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return audit_summary(spark, "/root/testdata/sf0.001")
 
 
+def llm_part() -> list:
+    """Modules with queries of the training-data operators and the pipeline, if they are there."""
+    parts = []
+    for name in ("quillsieve.llm.queries", "corpus_pipeline"):
+        try:
+            parts.append(importlib.import_module(name))
+        except ModuleNotFoundError as missing:
+            if not f"{missing.name}.".startswith(("quillsieve.llm.", "corpus_pipeline.")):
+                raise
+    return parts
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = library_queries()
+    for part in llm_part():
+        named |= part.queries()
+    return named
+
+
+def oracle_sql() -> dict[str, str]:
+    named = library_sql()
+    for part in llm_part():
+        named |= part.oracle_sql()
+    return named
+
+
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         scan_shards, subset_scan, jsonl_roundtrip, jsonl_count, wholetext_scan, catalog_select,
         write_shards, validate_shards, all_shards_valid, resume_pending, dialogue_jsonl,
@@ -734,7 +761,7 @@ def budget_sql(group: str, budget: str) -> str:
           WHERE before < {budget})"""
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
     valid = """SELECT conv_id, count(*) AS messages,
         count(*) >= 4 AND bool_and(role IN ('user', 'assistant') AND text IS NOT NULL)
           AND arg_min(role, turn) = 'user' AS is_valid

@@ -28,14 +28,14 @@ def canonical(rows):
 
 
 def test_contract_is_complete():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.library_queries()) == set(contract.library_sql())
 
 
 def test_flagship(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.library_queries())
 def test_query_equals_sql(spark, duck, sf_dir, name):
     df = contract.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
