@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillsieve.llm import idfiles, packing, tokencounts
+from quillsieve.llm import idfiles, packing, substring, tokencounts
 from quillsieve.llm.tokens import vocabulary
 from quillsieve.runtime import run_dir
 
@@ -26,6 +26,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(texts(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = 50256  # the end-of-text id of this vocabulary, which no text yields
     written = tokencounts.write_flat(
@@ -42,7 +47,7 @@ def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_packing, op6_token_counts, op9_id_files]
+    listed = [op1_packing, op5_substring_dedup, op6_token_counts, op9_id_files]
     return {q.__name__: q for q in listed}
 
 
