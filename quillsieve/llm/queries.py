@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillsieve.llm import idfiles, packing, substring, tokencounts
+from quillsieve.llm import idfiles, minhash, packing, substring, tokencounts
 from quillsieve.llm.tokens import vocabulary
 from quillsieve.runtime import run_dir
 
@@ -41,13 +41,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.with_doc_ids(counts, written).select("doc_id", "n_tokens", "terminated")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(texts(spark, sf_dir))
+
+
 def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = idfiles.roundtrip(texts(spark, sf_dir), vocabulary("word_bpe_49k.json"))
     return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_packing, op5_substring_dedup, op6_token_counts, op9_id_files]
+    listed = [op1_packing, op5_substring_dedup, op6_token_counts, op7_minhash, op9_id_files]
     return {q.__name__: q for q in listed}
 
 
