@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 
@@ -14,7 +15,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
     """Each batch in slices of about ``most`` bytes of ``column``; a longer value is a slice of its own."""
     for batch in batches:
         values = batch.column(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
         part = np.cumsum(sizes, dtype=np.int64) // most
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for low, high in zip(cuts, cuts[1:]):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillsieve.llm import idfiles, minhash, packing, substring, tokencounts
+from quillsieve.llm import idfiles, langid, minhash, packing, quality, substring, tokencounts
 from quillsieve.llm.tokens import vocabulary
 from quillsieve.runtime import run_dir
 
@@ -26,6 +26,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, langid.learn(docs))
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(texts(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -45,13 +51,24 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(texts(spark, sf_dir))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(spark, sf_dir)
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = idfiles.roundtrip(texts(spark, sf_dir), vocabulary("word_bpe_49k.json"))
     return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_packing, op5_substring_dedup, op6_token_counts, op7_minhash, op9_id_files]
+    listed = [op1_packing, op3_language_id, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files]
     return {q.__name__: q for q in listed}
 
 
