@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillsieve.llm import idfiles, langid, minhash, packing, quality, substring, tokencounts
+from quillsieve.llm import decontam, idfiles, langid, minhash, packing, quality, substring, tokencounts
 from quillsieve.llm.tokens import vocabulary
 from quillsieve.runtime import run_dir
 
@@ -67,8 +67,12 @@ def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_packing, op3_language_id, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files]
+    listed = [op1_packing, op3_language_id, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files, op10_decontamination]
     return {q.__name__: q for q in listed}
 
 
