@@ -38,7 +38,7 @@ WINDOW = 50
 BLOCK = 11
 STEP = 3
 # Text bytes behind one bucket of hashes and one group of documents.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 _HEAD = "<QQQ"
 _LAST = np.iinfo(np.int64).max
 _PRIME = 2**31 - 1
@@ -100,7 +100,7 @@ def _anchors(docs: DataFrame, buckets: int, window: int, block: int, step: int)
     schema = pa.schema([("bucket", pa.int64()), ("anchors", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrow.slices(batches, "text", 16 << 20):
+        for part in arrow.slices(batches, "text"):
             words = read_words(part.column("text"))
             long = words.sizes >= window
             place = np.arange(len(words.starts)) - np.repeat(words.first, words.sizes)

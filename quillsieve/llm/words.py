@@ -16,7 +16,8 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # Odd multipliers of the polynomial hashes of bytes in a word and of words in a window.
 _BYTE_STEP = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _WORD_STEP = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_ALL = (1 << 64) - 1
+# Words hashed at a time, so the arrays over their bytes stay small.
+CHUNK_WORDS = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -69,14 +70,16 @@ class Words:
 
     def hashes(self, which: int = 0, fold: bool = False) -> np.ndarray:
         """A 64-bit hash of each word; ``which`` picks one of two independent ones, ``fold`` ignores case of A-Z."""
-        lengths = self.ends - self.starts
-        if not len(lengths):
-            return np.zeros(0, np.uint64)
-        heads = np.cumsum(lengths) - lengths
-        inside = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
-        letters = self.data[np.repeat(self.starts, lengths) + inside]
-        terms = _TABLES[which, fold][letters] * powers(_BYTE_STEP[which], int(lengths.max()))[inside]
-        return mix(np.add.reduceat(terms, heads))
+        out = np.empty(len(self.starts), np.uint64)
+        for low in range(0, len(out), CHUNK_WORDS):
+            starts, ends = self.starts[low : low + CHUNK_WORDS], self.ends[low : low + CHUNK_WORDS]
+            lengths = ends - starts
+            heads = np.cumsum(lengths) - lengths
+            inside = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
+            letters = self.data[np.repeat(starts, lengths) + inside]
+            terms = _TABLES[which, fold][letters] * powers(_BYTE_STEP[which], int(lengths.max()))[inside]
+            out[low : low + CHUNK_WORDS] = mix(np.add.reduceat(terms, heads))
+        return out
 
     def bytes_of(self, low: int, high: int) -> bytes:
         return self.data[self.starts[low] : self.ends[high - 1]].tobytes() if high > low else b""
