@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillsieve.llm import decontam, idfiles, langid, minhash, packing, quality, substring, tokencounts
+from quillsieve.llm import decontam, idfiles, langid, minhash, packing, quality, substring, tokencounts, topk
 from quillsieve.llm.tokens import vocabulary
 from quillsieve.runtime import run_dir
 
@@ -26,6 +26,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.identify(docs, langid.learn(docs))
@@ -72,9 +77,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_packing, op3_language_id, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files, op10_decontamination]
+    listed = [op1_packing, op2_top_k, op3_language_id, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files, op10_decontamination]
     return {q.__name__: q for q in listed}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_top_k": """WITH v AS (
+              SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+              WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+              FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+              vec_id, score FROM s
+            QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""",
+    }
