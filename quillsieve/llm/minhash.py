@@ -212,9 +212,11 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
         spread = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         apart = placed.join(spread.where("low < high").select("band"), "band", "left_semi")
         sizes = apart.groupBy("band", "component").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
-        centres = sizes.where("n > 1").select("band", "component", "a").unionByName(
+        # Stored: a join right above a union of shuffled tables may find different partition counts.
+        chosen = sizes.where("n > 1").select("band", "component", "a").unionByName(
             apart.where("doc_id = last").select("band", "component", F.col("doc_id").alias("a"))
         )
+        centres = materialize(chosen.distinct(), "centres")
         met = apart.alias("m").join(centres.alias("c"), F.expr("m.band = c.band and m.component <> c.component"))
         more = met.select(F.least("c.a", "m.doc_id").alias("a"), F.greatest("c.a", "m.doc_id").alias("b")).distinct()
         fresh = materialize(more.join(tested, ["a", "b"], "left_anti"), "pairs")
