@@ -149,12 +149,17 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, group_windows: i
     return whole.unionByName(packed)
 
 
-def pack(docs: DataFrame, path: str, **cut) -> DataFrame:
-    """Documents (doc_id, text) as packed pieces with their ids.
+def stored_pieces(docs: DataFrame, path: str, **cut) -> DataFrame:
+    """The pieces of cut_documents as a stored table.
 
-    Empty input gives an empty result; columns beside doc_id and text are not read.
+    Empty input gives an empty table; columns beside doc_id and text are not read.
     """
-    return pack_pieces(materialize(cut_documents(docs, path, **cut), "pieces"))
+    return materialize(cut_documents(docs, path, **cut), "pieces")
+
+
+def pack(docs: DataFrame, path: str, **cut) -> DataFrame:
+    """Documents (doc_id, text) as packed pieces with their ids."""
+    return pack_pieces(stored_pieces(docs, path, **cut))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillsieve.llm import decontam, idfiles, langid, minhash, packing, quality, substring, tokencounts, topk
+from quillsieve.llm import decontam, html_text, idfiles, langid, minhash, packing, quality, substring, tokencounts, topk
 from quillsieve.llm.tokens import vocabulary
 from quillsieve.runtime import run_dir
 
@@ -37,6 +37,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_text.extract(pages).select("page_id", F.col("page_text").alias("text"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(texts(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -77,7 +82,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_packing, op2_top_k, op3_language_id, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files, op10_decontamination]
+    listed = [op1_packing, op2_top_k, op3_language_id, op4_html_text, op5_substring_dedup, op6_token_counts, op7_minhash, op8_quality, op9_id_files, op10_decontamination]
     return {q.__name__: q for q in listed}
 
 
