@@ -20,10 +20,10 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(texts(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
-    return packed.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    pieces = packing.stored_pieces(texts(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+    # Only the checksums of the ids travel to their windows.
+    packed = packing.pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
