@@ -37,8 +37,9 @@ from quillsieve.runtime import materialize
 WINDOW = 50
 BLOCK = 11
 STEP = 3
-# Text bytes behind one bucket of hashes and one group of documents.
-BUCKET_BYTES = 8 << 20
+# Text bytes behind one bucket of hashes, and those of one group of documents.
+BUCKET_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
 _HEAD = "<QQQ"
 _LAST = np.iinfo(np.int64).max
 _PRIME = 2**31 - 1
@@ -240,7 +241,13 @@ def _repeats(windows: DataFrame, groups: int) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, *, window: int = WINDOW, block: int = BLOCK, step: int = STEP, bucket_bytes: int = BUCKET_BYTES
+    docs: DataFrame,
+    *,
+    window: int = WINDOW,
+    block: int = BLOCK,
+    step: int = STEP,
+    bucket_bytes: int = BUCKET_BYTES,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """``docs`` (doc_id, text and any others) with n_words, n_removed and kept_text.
 
@@ -255,12 +262,13 @@ def remove_repeats(
         raise ValueError("block and step miss repeats of this window")
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, groups = max(least, -(-size // bucket_bytes)), max(least, -(-size // group_bytes))
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
-    marks = materialize(_marks(_anchors(narrow, groups, window, block, step), groups), "marks")
+    marks = materialize(_marks(_anchors(narrow, buckets, window, block, step), groups), "marks")
     grouped = narrow.withColumn("group", _group(groups))
-    windows = materialize(_windows(grouped, marks, groups, window, block), "windows")
+    windows = materialize(_windows(grouped, marks, buckets, window, block), "windows")
     apart = _repeats(windows.where("kind = 0").select("key", "rows"), groups)
     near = windows.where("kind = 1").select(F.col("key").alias("group"), "rows")
     repeats = materialize(apart.unionByName(near), "repeats")

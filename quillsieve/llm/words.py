@@ -49,7 +49,7 @@ def powers(step: int, count: int) -> np.ndarray:
         _powers[key] = np.multiply.accumulate(run)
         for other in [k for k in _powers if k[0] == step and k[1] < key[1]]:
             del _powers[other]
-        if key[1] > 1 << 22:  # of a very long text: not kept
+        if key[1] > 1 << 20:  # of a very long text: not kept
             return _powers.pop(key)[:count]
     return _powers[key][:count]
 
