@@ -11,7 +11,8 @@ and pairs that can reach the threshold are verified on whole sets.
 Documents with equal sets form a class first, and only its smallest document
 goes on. Later rounds compare what still is apart within a bucket: the smallest
 member of each component, and the bucket's largest document, with all members of
-other components. Rounds end when one adds no link.
+other components, by one half of the bands and then the other. Rounds end when
+neither half adds a link.
 """
 
 from __future__ import annotations
@@ -176,6 +177,28 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(check, "a bigint, b bigint")
 
 
+def _apart(members: DataFrame, parts: DataFrame | None, tested: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket's centres and its members in other components that are not ``tested`` yet."""
+    if parts is None:
+        placed = members.withColumn("component", F.col("doc_id"))
+    else:
+        placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id")
+        )
+    placed = materialize(placed.select("band", "doc_id", "last", "component"), "placed")
+    spread = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = placed.join(spread.where("low < high").select("band"), "band", "left_semi")
+    sizes = apart.groupBy("band", "component").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
+    # Stored: a join right above a union of shuffled tables may find different partition counts.
+    chosen = sizes.where("n > 1").select("band", "component", "a").unionByName(
+        apart.where("doc_id = last").select("band", "component", F.col("doc_id").alias("a"))
+    )
+    centres = materialize(chosen.distinct(), "centres")
+    met = apart.alias("m").join(centres.alias("c"), F.expr("m.band = c.band and m.component <> c.component"))
+    pairs = met.select(F.least("c.a", "m.doc_id").alias("a"), F.greatest("c.a", "m.doc_id").alias("b")).distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -190,44 +213,40 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     classes = materialize(full.groupBy(digest).agg(F.min("doc_id").alias("doc_id")), "classes")
     heads = full.join(classes, [*digest, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
 
-    banded = heads.select("doc_id", F.explode("bands").alias("band"))
+    banded = heads.select("doc_id", F.posexplode("bands").alias("place", "band"))
     ends = banded.groupBy("band").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    members = materialize(banded.join(ends.where("first < last"), "band"), "buckets")
-
-    links = None
+    members = materialize(
+        banded.join(ends.where("first < last"), "band").select(
+            "band", "doc_id", "first", "last", (F.col("place") % 2).alias("half")
+        ),
+        "buckets",
+    )
     pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    tested = materialize(pairs.distinct(), "pairs")
-    fresh = tested
+    tested = fresh = materialize(pairs.distinct(), "pairs")
+    links = parts = None
+    half = quiet = 0
     while True:
-        near = materialize(_near(fresh, full), "near")
-        added = materialize(_verified(near, own, width).distinct(), "links")
+        added = materialize(_verified(materialize(_near(fresh, full), "near"), own, width).distinct(), "links")
         if added.isEmpty():
-            break
-        links = added if links is None else links.unionByName(added)
-        parts = components(links)
-        placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-            "band", "doc_id", "last", F.coalesce("component", "doc_id").alias("component")
-        )
-        placed = materialize(placed, "placed")
-        spread = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        apart = placed.join(spread.where("low < high").select("band"), "band", "left_semi")
-        sizes = apart.groupBy("band", "component").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
-        # Stored: a join right above a union of shuffled tables may find different partition counts.
-        chosen = sizes.where("n > 1").select("band", "component", "a").unionByName(
-            apart.where("doc_id = last").select("band", "component", F.col("doc_id").alias("a"))
-        )
-        centres = materialize(chosen.distinct(), "centres")
-        met = apart.alias("m").join(centres.alias("c"), F.expr("m.band = c.band and m.component <> c.component"))
-        more = met.select(F.least("c.a", "m.doc_id").alias("a"), F.greatest("c.a", "m.doc_id").alias("b")).distinct()
-        fresh = materialize(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
+            quiet += 1
+        else:
+            quiet, links = 0, added if links is None else links.unionByName(added)
+            parts = components(links)
+        # Half of the bands at a time: most pairs meet in many, and those linked by then are not paired again.
+        while quiet < 2:
+            fresh = materialize(_apart(members.where(F.col("half") == half), parts, tested), "pairs")
+            half = 1 - half
+            if not fresh.isEmpty():
+                break
+            quiet += 1
+        if quiet == 2:
             break
         tested = tested.unionByName(fresh)
 
     grouped = classes.withColumnRenamed("doc_id", "head")
-    if links is not None:
-        parts = components(links).select(F.col("id").alias("head"), "component")
-        grouped = grouped.join(parts, "head", "left").withColumn("component", F.coalesce("component", "head"))
+    if parts is not None:
+        named = parts.select(F.col("id").alias("head"), "component")
+        grouped = grouped.join(named, "head", "left").withColumn("component", F.coalesce("component", "head"))
     else:
         grouped = grouped.withColumn("component", F.col("head"))
     answer = known.select("doc_id", *digest).join(grouped.drop("head"), digest, "left")
