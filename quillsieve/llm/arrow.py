@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,15 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
+def settle() -> None:
+    """Give freed memory back to the system: Python workers live on and serve other operators."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Each batch in slices of about ``most`` bytes of ``column``; a longer value is a slice of its own."""
     for batch in batches:
@@ -21,6 +31,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
         for low, high in zip(cuts, cuts[1:]):
             if high > low:
                 yield batch.slice(low, high - low)
+        del batch, values
+    settle()
 
 
 def binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:

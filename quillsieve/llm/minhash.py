@@ -157,7 +157,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in arrow.slices([whole], "text_b"):
+            for batch in arrow.slices(iter([whole]), "text_b"):
                 names = batch.column("a").to_pylist()
                 distinct = {a: n for n, a in enumerate(dict.fromkeys(names))}
                 firsts = [names.index(a) for a in distinct]

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Distinct pieces a worker remembers before it starts afresh (about 200 bytes each).
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 
 # A mark after a letter or digit and before white space is a piece of its own.
 _OWN = "\x02"
