@@ -14,8 +14,10 @@ place that is a block of one document and a probe of the other, so nothing is
 missed; ``step=1`` probes every window with the same result.
 
 Hashes travel as packed arrays, 5 bytes and a compressed place for an anchor.
-Windows are reduced to the smallest document before they leave a task. Texts
-move by a hash of doc_id, never by content.
+Contents that are common within one slice of documents are settled there: their
+anchors become marks at once, and only two of them go on to meet other slices.
+Windows are reduced to the smallest document in the same way before they leave
+a task. Texts move by a hash of doc_id, never by content.
 """
 
 from __future__ import annotations
@@ -97,8 +99,18 @@ def _group(groups: int) -> Column:
     return ((low * 40503 + high % _PRIME * 30103) % _PRIME) % groups
 
 
-def _anchors(docs: DataFrame, buckets: int, window: int, block: int, step: int) -> DataFrame:
-    schema = pa.schema([("bucket", pa.int64()), ("anchors", pa.binary())])
+def _groups_of(keys: np.ndarray, ids: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key and document, where each key begins, and which keys have both roles and two documents."""
+    order = np.lexsort((ids, keys))
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+    tails = np.append(heads[1:], len(order)) - 1
+    shared = np.bitwise_or.reduceat(roles[order], heads) == 3
+    return order, heads, shared & (ids[order][heads] < ids[order][tails])
+
+
+def _anchors(docs: DataFrame, buckets: int, groups: int, window: int, block: int, step: int) -> DataFrame:
+    """bucket, anchors (with hashes), and marks that were found within a slice (any bucket, no hashes)."""
+    schema = pa.schema([("bucket", pa.int64()), ("anchors", pa.binary()), ("marks", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow.slices(batches, "text"):
@@ -112,14 +124,33 @@ def _anchors(docs: DataFrame, buckets: int, window: int, block: int, step: int)
                 continue
             hashes = rolling(words.hashes(), block)[at]
             ids = np.repeat(_ids(part.column("doc_id")), words.sizes)[at]
+            roles, places = role[at], place[at]
+            order, heads, shared = _groups_of(hashes, ids, roles)
+            settled = order[np.repeat(shared, np.diff(heads, append=len(order)))]
+            goes = np.ones(len(order), bool)
+            goes[settled] = False
+            ends = order[np.concatenate([heads[shared], np.append(heads[1:], len(order))[shared] - 1])]
+            goes[ends], roles[ends] = True, 3  # the smallest and the largest document stand for the content
+            none = np.zeros((len(ids), 0), np.uint8)
+            local = [
+                (g % buckets, pack_places(none[settled[r]], 0, ids[settled[r]], places[settled[r]]))
+                for g, r in _by_key(_group_of(ids[settled], groups))
+            ]
+            yield arrow.batch(
+                schema, pa.array([b for b, _ in local], pa.int64()), pa.nulls(len(local), pa.binary()),
+                pa.array([x for _, x in local], pa.binary()),
+            )
+            hashes, ids, roles, places = hashes[goes], ids[goes], roles[goes], places[goes]
             short = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:])
             made = [
-                (b, pack_places(short[own], 5, ids[own], place[at[own]] * 4 + role[at[own]]))
+                (b, pack_places(short[own], 5, ids[own], places[own] * 4 + roles[own]))
                 for b, own in _by_key(((hashes & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64))
             ]
-            yield arrow.batch(schema, [b for b, _ in made], pa.array([x for _, x in made], pa.binary()))
+            yield arrow.batch(
+                schema, [b for b, _ in made], pa.array([x for _, x in made], pa.binary()), pa.nulls(len(made), pa.binary())
+            )
 
-    return docs.mapInArrow(cut, "bucket bigint, anchors binary")
+    return docs.mapInArrow(cut, "bucket bigint, anchors binary, marks binary")
 
 
 def _marks(anchors: DataFrame, groups: int) -> DataFrame:
@@ -127,17 +158,21 @@ def _marks(anchors: DataFrame, groups: int) -> DataFrame:
     schema = pa.schema([("group", pa.int64()), ("marks", pa.binary())])
 
     def meet(table: pa.Table) -> pa.Table:
-        short, ids, coded = _all_places(table, "anchors")
-        wide = np.zeros((len(short), 8), np.uint8)
-        wide[:, :5] = short
-        keys = wide.view("<u8").reshape(-1)
-        order = np.argsort(keys, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
-        ids, coded = ids[order], coded[order]
-        both = np.bitwise_or.reduceat(coded & 3, heads) == 3
-        shared = both & (np.minimum.reduceat(ids, heads) < np.maximum.reduceat(ids, heads))
-        own = np.repeat(shared, np.diff(heads, append=len(order)))
-        ids, places = ids[own], coded[own] >> 2
+        ids, places = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        with_hashes = table.filter(pc.is_valid(table.column("anchors")))
+        if with_hashes.num_rows:
+            short, ids, coded = _all_places(with_hashes, "anchors")
+            wide = np.zeros((len(short), 8), np.uint8)
+            wide[:, :5] = short
+            order, heads, shared = _groups_of(wide.view("<u8").reshape(-1), ids, coded & 3)
+            own = order[np.repeat(shared, np.diff(heads, append=len(order)))]
+            ids, places = ids[own], coded[own] >> 2
+        settled = table.filter(pc.is_valid(table.column("marks")))
+        if settled.num_rows:
+            _, more, at = _all_places(settled, "marks")
+            ids, places = np.concatenate([ids, more]), np.concatenate([places, at])
+        if not len(ids):
+            return schema.empty_table()
         none = np.zeros((len(ids), 0), np.uint8)
         made = [(g, pack_places(none[r], 0, ids[r], places[r])) for g, r in _by_key(_group_of(ids, groups))]
         return pa.table([[g for g, _ in made], pa.array([x for _, x in made], pa.binary())], schema=schema)
@@ -266,7 +301,7 @@ def remove_repeats(
     buckets, groups = max(least, -(-size // bucket_bytes)), max(least, -(-size // group_bytes))
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
-    marks = materialize(_marks(_anchors(narrow, buckets, window, block, step), groups), "marks")
+    marks = materialize(_marks(_anchors(narrow, buckets, groups, window, block, step), groups), "marks")
     grouped = narrow.withColumn("group", _group(groups))
     windows = materialize(_windows(grouped, marks, buckets, window, block), "windows")
     apart = _repeats(windows.where("kind = 0").select("key", "rows"), groups)
