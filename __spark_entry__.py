@@ -14,11 +14,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quillsieve.functions.matching import has_phrase  # noqa: E402
 from quillsieve.functions.patterns import Term, TermList  # noqa: E402
+from quillsieve.functions.reporting import shard_label  # noqa: E402
 from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplate  # noqa: E402
 from quillsieve.operators import audit, dialogues, filters, packing, selection, stats  # noqa: E402
 from quillsieve.plans.audit import audit_corpus, rewrite_dirty  # noqa: E402
 from quillsieve.plans.build import build_corpus  # noqa: E402
-from quillsieve.plans.dialogues import request_table, screen_replies  # noqa: E402
+from quillsieve.plans.dialogues import accepted, request_table, screen_replies  # noqa: E402
 from quillsieve.plans.report import report_json  # noqa: E402
 from quillsieve.runtime import materialize, run_dir, spread  # noqa: E402
 from quillsieve.sources import documents as raw, ledger, shards  # noqa: E402
@@ -207,7 +208,8 @@ def validate_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = shards.validate_shards(spark, written_shards(spark, sf_dir), group_rows=GROUP_ROWS)
     number = F.regexp_extract("path", r"shard=(\d+)", 1).cast("bigint")
     return checked.select(
-        number.alias("shard"), "rows", F.col("row_groups").cast("bigint").alias("row_groups"), "ok"
+        number.alias("shard"), "rows", F.col("row_groups").cast("bigint").alias("row_groups"), "ok",
+        F.array_join(F.transform("issues", lambda i: i["code"]), ",").alias("codes"),
     )
 
 
@@ -234,7 +236,8 @@ def corpus_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.from_json(
         "report",
         "total_docs bigint, total_chars bigint, num_shards bigint, avg_doc_length_chars double, "
-        "estimated_tokens bigint, chars_per_token double, "
+        "estimated_tokens bigint, chars_per_token double, avg_doc_length_tokens double, "
+        "validation_shard struct<name:string,docs:bigint,chars:bigint>, "
         "shards array<struct<name:string,docs:bigint,chars:bigint,size_mb:double,row_groups:int>>",
     )
     row = report.select(fields.alias("r")).select("r.*")
@@ -243,6 +246,12 @@ def corpus_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_chars",
         "num_shards",
         F.round("avg_doc_length_chars", 6).alias("avg_doc_length_chars"),
+        "estimated_tokens",
+        F.round("chars_per_token", 9).alias("chars_per_token"),
+        F.round("avg_doc_length_tokens", 6).alias("avg_doc_length_tokens"),
+        F.col("validation_shard.name").alias("validation_name"),
+        F.col("validation_shard.docs").alias("validation_docs"),
+        F.col("validation_shard.chars").alias("validation_chars"),
         F.to_json(F.transform("shards", lambda s: F.struct(s["name"].alias("name"), s["docs"].alias("docs"), s["chars"].alias("chars")))).alias("shards"),
     )
 
@@ -313,7 +322,7 @@ def score_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 - F.col("quality")).cast("double").alias("poor_score"),
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return filters.score_gate(docs.join(scores, "doc_id"), {"toxic_score": 0.5, "poor_score": 0.3})
+    return filters.score_gate(docs.join(scores, "doc_id", "left"), {"toxic_score": 0.5, "poor_score": 0.3})
 
 
 def layered_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,7 +385,7 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit_stream.audit_new_shards(
         spark, sf_dir, f"{base}/out", f"{base}/checkpoint", TERMS, TEXT_SHARDS, files_per_batch=1
     )
-    return audit_stream.audited_counts(spark, f"{base}/out")
+    return audit_stream.audited_counts(spark, f"{base}/out").withColumn("shard", shard_label(F.col("shard")))
 
 
 # --- selection ----------------------------------------------------------------
@@ -538,6 +547,11 @@ def dialogue_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screened(spark, sf_dir).select("conv_id", "status")
 
 
+def accepted_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 20 accepted dialogues in seeded order."""
+    return accepted(dialogue_status(spark, sf_dir), "conv_id", 20).select("conv_id")
+
+
 def dialogue_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogues.status_funnel(screened(spark, sf_dir))
 
@@ -616,7 +630,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         train_val_split, sample_preview, corpus_build, shard_stats, corpus_totals,
         token_estimate, length_histogram, dialogue_valid, dialogue_blocklist, dialogue_text,
         dialogue_extract, dialogue_status, dialogue_funnel, topic_grid, grid_resume,
-        sse_reassemble, sse_stream,
+        sse_reassemble, sse_stream, accepted_target,
     ]
     named = {query.__name__: query for query in listed}
     named["strip_boilerplate"] = strip_boilerplate_query
@@ -790,7 +804,9 @@ def library_sql() -> dict[str, str]:
         "validate_shards": f"""WITH RECURSIVE {pack_ctes(ALL_DOCS)}
             SELECT shard, CAST(ceil(count(*) / 64.0) * 64 AS BIGINT) AS rows,
               CAST(ceil(count(*) / 64.0) AS BIGINT) AS row_groups,
-              count(*) FILTER (WHERE length({strip_sql('text')}) = 0) = 0 AS ok FROM packed GROUP BY shard""",
+              count(*) FILTER (WHERE length({strip_sql('text')}) = 0) = 0 AS ok,
+              CASE WHEN count(*) FILTER (WHERE length({strip_sql('text')}) = 0) > 0 THEN 'empty_docs' ELSE '' END AS codes
+            FROM packed GROUP BY shard""",
         "all_shards_valid": f"""WITH RECURSIVE {pack_ctes(ALL_DOCS)},
             per AS (SELECT shard, ceil(count(*) / 64.0) * 64 AS rows,
               count(*) FILTER (WHERE length({strip_sql('text')}) = 0) = 0 AS ok FROM packed GROUP BY shard)
@@ -798,11 +814,18 @@ def library_sql() -> dict[str, str]:
         "resume_pending": "SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)",
         "dialogue_jsonl": f"SELECT CAST({MESSAGES_SQL} AS VARCHAR) AS value FROM conversations GROUP BY conv_id",
         "corpus_report_json": f"""WITH f AS ({THREE_FILES}),
-            per AS (SELECT name, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars FROM f GROUP BY name)
+            per AS (SELECT name, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars FROM f GROUP BY name),
+            drawn AS (SELECT text FROM f ORDER BY md5('123:' || md5(text)) LIMIT 1000),
+            r AS (SELECT CAST(sum(length(text)) AS DOUBLE)
+                / sum(len(regexp_extract_all(text, '\\w+|[^\\w\\s]'))) AS cpt FROM drawn)
             SELECT CAST(sum(docs) AS BIGINT) AS total_docs, CAST(sum(chars) AS BIGINT) AS total_chars,
               count(*) AS num_shards, round(CAST(sum(chars) AS DOUBLE) / sum(docs), 6) AS avg_doc_length_chars,
+              CAST(trunc(sum(chars) / any_value(cpt)) AS BIGINT) AS estimated_tokens,
+              round(any_value(cpt), 9) AS chars_per_token,
+              round(CAST(sum(chars) AS DOUBLE) / sum(docs) / any_value(cpt), 6) AS avg_doc_length_tokens,
+              max(name) AS validation_name, arg_max(docs, name) AS validation_docs, arg_max(chars, name) AS validation_chars,
               CAST(to_json(list(struct_pack(name := name, docs := docs, chars := chars) ORDER BY name)) AS VARCHAR) AS shards
-            FROM per""",
+            FROM per, r""",
         "audience_filter": f"SELECT doc_id AS row_id, source AS subset, lang AS audience FROM documents WHERE {AUDIENCE_SQL}",
         "min_length": f"SELECT doc_id, text FROM documents WHERE length({strip_sql('text')}) >= 50",
         "empty_docs": f"""SELECT source, count(*) AS docs,
@@ -823,7 +846,7 @@ def library_sql() -> dict[str, str]:
         "verdict_gate": """SELECT doc_id, coalesce(labels.toxic = 0, false) AS is_safe
             FROM documents LEFT JOIN labels USING (doc_id)""",
         "score_gate": """SELECT doc_id, source, CAST(toxic AS DOUBLE) AS toxic_score,
-              CAST(1 - quality AS DOUBLE) AS poor_score FROM documents JOIN labels USING (doc_id)
+              CAST(1 - quality AS DOUBLE) AS poor_score FROM documents LEFT JOIN labels USING (doc_id)
             WHERE NOT coalesce(toxic > 0.5, false) AND NOT coalesce(1 - quality > 0.3, false)""",
         "layered_gate": f"""SELECT doc_id, CASE WHEN {any_term('text')} THEN 'blocklist'
               WHEN {any_phrase('text')} THEN 'phrase' WHEN coalesce(toxic, 1) <> 0 THEN 'verdict'
@@ -914,6 +937,8 @@ def library_sql() -> dict[str, str]:
         "dialogue_extract": f"""WITH {REPLIES_SQL} SELECT conv_id, CAST(coalesce(found, 0) AS BIGINT) AS n_messages,
               CASE WHEN found IS NOT NULL THEN full_text END AS text, is_valid FROM judged""",
         "dialogue_status": f"WITH {REPLIES_SQL} SELECT conv_id, status FROM judged",
+        "accepted_target": f"""WITH {REPLIES_SQL} SELECT conv_id FROM judged WHERE status = 'ok'
+            ORDER BY md5('42:' || conv_id), conv_id LIMIT 20""",
         "dialogue_funnel": f"WITH {REPLIES_SQL} SELECT status, count(*) AS dialogues FROM judged GROUP BY status",
         "topic_grid": """SELECT conv_id || '-' || turn AS topic_id, CAST(v AS INTEGER) AS variation,
               'Generate a tutoring conversation where a child asks about: ' || text || chr(10)

@@ -18,10 +18,10 @@ from .plans.audit import audit_corpus, rewrite_dirty
 from .plans.build import TARGET_TOKENS, build_corpus
 from .plans.dialogues import TARGET_DIALOGUES, accepted, request_table, screen_replies
 from .plans.report import report_json
-from .runtime import drop_stages
-from .sources.documents import append_dialogues, read_books, scan_subsets
-from .sources.shards import all_valid, validate_shards, write_shards
-from .streaming.audit_stream import audit_new_shards, audited, audited_counts
+from .runtime import drop_stages, materialize
+from .sources.documents import append_dialogues, count_jsonl, read_books, scan_subsets
+from .sources.shards import all_valid, publish_shards, shard_number, validate_shards, write_shards
+from .streaming.audit_stream import audit_new_shards, audited_counts
 
 PAD_HELP = "write an is_pad column, so that later jobs can drop the pad copies"
 TERM_SCHEMA = "ord int, term string, category string, whole_word boolean"
@@ -33,11 +33,21 @@ def read_terms(spark: SparkSession, path: str) -> TermList:
 
 
 def shard_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Texts of a shard folder without flagged pad copies; file and position name a row."""
-    rows = spark.read.schema("text string, is_pad boolean, shard bigint").parquet(path)
+    """Texts of a shard folder without flagged pad copies; file and position name a row.
+
+    Shards are ``shard=N`` folders or ``shard_N.parquet`` files side by side.
+    """
+    rows = spark.read.schema("text string, is_pad boolean").parquet(path)
     rows = rows.where(~F.coalesce("is_pad", F.lit(False)))
-    position = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return rows.select("shard", "text", F.md5(position).alias("doc_id"))
+    file = F.col("_metadata.file_path")
+    position = F.concat_ws(":", file, F.col("_metadata.row_index"))
+    return rows.select(shard_number(file).alias("shard"), "text", F.md5(position).alias("doc_id"))
+
+
+def print_rows(rows: DataFrame) -> None:
+    """Every row as a JSON line; the driver holds one partition at a time."""
+    for row in rows.select(F.to_json(F.struct("*")).alias("line")).toLocalIterator():
+        print(row.line)
 
 
 def pad_flag(args: argparse.Namespace) -> tuple[str, ...]:
@@ -50,6 +60,11 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
     rows, failed = scan_subsets(spark, paths, schema)
     for name, error in failed.items():
         print(f"skipped {name}: {error.splitlines()[0]}")
+    if not rows.where(F.col("row_id").isNull()).isEmpty():
+        # Sources without ids: rows are numbered once and stored, so that every later pass sees the same numbers.
+        if not rows.where(F.col("row_id").isNotNull()).isEmpty():
+            raise ValueError("some rows have a row_id and some have none")
+        rows = materialize(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
     corpus = build_corpus(rows, read_books(spark, args.books), args.target_tokens, shard_chars=args.shard_chars)
     write_shards(corpus, args.output, clustered=True, extra=pad_flag(args))
 
@@ -60,40 +75,51 @@ def audit(spark: SparkSession, args: argparse.Namespace) -> None:
     result = audit_corpus(docs, read_terms(spark, args.terms), phrases, whole_shards=True)
     write_shards(result.kept, args.output, clustered=True, extra=pad_flag(args))
     result.log.write.mode("overwrite").json(f"{args.output}-log")
-    result.counts.orderBy("shard").show(1000, truncate=False)
+    result.counts.write.mode("overwrite").json(f"{args.output}-counts")
+    print_rows(result.counts.orderBy("shard"))
 
 
 def audit_new(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Audits shard files not seen before and rebuilds the clean folder from all results."""
+    """Audits shard files not seen before and writes their clean shards; those of earlier runs stay as they are.
+
+    A shard is one file. Its number comes from its path.
+    """
     state = f"{args.output}-state"
-    terms = read_terms(spark, args.terms)
-    audit_new_shards(spark, args.input, f"{state}/rows", f"{state}/checkpoint", terms, shard="file")
-    number = F.regexp_extract("file", r"(\d+)", 1).cast("bigint")
-    kept = audited(spark, f"{state}/rows", shard="file").where(~F.col("blocked"))
-    position = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    named = kept.select(number.alias("shard"), "text", F.md5(position).alias("doc_id"))
-    padded = pad_shards(named.withColumn("shuffle_key", shuffle_key(F.col("doc_id"))))
-    write_shards(padded, args.output, mode="dynamic")
-    audited_counts(spark, f"{state}/rows", shard="file").orderBy("file").show(1000, truncate=False)
+
+    def publish(rows: DataFrame) -> None:
+        kept = rows.where(~F.col("blocked"))
+        position = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        named = kept.select(shard_number(F.col("file")).alias("shard"), "text", F.md5(position).alias("doc_id"))
+        keyed = named.withColumn("shuffle_key", shuffle_key(F.col("doc_id")))
+        padded = pad_shards(keyed, whole_shards=True)
+        write_shards(padded, args.output, mode="dynamic", clustered=True)
+
+    audit_new_shards(
+        spark, args.input, f"{state}/rows", f"{state}/checkpoint", read_terms(spark, args.terms), shard="file",
+        phrases=DEFAULT_PHRASES if args.phrases else (), publish=publish,
+    )
+    print_rows(audited_counts(spark, f"{state}/rows", shard="file").orderBy("file"))
 
 
 def rewrite(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Second pass: writes replacements of the changed shards to a staging folder."""
+    """Second pass: writes replacements of the changed shards to a staging folder, and publishes them if asked to."""
     changed = rewrite_dirty(shard_rows(spark, args.input), whole_shards=True)
     write_shards(changed, args.output, mode="dynamic", clustered=True)
+    if args.publish:
+        print(f"published {publish_shards(spark, args.output, args.input)} shards")
 
 
 def stats(spark: SparkSession, args: argparse.Namespace) -> None:
     report = report_json(spark, args.input)
     report.write.mode("overwrite").text(args.output)
     docs = shard_rows(spark, args.input)
-    length_histogram(docs).orderBy("bin").show(truncate=False)
-    sample_previews(docs, args.num_samples).show(truncate=False)
+    print_rows(length_histogram(docs).orderBy("bin"))
+    print_rows(sample_previews(docs, args.num_samples))
 
 
 def validate(spark: SparkSession, args: argparse.Namespace) -> None:
-    checked = validate_shards(spark, args.input).cache()
-    checked.where("NOT ok").select("name", "issues").show(1000, truncate=False)
+    checked = materialize(validate_shards(spark, args.input), "checked")
+    print_rows(checked.where("NOT ok").select("path", "issues").orderBy("path"))
     verdict = all_valid(checked).first()
     print(f"{verdict.shards} shards, {verdict.rows} rows, all valid: {verdict.all_ok}")
     if not verdict.all_ok:
@@ -102,16 +128,19 @@ def validate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def requests(spark: SparkSession, args: argparse.Namespace) -> None:
     topics = spark.read.schema("topic_id string, topic string").json(args.topics)
-    table = request_table(topics, args.existing, args.num_dialogues, args.variations_per_topic)
+    existing = args.existing
+    if args.finished:
+        existing = count_jsonl(spark, args.finished).first()[0]
+    table = request_table(topics, existing, args.num_dialogues, args.variations_per_topic)
     table.write.mode("overwrite").json(args.output)
 
 
 def screen(spark: SparkSession, args: argparse.Namespace) -> None:
     replies = spark.read.schema("task_id string, reply string").json(args.replies)
     verdicts = spark.read.schema("task_id string, verdict string").json(args.verdicts)
-    screened = screen_replies(replies, verdicts, read_terms(spark, args.terms))
-    append_dialogues(accepted(screened), args.output)
-    screened.groupBy("status").count().show()
+    screened = materialize(screen_replies(replies, verdicts, read_terms(spark, args.terms)), "screened")
+    append_dialogues(accepted(screened, "task_id", args.target), args.output)
+    print_rows(screened.groupBy("status").count().orderBy("status"))
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -133,16 +162,20 @@ def arguments() -> argparse.ArgumentParser:
     sub = job(audit, "audit", "input", "output", "terms")
     sub.add_argument("--pad-flag", action="store_true", help=PAD_HELP)
     sub.add_argument("--phrases", action="store_true", help="apply the second pass as well")
-    job(audit_new, "audit-new", "input", "output", "terms")
-    job(rewrite, "rewrite", "input", "output")
+    sub = job(audit_new, "audit-new", "input", "output", "terms")
+    sub.add_argument("--phrases", action="store_true", help="apply the second pass as well")
+    sub = job(rewrite, "rewrite", "input", "output")
+    sub.add_argument("--publish", action="store_true", help="move the replacements over their shards (shard=N folders)")
     sub = job(stats, "stats", "input", "output")
     sub.add_argument("--num-samples", type=int, default=5)
     job(validate, "validate", "input")
     sub = job(requests, "requests", "topics", "output")
-    sub.add_argument("--existing", type=int, default=0)
+    sub.add_argument("--existing", type=int, default=0, help="dialogues that are finished already")
+    sub.add_argument("--finished", help="file of finished dialogues; its lines are counted instead")
     sub.add_argument("--num-dialogues", type=int, default=TARGET_DIALOGUES)
     sub.add_argument("--variations-per-topic", type=int, default=50)
-    job(screen, "screen", "replies", "verdicts", "terms", "output")
+    sub = job(screen, "screen", "replies", "verdicts", "terms", "output")
+    sub.add_argument("--target", type=int, help="dialogues to accept at most")
     return parser
 
 

@@ -10,6 +10,7 @@ other columns stay in the JVM.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -59,8 +60,10 @@ def _kernel(names: list[str], sure: list[str], possible: list[str], exact: list[
             rest = np.flatnonzero(~found)
             open_texts = lowered.take(pa.array(rest))
             maybe = np.flatnonzero(scan(open_texts, [possible[i] for i in words]))
-            decide = re.compile("|".join(exact[i] for i in words))
+            decide = None
             for at in maybe:
+                if decide is None:
+                    decide = re.compile("|".join(exact[i] for i in words))
                 found[rest[at]] = decide.search(open_texts[int(at)].as_py()) is not None
         return found
 
@@ -134,8 +137,13 @@ def first_term(text: Column, terms: TermList) -> Column:
 
 
 def has_phrase(text: Column, phrases: Iterable[str]) -> Column:
-    """True when any phrase is a plain substring of the lowered text; null counts as clean."""
-    return _flag(text, *_literal(phrases))
+    """True when any phrase is a plain substring of the lowered text; null counts as clean.
+
+    Built-in functions only: the texts stay in the JVM.
+    """
+    lowered = F.lower(text)
+    found = reduce(lambda left, phrase: left | F.contains(lowered, F.lit(phrase)), phrases, F.lit(False))
+    return F.coalesce(found, F.lit(False))
 
 
 def first_phrase(text: Column, phrases: Iterable[str]) -> Column:

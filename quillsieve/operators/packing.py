@@ -27,8 +27,6 @@ ROW_GROUP_ROWS = 1024
 BUCKET_ROWS = 1 << 20
 # Hex digits of a global order's buckets, at least: small inputs get the same plan.
 MIN_DIGITS = 2
-# Tasks used at most when every shard is handled by one task.
-MAX_SHARD_TASKS = 50_000
 # Blocks whose boundary maps are chained in one task.
 CHAIN_BLOCKS = 64
 
@@ -116,6 +114,7 @@ def plan_shards(
     A shard closes with the document that brings it to ``target`` characters
     and the next one starts empty. Only keys and lengths are handled here;
     ``chars`` names a stored length column, so that no text is read at all.
+    Null or repeated row ids are refused: their order would not be defined.
     """
     key = shuffle_key(F.col(row_id), seed)
     length = F.col(chars) if chars else F.length(text)
@@ -123,21 +122,27 @@ def plan_shards(
         df.select(key.alias("key"), F.coalesce(length, F.lit(0)).cast("bigint").alias("chars")),
         "lengths",
     )
-    rows, total = lengths.agg(F.count("key"), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    rows, nulls, total = lengths.agg(
+        F.count("key"), F.count_if(F.col("key").isNull()), F.coalesce(F.sum("chars"), F.lit(0))
+    ).first()
+    if nulls:
+        raise ValueError(f"{nulls} rows have no {row_id}")
     digits = max(MIN_DIGITS, bucket_digits(rows, bucket_rows), bucket_digits(total // target, 16))
     buckets = 16**digits
 
     keyed = lengths.withColumn("bucket", key_bucket(F.col("key"), digits))
     starts = broadcast_within(_bucket_starts(keyed, F.sum("chars")), buckets)
-    running = F.sum("chars").over(
-        Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    in_bucket = Window.partitionBy("bucket").orderBy("key")
+    running = F.sum("chars").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
     placed = materialize(
         keyed.withColumn("_running", running)
+        .withColumn("repeated", F.coalesce(F.lag("key").over(in_bucket) == F.col("key"), F.lit(False)))
         .join(starts, "bucket")
-        .select("bucket", "key", "chars", (F.col("start") + F.col("_running")).alias("cum")),
+        .select("bucket", "key", "chars", "repeated", (F.col("start") + F.col("_running")).alias("cum")),
         "placed",
     )
+    if not placed.where("repeated").isEmpty():
+        raise ValueError(f"values of {row_id} repeat")
     # An empty document shares its "cum" with the one before and never closes a shard;
     # without them the totals are strictly increasing.
     filled = placed.where("chars > 0")
@@ -296,19 +301,16 @@ def pad_shards(
     with replacement. Added: ``is_pad``, and ``copy`` (0 for the row itself).
     ``order`` is a hex key; ``sizes`` (shard, n) saves the counting pass.
 
-    A shard too large for one task is ranked in key buckets, so a single huge
-    shard does not end up in one task. ``whole_shards`` is for packed shards,
-    which are bounded and become one file each: the rows are shuffled once, by
-    shard, and ``write_shards(clustered=True)`` needs no further shuffle.
+    Rows are ranked in key buckets, so a single huge shard does not end up in
+    one task. ``whole_shards`` is for packed shards, which are bounded and
+    become one file each: the rows are shuffled once, by shard, the draws (one
+    row per shard) are moved to them, and ``write_shards(clustered=True)`` needs
+    no further shuffle. Either way the plan is the same at every size.
     """
     if sizes is None:
         sizes = df.groupBy(shard).agg(F.count(F.lit(1)).alias("n"))
     sizes = materialize(sizes, "sizes")
     n_shards, largest = sizes.agg(F.count("n"), F.coalesce(F.max("n"), F.lit(0))).first()
-    digits = 0 if whole_shards else bucket_digits(largest, bucket_rows)
-    if whole_shards:
-        df = df.repartition(max(1, min(n_shards, MAX_SHARD_TASKS)), shard)
-
     missing = (group_rows - F.col("n") % group_rows).cast("int")
     draw = F.conv(
         F.substring(F.md5(F.concat(F.col(shard).cast("string"), F.lit(":"), F.col("copy"))), 1, 8), 16, 10
@@ -321,47 +323,52 @@ def pad_shards(
         .agg(F.collect_list("copy").alias("copies"))
     )
 
-    keyed = df.withColumn("bucket", key_bucket(F.col(order), digits))
-    place = [shard] if digits == 0 else [shard, "bucket"]
-    in_bucket = Window.partitionBy(*place).orderBy(order, row_id)
-    rank = (F.row_number().over(in_bucket) - 1).cast("bigint")
-    if digits == 0:
-        ranked = keyed.withColumn("rank", rank)
+    if whole_shards:
+        # Both sides are dealt by shard to as many tasks, so only the draws move for the join.
+        tasks = max(1, n_shards)
+        of_shard = F.map_from_entries(F.collect_list(F.struct("rank", "copies"))).alias("copies")
+        placed = draws.groupBy(shard).agg(of_shard).repartition(tasks, shard).hint("shuffle_hash")
+        in_shard = Window.partitionBy(shard).orderBy(order, row_id)
+        ranked = df.repartition(tasks, shard).withColumn("rank", (F.row_number().over(in_shard) - 1).cast("bigint"))
+        joined = ranked.join(placed, shard, "left").withColumn("copies", F.try_element_at("copies", "rank"))
     else:
-        starts = broadcast_within(
-            _bucket_starts(keyed, F.count(F.lit(1)), shard), n_shards * 16**digits
-        )
+        digits = max(1, bucket_digits(largest, bucket_rows))
+        keyed = df.withColumn("bucket", key_bucket(F.col(order), digits))
+        in_bucket = Window.partitionBy(shard, "bucket").orderBy(order, row_id)
+        starts = broadcast_within(_bucket_starts(keyed, F.count(F.lit(1)), shard), n_shards * 16**digits)
         ranked = (
-            keyed.withColumn("_rank", rank)
+            keyed.withColumn("_rank", (F.row_number().over(in_bucket) - 1).cast("bigint"))
             .join(starts, [shard, "bucket"])
             .withColumn("rank", F.col("start") + F.col("_rank"))
-            .drop("_rank", "start")
+            .drop("_rank", "start", "bucket")
         )
+        joined = ranked.join(broadcast_within(draws, n_shards * group_rows), [shard, "rank"], "left")
     itself = F.array(F.lit(0))
     copies = F.coalesce(F.concat(itself, F.col("copies")), itself)
     return (
-        ranked.join(broadcast_within(draws, n_shards * group_rows), [shard, "rank"], "left")
-        .withColumn("copy", F.explode(copies))
+        joined.withColumn("copy", F.explode(copies))
         .withColumn("is_pad", F.col("copy") > 0)
-        .drop("bucket", "rank", "copies")
+        .drop("rank", "copies")
     )
 
 
 def sample_rows(df: DataFrame, k: int, row_id: str, seed: int = SAMPLE_SEED) -> DataFrame:
     """Seeded sample of ``min(k, n)`` rows without replacement: the k smallest keys.
 
-    Each task would send its own k candidates to the merge. On large inputs a
-    key ceiling that about 2k rows pass keeps that small; should too few pass,
-    all rows compete.
+    Each task would send its own k candidates to the merge, so only rows below a
+    key ceiling that about 2k + 200 rows pass compete. Should fewer than k pass
+    (by chance, or as ids repeat), the ceiling is raised fourfold.
     """
     key = shuffle_key(F.col(row_id), seed)
     rows = df.count()
-    if rows > 8 * k + 800:
-        share = int((2 * k + 200) / rows * 16**12)
-        near = df.where(key < F.lit(f"{share:012x}"))
-        if near.count() >= k:
-            df = near
-    return df.orderBy(key, row_id).limit(k)
+    share = (2 * k + 200) / max(rows, 1)
+    while True:
+        # Every digest of 32 digits is below "g".
+        ceiling = f"{int(share * 16**12):012x}" if share < 1 else "g"
+        near = df.where(key < F.lit(ceiling))
+        if share >= 1 or near.count() >= k:
+            return near.orderBy(key, row_id).limit(k)
+        share *= 4
 
 
 def sample_previews(

@@ -17,8 +17,6 @@ SOURCE_FRACTIONS = {"educational": 0.70, "books": 0.30}
 # Rows one running-sum window may hold, and the ways a wider range is split.
 LEAF_ROWS = 1 << 20
 RANGE_SPLITS = 1024
-# Subsets (times groups) whose totals the driver walks through.
-MAX_SUBSETS = 100_000
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
@@ -85,21 +83,17 @@ def budget_cut(
     summed = narrow.groupBy("g", "o").agg(
         F.sum("t").alias("t"), F.count("t").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")
     )
-    per_subset: dict[str, list] = {}
-    listed = summed.limit(MAX_SUBSETS + 1).collect()
-    if len(listed) > MAX_SUBSETS:
-        raise ValueError(f"{ord!r} must number subsets; it has more than {MAX_SUBSETS} values")
-    for row in listed:
-        per_subset.setdefault(row.g, []).append(row)
-
-    open_ranges = {}
+    limit = F.lit(None).cast("bigint")
     for name, budget in by_group.items():
-        before = 0
-        for row in sorted(per_subset.get(name, []), key=lambda row: row.o):
-            if before < budget <= before + row.t:
-                open_ranges[name] = dict(o=row.o, lo=row.lo, hi=row.hi, n=row.n, before=before)
-                break
-            before += row.t
+        limit = F.when(F.col("g") == name, F.lit(budget)).otherwise(limit)
+    # One row per subset; the crossing subset of each group that has a budget comes back.
+    upto = F.sum("t").over(Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0))
+    crossed = summed.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("t")).where(
+        (F.col("before") < limit) & (limit <= F.col("upto"))
+    )
+    open_ranges = {
+        row.g: dict(o=row.o, lo=row.lo, hi=row.hi, n=row.n, before=row.before) for row in crossed.collect()
+    }
 
     def inside(ranges: Mapping[str, dict]) -> Column:
         tests = [

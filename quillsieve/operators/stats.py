@@ -105,7 +105,7 @@ def length_histogram(docs: DataFrame, bins: int = 10, text: str = "text") -> Dat
 
 
 def corpus_report(stats: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One JSON document: totals plus one entry per shard, in name order.
+    """One JSON document: totals, means, and one entry per shard, in name order; the last is for validation.
 
     ``stats`` has one row per shard file, which bounds the collected array.
     """
@@ -124,4 +124,8 @@ def corpus_report(stats: DataFrame, estimate: DataFrame) -> DataFrame:
         (F.max("total_chars") / F.greatest(F.max("total_docs"), F.lit(1))).alias("avg_doc_length_chars"),
         F.first("shards", ignorenulls=True).alias("shards"),
     )
+    mean_tokens = F.try_divide("avg_doc_length_chars", "chars_per_token")
+    last = F.try_element_at("shards", F.lit(-1))
+    validation = F.when(last.isNotNull(), F.struct(*[last[c].alias(c) for c in ("name", "docs", "chars")]))
+    parts = parts.withColumn("avg_doc_length_tokens", mean_tokens).withColumn("validation_shard", validation)
     return parts.select(F.to_json(F.struct("*")).alias("report"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.ordering import SHUFFLE_SEED
 from ..functions.patterns import TermList
 from ..operators.dialogues import VARIATIONS, dialogue_status, topic_grid
-from ..operators.packing import window_of
+from ..operators.packing import sample_rows, window_of
 
 # Dialogues asked for by default.
 TARGET_DIALOGUES = 5000
@@ -36,5 +36,7 @@ def screen_replies(replies: DataFrame, verdicts: DataFrame, terms: TermList, key
     return dialogue_status(joined, terms)
 
 
-def accepted(screened: DataFrame) -> DataFrame:
-    return screened.where(F.col("status") == "ok")
+def accepted(screened: DataFrame, key: str = "task_id", target: int | None = None) -> DataFrame:
+    """Accepted replies; of more than ``target`` the first in seeded order."""
+    good = screened.where(F.col("status") == "ok")
+    return good if target is None else sample_rows(good, target, key, SHUFFLE_SEED)

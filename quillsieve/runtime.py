@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Rows a narrow table may provably have before it is no longer sent to every executor
-# (about 100 bytes each).
-BROADCAST_ROWS = 1_000_000
+# Size up to which a table is sent to every executor; wider rows count for more.
+BROADCAST_BYTES = 100_000_000
 
 # Inputs below this size may sit in fewer row groups than there are cores; larger
 # ones must not be shuffled for it.
@@ -35,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem_of(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
@@ -48,7 +47,7 @@ def run_dir(spark: SparkSession, label: str) -> str:
     app = spark.sparkContext.applicationId
     if app not in _app_dirs:
         root = f"{shared_dir(spark)}/quillsieve-{app}-{uuid.uuid4().hex}"
-        filesystem, target = _filesystem(spark, root)
+        filesystem, target = filesystem_of(spark, root)
         filesystem.mkdirs(target)
         filesystem.deleteOnExit(target)
         _app_dirs[app] = root
@@ -59,7 +58,7 @@ def drop_stages(spark: SparkSession) -> None:
     """Remove the stored intermediate tables early; results built on them must be written by now."""
     root = _app_dirs.pop(spark.sparkContext.applicationId, None)
     if root:
-        filesystem, target = _filesystem(spark, root)
+        filesystem, target = filesystem_of(spark, root)
         filesystem.delete(target, True)
 
 
@@ -75,9 +74,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if its row bound is small; otherwise leave the join to Spark."""
-    return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
+def broadcast_within(df: DataFrame, max_rows: int, row_bytes: int = 100) -> DataFrame:
+    """Broadcast ``df`` if its proven bound of rows is small enough; otherwise it is merged, whatever Spark estimates."""
+    return F.broadcast(df) if max_rows * row_bytes <= BROADCAST_BYTES else df.hint("merge")
 
 
 def spread(df: DataFrame) -> DataFrame:

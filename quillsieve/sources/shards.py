@@ -5,12 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.reporting import shard_label
 from ..functions.textnorm import is_empty
-from ..runtime import materialize
-from ..operators.packing import MAX_SHARD_TASKS, ROW_GROUP_ROWS
+from ..runtime import filesystem_of, materialize
+from ..operators.packing import ROW_GROUP_ROWS
+
+
+def shard_number(path: Column) -> Column:
+    """The number in the last ``shard=N``, ``shard_N`` or ``shard-N`` of a path; a path without one is an error."""
+    number = F.regexp_extract(path, r".*shard[=_-](\d+)", 1)
+    missing = F.raise_error(F.concat(F.lit("no shard number in "), path)).cast("bigint")
+    return F.when(number == "", missing).otherwise(number.cast("bigint"))
+
 
 def scan_shards(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``path, name, text, file_size`` of every shard file; unused columns are never read."""
@@ -48,7 +56,7 @@ def write_shards(
     rows = df.select(shard, text, *extra, order)
     if not clustered:
         n_shards = df.select(shard).distinct().count()
-        rows = rows.repartition(max(1, min(n_shards, MAX_SHARD_TASKS)), shard)
+        rows = rows.repartition(max(1, n_shards), shard)
     writer = (
         rows.sortWithinPartitions(shard, order)
         .select(shard, text, *extra)
@@ -64,6 +72,23 @@ def write_shards(
     writer.mode(mode).parquet(path)
 
 
+def publish_shards(spark: SparkSession, staged: str, path: str) -> int:
+    """Move every staged ``shard=N`` folder over the one in ``path``; returns how many moved.
+
+    Folders move one by one, so a run that is cut short can simply be repeated.
+    """
+    filesystem, source = filesystem_of(spark, staged)
+    _, target = filesystem_of(spark, path)
+    folders = [s.getPath() for s in filesystem.listStatus(source) if s.isDirectory()]
+    folders = [f for f in folders if f.getName().startswith("shard=")]
+    for folder in folders:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, folder.getName())
+        filesystem.delete(place, True)
+        if not filesystem.rename(folder, place):
+            raise OSError(f"could not move {folder} to {place}")
+    return len(folders)
+
+
 def shard_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """Listing only: the file contents are pruned from the scan."""
     return (
@@ -71,7 +96,7 @@ def shard_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> Data
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", F.col("length").alias("file_size"))
+        .select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("file_size"))
     )
 
 
@@ -86,80 +111,99 @@ def footers(files: DataFrame) -> DataFrame:
 
         def facts(path: str) -> tuple:
             try:
-                if urlparse(path).scheme in ("", "file"):
+                scheme, _, rest = path.partition(":")
+                if scheme == "file" or not rest:
                     parquet = pq.ParquetFile(unquote(urlparse(path).path))
                 else:
-                    filesystem, inner = pafs.FileSystem.from_uri(path)
+                    # Hadoop's names of a store's connector; Arrow knows the store by one name.
+                    known = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    filesystem, inner = pafs.FileSystem.from_uri(f"{known}:{unquote(rest)}")
                     parquet = pq.ParquetFile(filesystem.open_input_file(inner))
                 meta = parquet.metadata
                 groups = [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
                 codec = meta.row_group(0).column(0).compression.lower() if groups else None
-                return path, None, "text" in parquet.schema_arrow.names, groups, codec
+                names = parquet.schema_arrow.names
+                return path, None, "text" in names, groups, codec, ", ".join(names)
             except Exception as error:
-                return path, str(error), None, None, None
+                return path, str(error), None, None, None, None
 
         for pdf in batches:
             yield pd.DataFrame(
                 [facts(path) for path in pdf["path"]],
-                columns=["path", "error", "has_text", "group_rows", "codec"],
+                columns=["path", "error", "has_text", "group_rows", "codec", "columns"],
             )
 
-    schema = "path string, error string, has_text boolean, group_rows array<bigint>, codec string"
+    schema = "path string, error string, has_text boolean, group_rows array<bigint>, codec string, columns string"
     tasks = files.sparkSession.sparkContext.defaultParallelism
     return files.select("path").repartition(tasks).mapInPandas(read, schema)
 
 
+ISSUE = "struct<code:string,row_group:int,found:string,expected:string>"
+
+
+def _issue(code: str, found: Column, expected: Column | None = None, row_group: Column | None = None) -> Column:
+    """One finding: what it is, where, what is there and what should be."""
+    none = F.lit(None)
+    return F.struct(
+        F.lit(code).alias("code"),
+        (none if row_group is None else row_group).cast("int").alias("row_group"),
+        found.cast("string").alias("found"),
+        (none if expected is None else expected).cast("string").alias("expected"),
+    )
+
+
 def validate_shards(
     spark: SparkSession, path: str, glob: str = "*.parquet", group_rows: int = ROW_GROUP_ROWS
 ) -> DataFrame:
-    """One row per shard file: ``name, rows, row_groups, issues, ok``.
+    """One row per shard file: ``name, path, rows, row_groups, issues, ok``.
 
-    An unreadable file reports that alone. The last row group may be short.
+    An issue has a ``code`` (unreadable, no_text, row_group, codec, empty_docs,
+    lost_rows), the row group it concerns, and what was found and expected.
+    Texts are read with page checksums on; a file of which fewer rows come out
+    than its footer promises has lost_rows. A file that cannot be opened, or
+    has no text column, reports that alone. The last row group may be short.
     """
     facts = materialize(
         footers(shard_files(spark, path, glob)).withColumn("name", shard_label(F.col("path"))), "footers"
     )
-    readable = facts.where(F.col("error").isNull() & F.col("has_text")).count()
-    if readable:
+    readable = F.col("error").isNull() & F.col("has_text")
+    if facts.where(readable).isEmpty():
+        facts = facts.withColumn("empty", F.lit(None).cast("bigint")).withColumn("scanned", F.lit(None).cast("bigint"))
+    else:
         texts = (
             spark.read.schema("text string")
             .option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true")
             .option("ignoreCorruptFiles", "true")
+            .option("parquet.page.verify-checksum.enabled", "true")
             .parquet(path)
-            .select(F.col("_metadata.file_path").alias("file"), "text")
+            .select(F.col("_metadata.file_path").alias("path"), "text")
         )
-        empty = (
-            texts.groupBy("file")
-            .agg(F.count_if(is_empty(F.col("text"))).alias("empty"))
-            .select(shard_label(F.col("file")).alias("name"), "empty")
+        scanned = texts.groupBy("path").agg(
+            F.count_if(is_empty(F.col("text"))).alias("empty"), F.count(F.lit(1)).alias("scanned")
         )
-        facts = facts.join(empty, "name", "left")
-    else:
-        facts = facts.withColumn("empty", F.lit(None).cast("bigint"))
+        facts = facts.join(scanned, "path", "left")
     groups = F.col("group_rows")
+    rows = F.aggregate(groups, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    found_rows = F.coalesce("scanned", F.lit(0))
+    last = F.size(groups) - 1
     short = F.filter(
         F.transform(
             groups,
-            lambda n, i: F.when(
-                (n != group_rows) & (i < F.size(groups) - 1),
-                F.format_string(f"Row group %d has %d rows (expected {group_rows})", i, n),
-            ),
+            lambda n, i: F.when((n != group_rows) & (i < last), _issue("row_group", n, F.lit(group_rows), i)),
         ),
         lambda issue: issue.isNotNull(),
     )
-    codec = F.when(
-        ~F.contains(F.col("codec"), F.lit("zstd")),
-        F.format_string("Compression is '%s', expected 'zstd'", F.col("codec")),
+    codec = F.when(~F.contains(F.col("codec"), F.lit("zstd")), _issue("codec", F.col("codec"), F.lit("zstd")))
+    blank = F.when(F.col("empty") > 0, _issue("empty_docs", F.col("empty"), F.lit(0)))
+    lost = F.when(found_rows != rows, _issue("lost_rows", found_rows, rows))
+    issues = (
+        F.when(F.col("error").isNotNull(), F.array(_issue("unreadable", F.col("error"))))
+        .when(~F.col("has_text"), F.array(_issue("no_text", F.col("columns"), F.lit("text"))))
+        .otherwise(F.array_compact(F.concat(short, F.array(codec, blank, lost))))
     )
-    blank = F.when(F.col("empty") > 0, F.format_string("%d empty documents found", F.col("empty")))
-    missing = F.when(~F.col("has_text"), F.lit("Missing 'text' column"))
-    issues = F.when(
-        F.col("error").isNotNull(), F.array(F.concat(F.lit("Cannot open file: "), F.col("error")))
-    ).otherwise(F.array_compact(F.concat(F.array(missing), short, F.array(codec), F.array(blank))))
-    rows = F.aggregate(groups, F.lit(0).cast("bigint"), lambda total, n: total + n)
     return facts.select(
-        "name", "path", rows.alias("rows"), F.size(groups).alias("row_groups"), issues.alias("issues")
+        "name", "path", rows.alias("rows"), F.size(groups).alias("row_groups"), issues.cast(f"array<{ISSUE}>").alias("issues")
     ).withColumn("ok", F.size("issues") == 0)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.matching import has_phrase
 from ..functions.patterns import TermList
 from ..operators.audit import audit_counts, mark_blocked
 
@@ -18,11 +21,15 @@ def audit_new_shards(
     shard: str = "shard",
     columns: str = "text string",
     files_per_batch: int = 1000,
+    phrases: Iterable[str] = (),
+    publish: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Run over everything new and stop.
 
     Each micro-batch is written once, split by ``blocked``, into a folder named
     after its batch id; a replayed batch overwrites its own folder only.
+    ``shard`` names a column with the file's path. ``phrases`` adds the second
+    pass; ``publish`` gets the stored rows of each batch and must be repeatable.
     """
     stream = (
         spark.readStream.schema(columns)
@@ -30,14 +37,19 @@ def audit_new_shards(
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(input_path)
-        .withColumn(shard, F.col("_metadata.file_name"))
+        .withColumn(shard, F.col("_metadata.file_path"))
     )
 
+    listed = list(phrases)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         marked = mark_blocked(batch, terms)
-        marked.write.mode("overwrite").partitionBy("blocked").parquet(
-            f"{output_path}/batch={batch_id:09d}"
-        )
+        if listed:
+            marked = marked.withColumn("blocked", F.col("blocked") | has_phrase(F.col("text"), listed))
+        folder = f"{output_path}/batch={batch_id:09d}"
+        marked.write.mode("overwrite").partitionBy("blocked").parquet(folder)
+        if publish:
+            publish(spark.read.schema(f"{columns}, {shard} string, blocked boolean").parquet(folder))
 
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)

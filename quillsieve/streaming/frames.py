@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -17,8 +18,12 @@ DATA_PREFIX = "data:"
 END_PAYLOAD = "[DONE]"
 
 
-def with_tokens(lines: DataFrame, line: str = "line", out: str = "token") -> DataFrame:
-    """Replace an event line by its token.
+# Event time without a line after which a stream is given up.
+PATIENCE = "10 minutes"
+
+
+def with_tokens(lines: DataFrame, line: str = "line", out: str = "token", ended: str | None = None) -> DataFrame:
+    """Replace an event line by its token; ``ended`` names a column for "this line ends the stream".
 
     Other lines, the end mark, and broken or empty payloads give an empty token.
     Each step is its own column, so no line is trimmed or parsed repeatedly.
@@ -32,6 +37,9 @@ def with_tokens(lines: DataFrame, line: str = "line", out: str = "token") -> Dat
         F.col("_payload") != END_PAYLOAD,
         parse_single(F.col("_payload"), "struct<token:string>")["token"],
     )
+    if ended:
+        done = parse_single(F.col("_payload"), "struct<done:boolean>")["done"]
+        framed = framed.withColumn(ended, F.coalesce((F.col("_payload") == END_PAYLOAD) | done, F.lit(False)))
     return framed.withColumn(out, F.coalesce(token, F.lit(""))).drop("_payload")
 
 
@@ -43,44 +51,74 @@ def reassemble(
 
 
 def reassemble_stream(
-    lines: DataFrame, stream: str = "stream_id", seq: str = "seq", line: str = "line"
+    lines: DataFrame,
+    stream: str = "stream_id",
+    seq: str = "seq",
+    line: str = "line",
+    event_time: str | None = None,
+    patience: str = PATIENCE,
 ) -> DataFrame:
     """Streaming form: emits each contiguous piece as soon as its gap is closed.
 
     Lines are numbered from 0 per stream and may arrive late or twice. State
     holds the next expected number and the lines waiting for it, not the text
     already emitted, so it is bounded by the disorder and not by the stream.
+
+    With ``event_time`` (a timestamp column of the lines) a stream without news
+    for ``patience`` is closed: what waits behind a lost line is emitted as in
+    the batch form, and the state goes. Until then repeats are ignored, also
+    after the end mark. Without it nothing tells a late line from a lost one; a
+    stream that ended keeps two numbers of state.
     """
 
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        following, waiting = 0, {}
+        following, end = 0, -1
+        parts = [pd.DataFrame({"seq": [], "token": []})]
         if state.exists:
-            following, numbers, texts = state.get
-            waiting = dict(zip(numbers, texts))
-        for pdf in batches:
-            waiting.update(
-                (int(n), t) for n, t in zip(pdf["seq"], pdf["token"]) if n >= following
-            )
-        first, piece = following, []
-        while following in waiting:
-            piece.append(waiting.pop(following))
-            following += 1
-        numbers = sorted(waiting)
-        state.update((following, numbers, [waiting[n] for n in numbers]))
-        if piece:
+            following, end, numbers, texts = state.get
+            parts = [pd.DataFrame({"seq": numbers, "token": texts})]
+        latest = 0
+        if state.hasTimedOut:
+            state.remove()
+            waiting = parts[0]
+            run_starts = np.flatnonzero(np.diff(waiting["seq"], prepend=-2) != 1)
+        else:
+            for pdf in batches:
+                parts.append(pdf[pdf["seq"] >= following][["seq", "token"]])
+                end = max(end, int(pdf.loc[pdf["ended"], "seq"].max() if pdf["ended"].any() else -1))
+                if event_time:
+                    latest = max(latest, int(pdf["at"].max().timestamp() * 1000))
+            waiting = pd.concat(parts).drop_duplicates("seq", keep="last").sort_values("seq", ignore_index=True)
+            ready = int((waiting["seq"].to_numpy() == following + np.arange(len(waiting))).sum())
+            rest = waiting[ready:]
+            run_starts, waiting = np.arange(min(ready, 1)), waiting[:ready]
+            following += ready
+            state.update((following, end, [int(n) for n in rest["seq"]], list(rest["token"])))
+            if event_time:
+                state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1)
+        texts, numbers = waiting["token"].tolist(), waiting["seq"].tolist()
+        ends = [*run_starts[1:], len(texts)]
+        if len(run_starts):
             yield pd.DataFrame(
-                {"stream_id": [key[0]], "from_seq": [first], "piece": ["".join(piece)]}
+                {
+                    "stream_id": [key[0]] * len(run_starts),
+                    "from_seq": [int(numbers[low]) for low in run_starts],
+                    "piece": ["".join(texts[low:high]) for low, high in zip(run_starts, ends)],
+                }
             )
 
-    tokens = with_tokens(lines, line, "token").select(
-        F.col(stream).cast("string").alias("stream_id"), F.col(seq).cast("bigint").alias("seq"), "token"
+    timed = [F.col(event_time).alias("at")] if event_time else []
+    tokens = with_tokens(lines, line, "token", "ended").select(
+        F.col(stream).cast("string").alias("stream_id"), F.col(seq).cast("bigint").alias("seq"), "token", "ended", *timed
     )
+    if event_time:
+        tokens = tokens.withWatermark("at", patience)
     return tokens.groupBy("stream_id").applyInPandasWithState(
         advance,
         "stream_id string, from_seq bigint, piece string",
-        "following bigint, numbers array<bigint>, texts array<string>",
+        "following bigint, ended_at bigint, numbers array<bigint>, texts array<string>",
         "append",
-        GroupStateTimeout.NoTimeout,
+        GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.NoTimeout,
     )

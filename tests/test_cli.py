@@ -52,6 +52,11 @@ def test_build_audit_rewrite_validate_report(spark, folder, capsys):
     assert second and not any("torture" in t for t in second)
     assert spark.read.parquet(f"{base}/second").select("shard").distinct().count() == 1
 
+    before = {p.name for p in (base / "clean").glob("shard=*")}
+    main(["rewrite", "--input", f"{base}/clean", "--output", f"{base}/third", "--publish"])
+    assert {p.name for p in (base / "clean").glob("shard=*")} == before
+    assert len(texts(spark, base / "clean")) % 1024 == 0 and not any("torture" in t for t in texts(spark, base / "clean"))
+
     main(["stats", "--input", f"{base}/clean", "--output", f"{base}/report"])
     report = json.loads(spark.read.text(f"{base}/report").first().value)
     assert report["num_shards"] == len(report["shards"]) and report["total_docs"] % 1024 == 0
@@ -65,8 +70,35 @@ def test_incremental_audit_job(spark, folder):
     for shard in (0, 1):
         (part,) = (base / f"src{shard}").glob("*.parquet")
         (base / "flat" / f"shard_{shard:05d}.parquet").write_bytes(part.read_bytes())
+        before = {f: f.stat().st_mtime_ns for f in (base / "inc").glob("shard=*/*.parquet")}
         main(["audit-new", "--input", f"{base}/flat", "--output", f"{base}/inc", "--terms", f"{base}/terms.jsonl"])
         assert set(texts(spark, base / "inc")) == {f"text {s}" for s in range(shard + 1)}
+        after = {f: f.stat().st_mtime_ns for f in (base / "inc").glob("shard=*/*.parquet")}
+        assert before.items() <= after.items() and len(after) == shard + 1
+
+
+def test_flat_shard_folder(spark, folder, capsys):
+    """Shard files side by side, as other tools write them; a name without a number is an error."""
+    base, _ = folder
+    (base / "flat").mkdir()
+    for shard in (0, 7):
+        spark.createDataFrame([(f"text {shard}",), ("badword",)], "text string").coalesce(1).write.parquet(f"{base}/one{shard}")
+        (part,) = (base / f"one{shard}").glob("*.parquet")
+        (base / "flat" / f"shard_{shard:05d}.parquet").write_bytes(part.read_bytes())
+    main(["audit", "--input", f"{base}/flat", "--output", f"{base}/kept", "--terms", f"{base}/terms.jsonl"])
+    kept = {(r.shard, r.text): r.n for r in spark.read.parquet(f"{base}/kept").groupBy("shard", "text").agg(F.count("*").alias("n")).collect()}
+    assert kept == {(0, "text 0"): 1024, (7, "text 7"): 1024}
+    assert '"removed":1' in capsys.readouterr().out
+    with pytest.raises(Exception, match="no shard number"):
+        main(["audit", "--input", f"{base}/one0", "--output", f"{base}/none", "--terms", f"{base}/terms.jsonl"])
+
+
+def test_build_numbers_rows_without_ids(spark, folder):
+    base, _ = folder
+    spark.read.parquet(f"{base}/stories").drop("row_id").write.parquet(f"{base}/plain")
+    main(["build", "--subset", f"stories={base}/plain", "--books", f"{base}/books", "--output", f"{base}/built", "--target-tokens", "100000", "--shard-chars", "2500"])
+    rows = spark.read.parquet(f"{base}/built")
+    assert len({r.text for r in rows.select("text").collect()}) == 61 and rows.select("shard").distinct().count() > 1
 
 
 def test_dialogue_jobs(spark, folder):

@@ -1,4 +1,5 @@
 import json
+import datetime
 import random
 
 from pyspark.sql import functions as F
@@ -127,6 +128,38 @@ def test_frames(spark):
     assert got == {"s": "Hello wé\n", "empty": ""}
 
 
+def test_streams_end_and_lost_lines_are_passed(spark, tmp_path):
+    """A stream with a lost line is flushed after its patience, as in the batch form; repeats after the end are ignored."""
+    kind = "stream_id string, seq bigint, line string, at timestamp"
+    start = datetime.datetime(2024, 1, 1)
+    later = start + datetime.timedelta(hours=1)
+    lost = [("lost", i, f'data: {{"token": "w{i}"}}', start) for i in (0, 1, 3, 4, 6)]
+    whole = [("whole", i, f'data: {{"token": "v{i}"}}', start) for i in range(3)] + [("whole", 3, "data: [DONE]", start)]
+    other = [("other", 0, 'data: {"token": "x"}', later)]
+    source = str(tmp_path / "in")
+
+    def run(rows):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(kind).parquet(source)
+        query = (
+            frames.reassemble_stream(stream, event_time="at")
+            .writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+            .format("parquet").start(str(tmp_path / "out"))
+        )
+        query.awaitTermination(120)
+        query.stop()
+
+    run(lost + whole)
+    run(whole[1:3])
+    run(other)
+    run(other)
+    pieces = spark.read.parquet(str(tmp_path / "out"))
+    got = {r.stream_id: r.text for r in D.joined_text(pieces, "stream_id", "from_seq", F.col("piece")).collect()}
+    batch = frames.reassemble(spark.createDataFrame(lost + whole + other, kind).drop("at"))
+    assert got == {r.stream_id: r.text for r in batch.collect()}
+    assert got["lost"] == "w0w1w3w4w6" and got["whole"] == "v0v1v2"
+
+
 def test_streaming_frames_with_disorder_and_repeats(spark, tmp_path):
     """Lines of one stream spread over several micro-batches, out of order and partly twice."""
     rows = [("a", i, f'data: {{"token": "{i},"}}') for i in range(40)] + [("b", i, l) for i, l in enumerate(LINES)]

@@ -104,6 +104,42 @@ def test_padding(spark, bucket_rows):
         assert pads == brute_pads(ids, shard, 64)
 
 
+def test_whole_shards_stay_whole(spark, tmp_path):
+    """More than 1,000 shards: one plan, one exchange of the texts, one file per shard, full row groups."""
+    import pyarrow.parquet as pq
+
+    from quillsieve.sources.shards import write_shards
+
+    n_shards, group = 1010, 8
+    df = spark.range(n_shards * 5).select(
+        F.col("id").alias("doc_id"), (F.col("id") % n_shards).alias("shard"), F.concat(F.lit("text "), "id").alias("text")
+    ).where("shard % 3 <> 0 OR doc_id < 2000")
+    df = df.withColumn("shuffle_key", F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = packing.pad_shards(df, group_rows=group, whole_shards=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
+        texts = [x for x in plan.split("\n") if "Exchange" in x and "text#" in x]
+        assert plan.count("REPARTITION_BY_NUM") == 2 and len(texts) <= 1
+        write_shards(out, f"{tmp_path}/out", group_rows=group, clustered=True, extra=("doc_id",))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    files = sorted(tmp_path.glob("out/shard=*/*.parquet"))
+    assert len(files) == n_shards
+    for file in files[::50]:
+        meta = pq.ParquetFile(file).metadata
+        assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [group] * (meta.num_rows // group)
+    rows = {}
+    for r in df.select("shard", "doc_id").collect():
+        rows.setdefault(r.shard, []).append(r.doc_id)
+    for file in files[::50]:
+        shard = int(file.parent.name.removeprefix("shard="))
+        copies = Counter(pq.read_table(file, partitioning=None)["doc_id"].to_pylist())
+        assert copies - Counter(rows[shard]) == brute_pads(rows[shard], shard, group)
+
+
 def test_padding_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, shard bigint, shuffle_key string")
     assert packing.pad_shards(df).count() == 0

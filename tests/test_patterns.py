@@ -132,11 +132,16 @@ def test_wide_list_first_match_in_spark(spark):
     assert spark_first(spark, terms, texts) == [python_first(terms, t) for t in texts]
 
 
-def test_oversized_list_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_TERMS", 3)
-    table = spark.range(5).selectExpr("id AS ord", "'t' || id AS term", "'' AS category", "false AS whole_word")
-    with pytest.raises(ValueError):
-        TermList.from_table(table)
+def test_list_of_any_length_is_read(spark):
+    table = spark.range(3000).selectExpr("id AS ord", "'t' || id AS term", "'' AS category", "false AS whole_word")
+    assert len(TermList.from_table(table).terms) == 3000
+
+
+def test_whole_words_compile_only_when_needed(spark, monkeypatch):
+    """Clean texts must not pay for the exact pattern of a long whole-word list."""
+    terms = TermList.of([Term(i, f"word{i}x", whole_word=True) for i in range(2000)])
+    df = spark.createDataFrame([(1, "clean text"), (2, "a word7x b"), (3, "éword7x")], "i int, text string")
+    assert [r.i for r in filters.flagged(df, terms).collect()] == [2]
 
 
 def test_term_table_keeps_first_ordinal(spark):

@@ -69,10 +69,31 @@ def test_validation_reports_every_issue(spark, tmp_path):
     (tmp_path / "e_broken.parquet").write_bytes(b"not parquet")
     got = {r.name: r for r in shards.validate_shards(spark, str(tmp_path), group_rows=4).collect()}
     assert got["a_good.parquet"].ok and got["a_good.parquet"].row_groups == 3
-    assert got["b_short.parquet"].issues == ["Row group 0 has 3 rows (expected 4)"]
-    assert got["c_empty.parquet"].issues == ["Compression is 'snappy', expected 'zstd'", "3 empty documents found"]
-    assert got["d_other.parquet"].issues[0].startswith("Missing 'text' column")
-    assert len(got["e_broken.parquet"].issues) == 1 and got["e_broken.parquet"].issues[0].startswith("Cannot open file")
+    issues = {name: [tuple(i) for i in row.issues] for name, row in got.items()}
+    assert issues["b_short.parquet"] == [("row_group", 0, "3", "4")]
+    assert issues["c_empty.parquet"] == [("codec", None, "snappy", "zstd"), ("empty_docs", None, "3", "0")]
+    assert issues["d_other.parquet"] == [("no_text", None, "other", "text")]
+    assert [i[0] for i in issues["e_broken.parquet"]] == ["unreadable"]
+
+
+def test_validation_sees_corrupt_pages(spark, tmp_path):
+    """The footers are intact; files of one name lie in two folders."""
+    rows = spark.range(3000).select(F.col("id").alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    path = str(tmp_path / "s")
+    for folder in ("a", "b"):
+        rows.select("text").coalesce(1).write.option("compression", "zstd").option("parquet.block.row.count.limit", 1024).parquet(f"{path}/{folder}")
+        (file,) = (tmp_path / "s" / folder).glob("*.parquet")
+        file.rename(file.with_name("shard_00000.parquet"))
+    broken = tmp_path / "s" / "b" / "shard_00000.parquet"
+    data = bytearray(broken.read_bytes())
+    for at in range(len(data) // 4, len(data) // 2):
+        data[at] ^= 0xFF
+    broken.write_bytes(data)
+    for crc in (tmp_path / "s").rglob(".*.crc"):
+        crc.unlink()
+    got = {r.path.split("/")[-2]: r for r in shards.validate_shards(spark, path).collect()}
+    assert got["a"].ok and got["a"].rows == 3000
+    assert not got["b"].ok and "lost_rows" in [i.code for i in got["b"].issues]
 
 
 def test_no_shards_is_not_valid(spark, tmp_path):
