@@ -11,8 +11,7 @@ and pairs that can reach the threshold are verified on whole sets.
 Documents with equal sets form a class first, and only its smallest document
 goes on. Later rounds compare what still is apart within a bucket: the smallest
 member of each component, and the bucket's largest document, with all members of
-other components, by one half of the bands and then the other. Rounds end when
-neither half adds a link.
+other components. Rounds end when one adds no link.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quillsieve.llm import arrow
 from quillsieve.llm.components import components
@@ -194,7 +193,13 @@ def _apart(members: DataFrame, parts: DataFrame | None, tested: DataFrame) -> Da
         apart.where("doc_id = last").select("band", "component", F.col("doc_id").alias("a"))
     )
     centres = materialize(chosen.distinct(), "centres")
-    met = apart.alias("m").join(centres.alias("c"), F.expr("m.band = c.band and m.component <> c.component"))
+    # A pair meets in many buckets (at most one a band); only the first of them yields it.
+    apart = apart.withColumn("bands", F.collect_set("band").over(Window.partitionBy("doc_id")))
+    centres = centres.withColumn("bands", F.collect_set("band").over(Window.partitionBy("component", "a")))
+    first = "m.band = array_min(array_intersect(m.bands, c.bands))"
+    met = apart.alias("m").join(
+        centres.alias("c"), F.expr(f"m.band = c.band and m.component <> c.component and {first}")
+    )
     pairs = met.select(F.least("c.a", "m.doc_id").alias("a"), F.greatest("c.a", "m.doc_id").alias("b")).distinct()
     return pairs.join(tested, ["a", "b"], "left_anti")
 
@@ -213,33 +218,26 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     classes = materialize(full.groupBy(digest).agg(F.min("doc_id").alias("doc_id")), "classes")
     heads = full.join(classes, [*digest, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
 
-    banded = heads.select("doc_id", F.posexplode("bands").alias("place", "band"))
+    banded = heads.select("doc_id", F.explode("bands").alias("band"))
     ends = banded.groupBy("band").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     members = materialize(
         banded.join(ends.where("first < last"), "band").select(
-            "band", "doc_id", "first", "last", (F.col("place") % 2).alias("half")
+            "band", "doc_id", "first", "last"
         ),
         "buckets",
     )
     pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     tested = fresh = materialize(pairs.distinct(), "pairs")
     links = parts = None
-    half = quiet = 0
     while True:
         added = materialize(_verified(materialize(_near(fresh, full), "near"), own, width).distinct(), "links")
-        if added.isEmpty():
-            quiet += 1
-        else:
-            quiet, links = 0, added if links is None else links.unionByName(added)
+        if added.isEmpty() and links is not None:
+            break
+        if not added.isEmpty():
+            links = added if links is None else links.unionByName(added)
             parts = components(links)
-        # Half of the bands at a time: most pairs meet in many, and those linked by then are not paired again.
-        while quiet < 2:
-            fresh = materialize(_apart(members.where(F.col("half") == half), parts, tested), "pairs")
-            half = 1 - half
-            if not fresh.isEmpty():
-                break
-            quiet += 1
-        if quiet == 2:
+        fresh = materialize(_apart(members, parts, tested), "pairs")
+        if fresh.isEmpty():
             break
         tested = tested.unionByName(fresh)
 
