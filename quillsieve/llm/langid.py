@@ -93,7 +93,7 @@ class Parser:
             self.starts.append(base + 1)
             self.bits.append(np.log2(len(symbols) + 1))
             base += len(table)
-        self.table = np.concatenate(tables).astype(np.int32).reshape(-1)
+        self.table = np.concatenate([np.zeros((1, alphabet)), *tables])[1:].astype(np.int32).reshape(-1)
         self.alphabet = alphabet
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,16 +117,16 @@ class Parser:
         order = np.argsort(-size, kind="stable")
         begin, size = begin[order], size[order]
         starts = np.array(self.starts, np.int64)[:, None]
-        state = np.repeat(starts, len(begin), axis=1)
-        made = np.ones(state.shape, np.int64)
+        # State 0 leads nowhere: the next symbol begins a phrase.
+        state = np.zeros((len(starts), len(begin)), np.int64)
+        made = np.zeros(state.shape, np.int64)
         alive = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
         for step, lanes in enumerate(alive.tolist()):
             symbol = symbols[begin[:lanes] + step].astype(np.int64)
             after = self.table[state[:, :lanes] * self.alphabet + symbol]
             stuck = after == 0
             made[:, :lanes] += stuck
-            fresh = self.table[starts * self.alphabet + symbol]
-            state[:, :lanes] = np.where(stuck, np.where(fresh == 0, starts, fresh), after)
+            state[:, :lanes] = np.where(stuck, self.table[starts * self.alphabet + symbol], after)
         total = np.zeros((len(counts), len(starts)))
         np.add.at(total, text[order], made.T)
         return total
