@@ -112,11 +112,6 @@ def audit_log(
     return evidence(screened, terms, phrases, key, text)
 
 
-def pending(df: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose key has not been processed yet."""
-    return df.join(done.select(*keys), list(keys), "left_anti")
-
-
 __all__ = [
     "ROW_GROUP_ROWS",
     "audit_counts",
@@ -125,7 +120,6 @@ __all__ = [
     "dirty_shards",
     "evidence",
     "mark_blocked",
-    "pending",
     "screen",
     "term_table",
 ]
