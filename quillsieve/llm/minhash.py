@@ -11,7 +11,9 @@ and pairs that can reach the threshold are verified on whole sets.
 Documents with equal sets form a class first, and only its smallest document
 goes on. Later rounds compare what still is apart within a bucket: the smallest
 member of each component, and the bucket's largest document, with all members of
-other components. Rounds end when one adds no link.
+other components. When a round adds no link, all members that are still apart in
+a bucket meet: they are dealt into chunks, a task compares two of them, and only
+links leave it.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ BASE = 1.02
 TOP = 65534
 # Below the threshold by five standard errors of an estimate from 128 registers.
 SLACK = 0.2
+# Documents and shingles of a chunk, on average; two chunks meet in a task.
+CHUNK, CHUNK_SHINGLES = 256, 1 << 20
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -124,9 +128,15 @@ def sketch_documents(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sketch, kind)
 
 
+def _can_link(one: np.ndarray, two: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether registers and set sizes allow the threshold, pair by pair."""
+    above, below = (one > two).sum(axis=1), (one < two).sum(axis=1)
+    near = estimate(above, below, REGISTERS - above - below, left, right) >= NUMERATOR / DENOMINATOR - SLACK
+    return near & (DENOMINATOR * np.minimum(left, right) >= NUMERATOR * np.maximum(left, right))
+
+
 def _near(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs (a, b) whose registers and sizes allow the threshold."""
-    least = NUMERATOR / DENOMINATOR - SLACK
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +146,7 @@ def _near(pairs: DataFrame, known: DataFrame) -> DataFrame:
                 for c in ("registers_a", "registers_b")
             )
             left, right = (batch.column(c).to_numpy().astype(np.float64) for c in ("n_a", "n_b"))
-            above, below = (one > two).sum(axis=1), (one < two).sum(axis=1)
-            near = estimate(above, below, REGISTERS - above - below, left, right) >= least
-            near &= DENOMINATOR * np.minimum(left, right) >= NUMERATOR * np.maximum(left, right)
+            near = _can_link(one, two, left, right)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(near)) for c in ("a", "b")], schema=schema
             )
@@ -176,15 +184,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(check, "a bigint, b bigint")
 
 
-def _apart(members: DataFrame, parts: DataFrame | None, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket's centres and its members in other components that are not ``tested`` yet."""
+def _placed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """``members`` of buckets with their component so far."""
     if parts is None:
         placed = members.withColumn("component", F.col("doc_id"))
     else:
         placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
-    placed = materialize(placed.select("band", "doc_id", "last", "component"), "placed")
+    return materialize(placed.select("band", "doc_id", "first", "last", "component"), "placed")
+
+
+def _apart(placed: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket's centres and its members in other components that are not ``tested`` yet."""
     spread = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     apart = placed.join(spread.where("low < high").select("band"), "band", "left_semi")
     sizes = apart.groupBy("band", "component").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
@@ -204,7 +216,106 @@ def _apart(members: DataFrame, parts: DataFrame | None, tested: DataFrame) -> Da
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
+def _remaining(placed: DataFrame, heads: DataFrame, chunk: int) -> DataFrame:
+    """Members of buckets with several components, once for each cell (band, low, high) of two chunks in which they meet others.
+
+    Centres have met all others already (see _apart) and stay out.
+    """
+    sizes = placed.groupBy("band", "component").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    centres = sizes.where("n > 1").select("band", F.col("least").alias("doc_id"))
+    rest = placed.where("doc_id <> first and doc_id <> last").join(centres, ["band", "doc_id"], "left_anti")
+    rest = materialize(
+        rest.join(heads.select("doc_id", "n_shingles"), "doc_id").select("band", "doc_id", "component", "n_shingles"), "rest"
+    )
+    spread = rest.groupBy("band").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.ceil(F.greatest(F.count(F.lit(1)) / chunk, F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int").alias("chunks"),
+    )
+    dealt = rest.join(spread.where("least < most").select("band", "chunks"), "band").withColumn(
+        "own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    )
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return met.select(
+        "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "component"
+    )
+
+
+def _candidates(cell: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a cell, and later ones of other components that may be linked with it and first meet it in this bucket."""
+    registers = np.frombuffer(b"".join(cell.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    keys, band = band_keys(registers), cell.column("band")[0].as_py()
+    own, component = (cell.column(c).to_numpy() for c in ("own", "component"))
+    sizes = cell.column("n_shingles").to_numpy().astype(np.float64)
+    crossed = cell.column("low")[0].as_py() != cell.column("high")[0].as_py()
+    for a in range(len(sizes) - 1):
+        others = np.arange(a + 1, len(sizes))
+        fits = DENOMINATOR * np.minimum(sizes[a], sizes[others]) >= NUMERATOR * np.maximum(sizes[a], sizes[others])
+        fits &= component[others] != component[a]
+        if crossed:
+            fits &= own[others] != own[a]
+        others = others[fits]
+        # Two documents meet in many buckets; they are compared in the first.
+        others = others[keys[a][(keys[others] == keys[a]).argmax(axis=1)] == band]
+        if len(others):
+            left = np.full(len(others), sizes[a])
+            others = others[_can_link(registers[a][None], registers[others], left, sizes[others])]
+        if len(others):
+            yield a, others
+
+
+def _links_between(cell: pa.Table, width: int) -> tuple[list[int], list[int]]:
+    """Links of a cell's candidates, decided on whole sets; none between what earlier ones connect."""
+    flat, counts = shingle_sets(cell.column("text").combine_chunks(), width)
+    known, places = np.unique(flat, return_inverse=True)
+    ends = np.cumsum(counts)
+    names, group = cell.column("doc_id").to_numpy(), cell.column("component").to_numpy().copy()
+    one, two = [], []
+    for a, others in _candidates(cell):
+        others = others[group[others] != group[a]]
+        if not len(others):
+            continue
+        own = np.zeros(len(known), bool)
+        own[places[ends[a] - counts[a] : ends[a]]] = True
+        both = np.array([np.count_nonzero(own[places[ends[b] - counts[b] : ends[b]]]) for b in others.tolist()])
+        linked = DENOMINATOR * both >= NUMERATOR * (counts[a] + counts[others] - both)
+        for b in others[linked].tolist():
+            if group[a] != group[b]:
+                group[group == group[b]] = group[a]
+                one.append(min(names[a], names[b]))
+                two.append(max(names[a], names[b]))
+    return one, two
+
+
+def _all_apart(placed: DataFrame, heads: DataFrame, texts: DataFrame, width: int, chunk: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that no centre has connected.
+
+    A first pass over the cells reads registers only; texts move just for the
+    members that have a candidate in their cell.
+    """
+    cell = ["band", "low", "high"]
+    kind = "band bigint, low int, high int, own int, doc_id bigint, component bigint, registers binary, n_shingles bigint"
+    columns = [c.split()[0] for c in kind.split(", ")]
+    full = heads.select("doc_id", "registers", "n_shingles")
+
+    def promising(rows: pa.Table) -> pa.Table:
+        found = np.zeros(rows.num_rows, bool)
+        for a, others in _candidates(rows):
+            found[a] = True
+            found[others] = True
+        return rows.filter(pa.array(found)).select(columns)
+
+    def linked(rows: pa.Table) -> pa.Table:
+        one, two = _links_between(rows, width)
+        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
+
+    met = _remaining(placed, heads, chunk).join(full, "doc_id").select(*columns)
+    some = materialize(met.groupBy(*cell).applyInArrow(promising, kind), "candidates")
+    needed = texts.join(some.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    whole = some.join(needed, "doc_id").select(*columns, "text")
+    return whole.groupBy(*cell).applyInArrow(linked, "a bigint, b bigint").distinct()
+
+
+def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
     Words ignore the case of A-Z. A null or wordless text has no shingles and is
@@ -228,7 +339,7 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     )
     pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     tested = fresh = materialize(pairs.distinct(), "pairs")
-    links = parts = None
+    links = parts = placed = None
     while True:
         added = materialize(_verified(materialize(_near(fresh, full), "near"), own, width).distinct(), "links")
         if added.isEmpty() and links is not None:
@@ -236,10 +347,16 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
         if not added.isEmpty():
             links = added if links is None else links.unionByName(added)
             parts = components(links)
-        fresh = materialize(_apart(members, parts, tested), "pairs")
+            placed = None
+        if placed is None:
+            placed = _placed(members, parts)
+        fresh = materialize(_apart(placed, tested), "pairs")
         if fresh.isEmpty():
             break
         tested = tested.unionByName(fresh)
+    added = materialize(_all_apart(placed, heads, own, width, chunk), "links")
+    if not added.isEmpty():
+        parts = components(added if links is None else links.unionByName(added))
 
     grouped = classes.withColumnRenamed("doc_id", "head")
     if parts is not None:

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from quillsieve.llm import minhash, queries
 
@@ -65,6 +66,21 @@ def test_edges(spark):
     assert got == [(-1, 1, -1, True)] * 2 + [(4, 1, 4, True)] * 2
 
 
+@pytest.mark.parametrize("chunk", [16, 256])
+def test_links_within_a_family_below_the_threshold(spark, chunk):
+    """Templated texts at similarity 0.72 share most buckets; only few pairs of them, at 0.77, are linked."""
+    r = random.Random(11)
+    ids = r.sample(range(10_000), 240)
+    words = {d: [f"t{k}" for k in range(84)] + [f"{d}-{k}" for k in range(16)] for d in ids}
+    for one, two in zip(ids[:60:2], ids[1:60:2]):
+        words[two][84:87] = words[one][84:87]
+    rows = [(d, " ".join(w)) for d, w in words.items()]
+    want = brute(rows, 1)
+    assert sum(not kept for _, _, kept in want.values()) == 30
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert answer(minhash.near_duplicates(df, width=1, chunk=chunk)) == want
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(3)
     pool = r.integers(0, 2**63, 4000, dtype=np.uint64)
