@@ -20,10 +20,14 @@ from quillsieve.runtime import materialize
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids``, and those without a doc_id."""
-    known = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-    return known.unionByName(docs.where("doc_id is null"))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row in ``row_key``; stored, so that it stays the row's own."""
+    return materialize(docs.withColumn("row_key", F.monotonically_increasing_id()), "numbered")
+
+
+def _texts(numbered: DataFrame) -> DataFrame:
+    """The rows' texts, with the row number as doc_id."""
+    return numbered.select(F.col("row_key").alias("doc_id"), "text")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +38,17 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates, and all that are in none."""
-    groups = minhash.near_duplicates(docs)
-    return _kept(docs, groups.where("kept"))
+    """The row with the smallest doc_id of each group of near duplicates, and all that are in none.
+
+    Rows are told apart by their place, so rows with equal or no doc_id count one by one;
+    one without comes after those with one.
+    """
+    numbered = _numbered(docs)
+    groups = minhash.near_duplicates(_texts(numbered)).select(F.col("doc_id").alias("row_key"), "component_id")
+    placed = numbered.select("row_key", "doc_id").join(groups, "row_key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    kept = placed.groupBy("component_id").agg(F.min_by("row_key", order).alias("row_key"))
+    return numbered.join(kept.select("row_key"), "row_key", "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +68,12 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an overlap with a benchmark item."""
+    """Rows without an overlap with a benchmark item, whatever their doc_id."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = materialize(decontam.contamination(docs, benchmark).select("doc_id").distinct(), "hits")
-    return docs.join(hits.where("doc_id is not null"), "doc_id", "left_anti").select(*docs.columns)
+    numbered = _numbered(docs)
+    found = decontam.contamination(_texts(numbered), benchmark)
+    hits = materialize(found.select(F.col("doc_id").alias("row_key")).distinct(), "hits")
+    return numbered.join(hits, "row_key", "left_anti").select(*docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

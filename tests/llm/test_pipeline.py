@@ -96,3 +96,16 @@ def test_rows_without_ids_or_text(spark, sf_dir):
     for name, stage in pipeline.STAGES:
         empty = materialize(stage(spark, empty, sf_dir), name)
     assert empty.collect() == []
+
+
+def test_stages_decide_by_row(spark, sf_dir):
+    item = queries.table(spark, sf_dir, "benchmark").where("text is not null").first().text
+    clean = " ".join(f"clean{n}" for n in range(40))
+    rows = [(None, f"before {item} after"), (None, clean), (5, item), (5, clean + " more"), (6, "short")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {(r.doc_id, r.text) for r in pipeline.drop_contaminated(spark, docs, sf_dir).collect()}
+    assert left == {rows[1], rows[3], rows[4]}
+    left = sorted(((r.doc_id or 0, r.text) for r in pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()))
+    assert (5, clean + " more") in left and (0, clean) not in left and (6, "short") in left
+    copies = spark.createDataFrame([(None, clean)] * 3 + [(None, None)] * 2, "doc_id bigint, text string")
+    assert sorted(str(r.text) for r in pipeline.drop_near_duplicates(spark, copies, sf_dir).collect()) == ["None", "None", clean]
