@@ -11,8 +11,10 @@ marked and indented, and the cells of a table are lines under each other.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,8 +61,6 @@ IMPLIED_ENDS = {
     "tbody": (frozenset(["td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"]), frozenset(["table"])),
 }
 IMPLIED_ENDS["thead"] = IMPLIED_ENDS["tfoot"] = IMPLIED_ENDS["tbody"]
-# Elements nested deeper don't open; their text stays.
-DEEPEST = 512
 CELL_SCOPE = frozenset(["table", "td", "th", "caption"])
 
 
@@ -148,6 +148,9 @@ def table_lines(rows: list[list[tuple[list[str], int]]]) -> list[str]:
             column += span
     out = []
     for row in rows:
+        if len(row) == 1:  # nothing to align
+            out += [line.rstrip() for line in row[0][0]]
+            continue
         for n in range(max((len(lines) for lines, _ in row), default=0)):
             line, place, column = "", 0, 0
             for lines, span in row:
@@ -165,6 +168,7 @@ class Page:
 
     def __init__(self):
         self.stack: list[str] = []
+        self.places: defaultdict[str, list[int]] = defaultdict(list)  # in the stack, by name
         self.hidden_from: int | None = None  # depth of the outermost element that is not shown
         self.flows = [Lines()]
         self.tables: list[list[list[tuple[list[str], int]]]] = []
@@ -225,9 +229,8 @@ class Page:
                 elif name == "hr":
                     self.flows[-1].apart(2)
             return
-        if len(self.stack) >= DEEPEST:
-            return
         self.stack.append(name)
+        self.places[name].append(len(self.stack) - 1)
         if self.hidden_from is None:
             if self.is_hidden(name, known) or self.in_closed_details(name):
                 self.hidden_from = len(self.stack)
@@ -236,27 +239,29 @@ class Page:
 
     def end_implied(self, kinds: frozenset[str], limits: frozenset[str]) -> None:
         """Close the outermost open element of ``kinds`` inside the innermost of ``limits``."""
-        depth = None
-        for n in range(len(self.stack) - 1, -1, -1):
-            if self.stack[n] in kinds:
-                depth = n
-            elif self.stack[n] in limits:
-                break
-        if depth is not None:
+        limit = self.innermost(limits)
+        found = []
+        for kind in kinds:
+            places = self.places[kind]
+            n = bisect.bisect(places, limit)
+            found += places[n : n + 1]
+        if found:
+            depth = min(found)
             while len(self.stack) > depth:
                 self.pop()
 
+    def innermost(self, names: frozenset[str]) -> int:
+        """Place of the innermost open element of ``names``, or -1."""
+        return max((self.places[name][-1] for name in names if self.places[name]), default=-1)
+
     def end(self, name: str) -> None:
         if name == "br":
             return self.begin("br", "")
         limits = CELL_SCOPE if name not in CELL_SCOPE | {"tr", "tbody", "thead", "tfoot"} else frozenset(["table"])
-        for n in range(len(self.stack) - 1, -1, -1):
-            if self.stack[n] == name:
-                while len(self.stack) > n:
-                    self.pop()
-                return
-            if self.stack[n] in limits:
-                return
+        n = self.innermost(frozenset([name]))
+        if n >= 0 and n >= self.innermost(limits):
+            while len(self.stack) > n:
+                self.pop()
 
     def pop(self) -> None:
         name, depth = self.stack[-1], len(self.stack)
@@ -267,6 +272,7 @@ class Page:
         if self.closed_details and self.closed_details[-1] == depth:
             self.closed_details.pop()
         self.stack.pop()
+        self.places[name].pop()
 
     # --- visibility ---
 

@@ -64,6 +64,14 @@ def test_long_and_deep_pages_end(part):
     assert time.time() - start < 20
 
 
+def test_rules_hold_at_any_depth():
+    spans = "<span>" * 600
+    assert page_text(spans + "a<script>var x = '<p>no';</script><style>p{}</style><div hidden>h</div>b<ul><li>c</ul>d") == "ab\n\n- c\n\nd"
+    assert page_text("<b>" * 700 + "<table><tr><td>1<td>2<tr><td>3<td>4</table></b>z") == "1  2\n3  4\n\nz"
+    # An end tag closes its own element, not one of the same name further out.
+    assert page_text("<div hidden>" + spans + "<div>x</div>y</div>z") == "z"
+
+
 class Plain(HTMLParser):
     """Words and block borders only: enough for pages without tables, lists within lists or hidden parts."""
 
