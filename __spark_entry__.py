@@ -17,12 +17,12 @@ from quillsieve.functions.patterns import Term, TermList  # noqa: E402
 from quillsieve.functions.reporting import shard_label  # noqa: E402
 from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplate  # noqa: E402
 from quillsieve.operators import audit, dialogues, filters, packing, selection, stats  # noqa: E402
-from quillsieve.plans.audit import audit_corpus, rewrite_dirty  # noqa: E402
+from quillsieve.plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live  # noqa: E402
 from quillsieve.plans.build import build_corpus  # noqa: E402
 from quillsieve.plans.dialogues import accepted, request_table, screen_replies  # noqa: E402
 from quillsieve.plans.report import report_json  # noqa: E402
 from quillsieve.runtime import materialize, run_dir, spread  # noqa: E402
-from quillsieve.sources import documents as raw, ledger, shards  # noqa: E402
+from quillsieve.sources import documents as raw, ledger, manifest, shards  # noqa: E402
 from quillsieve.streaming import audit_stream, frames  # noqa: E402
 
 # Neutral stand-ins for a caller's term and phrase lists.
@@ -380,6 +380,19 @@ def dirty_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("shard", "doc_id", "copy", "is_pad")
 
 
+def manifest_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live rows of a corpus folder after the second pass, which empties some of its 400 shards."""
+    root = run_dir(spark, "corpus")
+    docs = table(spark, sf_dir, "documents").select((F.col("doc_id") % 400).alias("shard"), "text")
+    shards.write_shards(docs.withColumn("shuffle_key", F.md5("text")), root)
+    rewrite_live(spark, root, PHRASES, group_rows=GROUP_ROWS, pad_flag=True)
+    live = live_rows(spark, root).groupBy("shard").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.length("text")).alias("chars")
+    )
+    listed = manifest.shards_at(spark, root).select("shard", (F.size("files") == 0).alias("is_empty"))
+    return listed.join(live, "shard", "left").fillna(0, ["docs", "chars"])
+
+
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "stream")
     audit_stream.audit_new_shards(
@@ -625,7 +638,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         corpus_report_json, audience_filter, min_length, empty_docs, blocklist_filter,
         blocklist_first_term, blocklist_flagged, blocklist_wide, phrase_filter, verdict_gate, score_gate,
         layered_gate, term_table, audit_summary, dirty_shards, audit_log, audit_repack,
-        dirty_rewrite, stream_audit, source_union, epoch_mixture, token_budget, subset_totals,
+        dirty_rewrite, manifest_live, stream_audit, source_union, epoch_mixture, token_budget, subset_totals,
         mixture_budget, tokenizer_extract, seeded_shuffle, shard_pack, pad_shards,
         train_val_split, sample_preview, corpus_build, shard_stats, corpus_totals,
         token_estimate, length_histogram, dialogue_valid, dialogue_blocklist, dialogue_text,
@@ -877,6 +890,9 @@ def library_sql() -> dict[str, str]:
             kept AS (SELECT doc_id, shard, md5('42:' || doc_id) AS k FROM hits
               WHERE NOT hit AND shard IN (SELECT shard FROM hits WHERE hit)), {pad_ctes('kept')}
             SELECT shard, doc_id, copy, is_pad FROM padded""",
+        "manifest_live": f"""SELECT doc_id % 400 AS shard, count(*) FILTER (WHERE NOT hit) AS docs,
+              CAST(coalesce(sum(length(text)) FILTER (WHERE NOT hit), 0) AS BIGINT) AS chars, bool_and(hit) AS is_empty
+            FROM (SELECT doc_id, text, coalesce({any_phrase('text')}, false) AS hit FROM documents) GROUP BY 1""",
         "stream_audit": f"""WITH f AS ({THREE_FILES}),
             per AS (SELECT name AS shard, count(*) AS total, count(*) FILTER (WHERE {any_term('text')}) AS removed
                     FROM f GROUP BY name)

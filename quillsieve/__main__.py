@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.patterns import DEFAULT_PHRASES, TermList
 from .functions.ordering import shuffle_key
+from .functions.reporting import shard_number
 from .operators.packing import SHARD_CHARS, pad_shards, sample_previews
 from .operators.stats import length_histogram
-from .plans.audit import audit_corpus, rewrite_dirty
+from .plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live
 from .plans.build import TARGET_TOKENS, build_corpus
 from .plans.dialogues import TARGET_DIALOGUES, accepted, request_table, screen_replies
 from .plans.report import report_json
 from .runtime import drop_stages, materialize
 from .sources.documents import append_dialogues, count_jsonl, read_books, scan_subsets
-from .sources.shards import all_valid, publish_shards, shard_number, validate_shards, write_shards
+from .sources import manifest
+from .sources.shards import all_valid, validate_shards, write_shards
 from .streaming.audit_stream import audit_new_shards, audited_counts
 
 PAD_HELP = "write an is_pad column, so that later jobs can drop the pad copies"
@@ -32,18 +34,6 @@ def read_terms(spark: SparkSession, path: str) -> TermList:
     return TermList.from_table(spark.read.schema(TERM_SCHEMA).json(path))
 
 
-def shard_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Texts of a shard folder without flagged pad copies; file and position name a row.
-
-    Shards are ``shard=N`` folders or ``shard_N.parquet`` files side by side.
-    """
-    rows = spark.read.schema("text string, is_pad boolean").parquet(path)
-    rows = rows.where(~F.coalesce("is_pad", F.lit(False)))
-    file = F.col("_metadata.file_path")
-    position = F.concat_ws(":", file, F.col("_metadata.row_index"))
-    return rows.select(shard_number(file).alias("shard"), "text", F.md5(position).alias("doc_id"))
-
-
 def print_rows(rows: DataFrame) -> None:
     """Every row as a JSON line; the driver holds one partition at a time."""
     for row in rows.select(F.to_json(F.struct("*")).alias("line")).toLocalIterator():
@@ -70,7 +60,7 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
-    docs = shard_rows(spark, args.input)
+    docs = live_rows(spark, args.input)
     phrases = DEFAULT_PHRASES if args.phrases else []
     result = audit_corpus(docs, read_terms(spark, args.terms), phrases, whole_shards=True)
     write_shards(result.kept, args.output, clustered=True, extra=pad_flag(args))
@@ -102,17 +92,25 @@ def audit_new(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def rewrite(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Second pass: writes replacements of the changed shards to a staging folder, and publishes them if asked to."""
-    changed = rewrite_dirty(shard_rows(spark, args.input), whole_shards=True)
-    write_shards(changed, args.output, mode="dynamic", clustered=True)
+    """Second pass: writes replacements of the changed shards to a folder, or publishes them as the input's next version."""
     if args.publish:
-        print(f"published {publish_shards(spark, args.output, args.input)} shards")
+        version, dirty = rewrite_live(spark, args.input, pad_flag=args.pad_flag)
+        print_rows(dirty.orderBy("shard"))
+        print("nothing to change" if version is None else f"published version {version}")
+        return
+    changed = rewrite_dirty(live_rows(spark, args.input), whole_shards=True)
+    write_shards(changed, args.output, mode="dynamic", clustered=True, extra=pad_flag(args))
+
+
+def vacuum(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Deletes shard files that no kept version of a published folder lists."""
+    print(f"deleted {manifest.vacuum(spark, args.input, args.keep, args.min_age_hours)} files")
 
 
 def stats(spark: SparkSession, args: argparse.Namespace) -> None:
     report = report_json(spark, args.input)
     report.write.mode("overwrite").text(args.output)
-    docs = shard_rows(spark, args.input)
+    docs = live_rows(spark, args.input)
     print_rows(length_histogram(docs).orderBy("bin"))
     print_rows(sample_previews(docs, args.num_samples))
 
@@ -164,8 +162,14 @@ def arguments() -> argparse.ArgumentParser:
     sub.add_argument("--phrases", action="store_true", help="apply the second pass as well")
     sub = job(audit_new, "audit-new", "input", "output", "terms")
     sub.add_argument("--phrases", action="store_true", help="apply the second pass as well")
-    sub = job(rewrite, "rewrite", "input", "output")
-    sub.add_argument("--publish", action="store_true", help="move the replacements over their shards (shard=N folders)")
+    sub = job(rewrite, "rewrite", "input")
+    target = sub.add_mutually_exclusive_group(required=True)
+    target.add_argument("--output", help="folder for the replacements")
+    target.add_argument("--publish", action="store_true", help="replace the changed shards by a new version of the input folder")
+    sub.add_argument("--pad-flag", action="store_true", help=PAD_HELP)
+    sub = job(vacuum, "vacuum", "input")
+    sub.add_argument("--keep", type=int, default=1, help="versions whose files stay")
+    sub.add_argument("--min-age-hours", type=float, default=24)
     sub = job(stats, "stats", "input", "output")
     sub.add_argument("--num-samples", type=int, default=5)
     job(validate, "validate", "input")

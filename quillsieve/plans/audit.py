@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.ordering import shuffle_key
 from ..functions.matching import has_phrase
 from ..functions.patterns import DEFAULT_PHRASES, TermList
+from ..functions.reporting import shard_number
 from ..operators.audit import audit_counts, dirty_shards, evidence, screen
 from ..operators.packing import ROW_GROUP_ROWS, pad_shards
 from ..runtime import broadcast_within, materialize
+from ..sources import manifest
+from ..sources.shards import write_shards
 
 
 @dataclass(frozen=True)
@@ -67,10 +70,15 @@ def rewrite_dirty(
     text: str = "text",
     group_rows: int = ROW_GROUP_ROWS,
     whole_shards: bool = False,
+    dirty: DataFrame | None = None,
 ) -> DataFrame:
-    """The padded replacement rows of the shards that lose a document; others are left alone."""
+    """The padded replacement rows of the shards that lose a document; others are left alone.
+
+    ``dirty`` is the stored result of dirty_shards, if it is known already.
+    """
     phrases = list(phrases)
-    dirty = materialize(dirty_shards(docs, phrases, shard, text), "dirty")
+    if dirty is None:
+        dirty = materialize(dirty_shards(docs, phrases, shard, text), "dirty")
     survivors = docs.where(~has_phrase(F.col(text), phrases)).join(
         broadcast_within(dirty.select(shard), dirty.count()), shard, "left_semi"
     )
@@ -80,3 +88,39 @@ def rewrite_dirty(
     return pad_shards(
         survivors, shard, row_id, group_rows=group_rows, sizes=sizes, whole_shards=whole_shards
     )
+
+
+def rewrite_live(
+    spark: SparkSession,
+    root: str,
+    phrases: Iterable[str] = DEFAULT_PHRASES,
+    group_rows: int = ROW_GROUP_ROWS,
+    pad_flag: bool = False,
+) -> tuple[int | None, DataFrame]:
+    """Second pass over a corpus folder, published as its next version.
+
+    Returns the version (None if no shard changes) and the changed shards with
+    removed and kept rows. A shard that loses all its documents is empty from
+    then on; files side by side are replaced like ``shard=N`` folders.
+    """
+    phrases = list(phrases)
+    docs = live_rows(spark, root)
+    dirty = materialize(dirty_shards(docs, phrases), "dirty")
+    if dirty.isEmpty():
+        return None, dirty
+    changed = rewrite_dirty(docs, phrases, group_rows=group_rows, whole_shards=True, dirty=dirty)
+    extra = ("is_pad",) if pad_flag else ()
+
+    def write(rows: DataFrame, folder: str) -> None:
+        write_shards(rows, folder, group_rows=group_rows, clustered=True, extra=extra)
+
+    return manifest.replace_shards(spark, root, changed, dirty.select("shard"), write), dirty
+
+
+def live_rows(spark: SparkSession, root: str) -> DataFrame:
+    """shard, text, doc_id of a corpus folder's live rows without flagged pad copies; file and position name a row."""
+    rows = manifest.scan(spark, root, "text string, is_pad boolean")
+    rows = rows.where(~F.coalesce("is_pad", F.lit(False)))
+    file = F.col("_metadata.file_path")
+    position = F.concat_ws(":", file, F.col("_metadata.row_index"))
+    return rows.select(shard_number(file).alias("shard"), "text", F.md5(position).alias("doc_id"))

@@ -7,26 +7,18 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.reporting import shard_label
+from ..functions.reporting import shard_label, shard_number
 from ..functions.textnorm import is_empty
-from ..runtime import filesystem_of, materialize
+from ..runtime import materialize
 from ..operators.packing import ROW_GROUP_ROWS
-
-
-def shard_number(path: Column) -> Column:
-    """The number in the last ``shard=N``, ``shard_N`` or ``shard-N`` of a path; a path without one is an error."""
-    number = F.regexp_extract(path, r".*shard[=_-](\d+)", 1)
-    missing = F.raise_error(F.concat(F.lit("no shard number in "), path)).cast("bigint")
-    return F.when(number == "", missing).otherwise(number.cast("bigint"))
+from . import manifest
 
 
 def scan_shards(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``path, name, text, file_size`` of every shard file; unused columns are never read."""
-    reader = spark.read.schema("text string")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    """``path, name, text, file_size`` of every live shard file; unused columns are never read."""
+    rows = manifest.scan(spark, path, "text string", **({"pathGlobFilter": glob} if glob else {}))
     located = F.col("_metadata.file_path")
-    return reader.parquet(path).select(
+    return rows.select(
         located.alias("path"),
         shard_label(located).alias("name"),
         "text",
@@ -72,30 +64,13 @@ def write_shards(
     writer.mode(mode).parquet(path)
 
 
-def publish_shards(spark: SparkSession, staged: str, path: str) -> int:
-    """Move every staged ``shard=N`` folder over the one in ``path``; returns how many moved.
-
-    Folders move one by one, so a run that is cut short can simply be repeated.
-    """
-    filesystem, source = filesystem_of(spark, staged)
-    _, target = filesystem_of(spark, path)
-    folders = [s.getPath() for s in filesystem.listStatus(source) if s.isDirectory()]
-    folders = [f for f in folders if f.getName().startswith("shard=")]
-    for folder in folders:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, folder.getName())
-        filesystem.delete(place, True)
-        if not filesystem.rename(folder, place):
-            raise OSError(f"could not move {folder} to {place}")
-    return len(folders)
-
-
 def shard_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """Listing only: the file contents are pruned from the scan."""
+    """Listing of the live files only: the file contents are pruned from the scan."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(manifest.live_files(spark, path))
         .select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("file_size"))
     )
 
@@ -170,15 +145,10 @@ def validate_shards(
     if facts.where(readable).isEmpty():
         facts = facts.withColumn("empty", F.lit(None).cast("bigint")).withColumn("scanned", F.lit(None).cast("bigint"))
     else:
-        texts = (
-            spark.read.schema("text string")
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true")
-            .option("ignoreCorruptFiles", "true")
-            .option("parquet.page.verify-checksum.enabled", "true")
-            .parquet(path)
-            .select(F.col("_metadata.file_path").alias("path"), "text")
-        )
+        checked = {"pathGlobFilter": glob, "recursiveFileLookup": "true", "ignoreCorruptFiles": "true"}
+        texts = manifest.scan(
+            spark, path, "text string", **checked, **{"parquet.page.verify-checksum.enabled": "true"}
+        ).select(F.col("_metadata.file_path").alias("path"), "text")
         scanned = texts.groupBy("path").agg(
             F.count_if(is_empty(F.col("text"))).alias("empty"), F.count(F.lit(1)).alias("scanned")
         )

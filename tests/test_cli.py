@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsieve.__main__ import main
+from quillsieve.sources import manifest
 
 
 @pytest.fixture
@@ -52,10 +53,17 @@ def test_build_audit_rewrite_validate_report(spark, folder, capsys):
     assert second and not any("torture" in t for t in second)
     assert spark.read.parquet(f"{base}/second").select("shard").distinct().count() == 1
 
-    before = {p.name for p in (base / "clean").glob("shard=*")}
-    main(["rewrite", "--input", f"{base}/clean", "--output", f"{base}/third", "--publish"])
-    assert {p.name for p in (base / "clean").glob("shard=*")} == before
-    assert len(texts(spark, base / "clean")) % 1024 == 0 and not any("torture" in t for t in texts(spark, base / "clean"))
+    before = {r.shard for r in manifest.shards_at(spark, f"{base}/clean").collect()}
+    main(["rewrite", "--input", f"{base}/clean", "--publish"])
+    assert "published version 1" in capsys.readouterr().out
+    assert {r.shard for r in manifest.shards_at(spark, f"{base}/clean").collect()} == before
+    left = [r.text for r in manifest.scan(spark, f"{base}/clean", "text string").collect()]
+    assert len(left) % 1024 == 0 and not any("torture" in t for t in left) and len(set(left)) == 57
+    main(["rewrite", "--input", f"{base}/clean", "--publish"])
+    assert "nothing to change" in capsys.readouterr().out
+    main(["validate", "--input", f"{base}/clean"])
+    main(["vacuum", "--input", f"{base}/clean", "--min-age-hours", "0"])
+    assert "deleted 1 files" in capsys.readouterr().out
 
     main(["stats", "--input", f"{base}/clean", "--output", f"{base}/report"])
     report = json.loads(spark.read.text(f"{base}/report").first().value)
