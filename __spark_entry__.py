@@ -16,7 +16,7 @@ from quillsieve.functions.matching import has_phrase  # noqa: E402
 from quillsieve.functions.patterns import Term, TermList  # noqa: E402
 from quillsieve.functions.reporting import shard_label  # noqa: E402
 from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplate  # noqa: E402
-from quillsieve.operators import audit, dialogues, filters, packing, selection, stats  # noqa: E402
+from quillsieve.operators import audit, dialogues, filters, packing, selection, stats, termindex  # noqa: E402
 from quillsieve.plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live  # noqa: E402
 from quillsieve.plans.build import build_corpus  # noqa: E402
 from quillsieve.plans.dialogues import accepted, request_table, screen_replies  # noqa: E402
@@ -287,23 +287,27 @@ def blocklist_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.flagged(docs, TERMS).select("doc_id", "matched_term")
 
 
-def wide_terms(spark: SparkSession, sf_dir: str) -> TermList:
+def wide_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hundreds of substring terms: the long plain words of the benchmark table."""
     words = table(spark, sf_dir, "benchmark").select(
         "item_id", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("pos", "term")
     )
-    listed = words.where(F.length("term") >= 8).select(
+    return words.where(F.length("term") >= 8).select(
         (F.col("item_id") * 100_000 + F.col("pos")).alias("ord"),
         "term",
         F.lit("word").alias("category"),
         F.lit(False).alias("whole_word"),
     )
-    return TermList.from_table(audit.term_table(listed))
 
 
 def blocklist_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return filters.blocklist_filter(docs, wide_terms(spark, sf_dir)).select("doc_id")
+    return termindex.blocklist_filter(docs, wide_terms(spark, sf_dir)).select("doc_id")
+
+
+def term_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return termindex.term_hits(docs, wide_terms(spark, sf_dir)).select("doc_id", "ord", "term")
 
 
 def phrase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -636,7 +640,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         scan_shards, subset_scan, jsonl_roundtrip, jsonl_count, wholetext_scan, catalog_select,
         write_shards, validate_shards, all_shards_valid, resume_pending, dialogue_jsonl,
         corpus_report_json, audience_filter, min_length, empty_docs, blocklist_filter,
-        blocklist_first_term, blocklist_flagged, blocklist_wide, phrase_filter, verdict_gate, score_gate,
+        blocklist_first_term, blocklist_flagged, blocklist_wide, term_hits, phrase_filter, verdict_gate, score_gate,
         layered_gate, term_table, audit_summary, dirty_shards, audit_log, audit_repack,
         dirty_rewrite, manifest_live, stream_audit, source_union, epoch_mixture, token_budget, subset_totals,
         mixture_budget, tokenizer_extract, seeded_shuffle, shard_pack, pad_shards,
@@ -692,6 +696,17 @@ def first_phrase(text: str) -> str:
     return f"CASE {cases} END"
 
 
+# The long words of the benchmark table with their patterns.
+WIDE_TERMS_SQL = """words AS (
+      SELECT item_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS term,
+        generate_subscripts(string_split_regex(lower(text), '[^a-z]+'), 1) - 1 AS pos FROM benchmark),
+    patterns AS (SELECT term, min(item_id * 100000 + pos) AS ord,
+        array_to_string(list_transform(string_split(term, ''), lambda ch: CASE ch
+          WHEN 'a' THEN '[a@4^]' WHEN 'e' THEN '[e3&]' WHEN 'i' THEN '[i1!|y]' WHEN 'o' THEN '[o0*]'
+          WHEN 's' THEN '[s$5z]' WHEN 't' THEN '[t7+]' WHEN 'l' THEN '[l1|]' WHEN 'u' THEN '[uv@*]'
+          WHEN 'c' THEN '[ck]' WHEN 'k' THEN '[kc]' ELSE ch END), '') AS p
+      FROM words WHERE length(term) >= 8 GROUP BY term)"""
+
 SPACE_SQL = "||".join(
     f"chr({n})"
     for n in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -846,15 +861,11 @@ def library_sql() -> dict[str, str]:
         "blocklist_filter": f"SELECT doc_id, text FROM documents WHERE NOT coalesce({any_term('text')}, false)",
         "blocklist_first_term": f"SELECT doc_id, {first_term('text')} AS matched_term FROM documents",
         "blocklist_flagged": f"SELECT doc_id, {first_term('text')} AS matched_term FROM documents WHERE {any_term('text')}",
-        "blocklist_wide": """WITH words AS (
-              SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS term FROM benchmark),
-            patterns AS (SELECT array_to_string(list_transform(string_split(term, ''), lambda ch: CASE ch
-                WHEN 'a' THEN '[a@4^]' WHEN 'e' THEN '[e3&]' WHEN 'i' THEN '[i1!|y]' WHEN 'o' THEN '[o0*]'
-                WHEN 's' THEN '[s$5z]' WHEN 't' THEN '[t7+]' WHEN 'l' THEN '[l1|]' WHEN 'u' THEN '[uv@*]'
-                WHEN 'c' THEN '[ck]' WHEN 'k' THEN '[kc]' ELSE ch END), '') AS p
-              FROM words WHERE length(term) >= 8),
+        "blocklist_wide": f"""WITH {WIDE_TERMS_SQL},
             list AS (SELECT string_agg(p, '|') AS p FROM patterns)
             SELECT doc_id FROM documents, list WHERE NOT regexp_matches(lower(text), p)""",
+        "term_hits": f"""WITH {WIDE_TERMS_SQL}
+            SELECT doc_id, CAST(ord AS BIGINT) AS ord, term FROM documents JOIN patterns ON regexp_matches(lower(text), p)""",
         "phrase_filter": f"SELECT doc_id, text FROM documents WHERE NOT {any_phrase('text')}",
         "verdict_gate": """SELECT doc_id, coalesce(labels.toxic = 0, false) AS is_safe
             FROM documents LEFT JOIN labels USING (doc_id)""",
