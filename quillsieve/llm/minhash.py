@@ -4,16 +4,18 @@ Each document's distinct word shingles become ``REGISTERS`` registers: the
 smallest of the shingles' exponential variates, as a truncated logarithm to the
 base ``BASE``. Registers merge by maximum and agree the more often the more
 alike two sets are. Bands of ``ROWS`` registers name buckets. The members of a
-bucket are compared with its smallest document; the likelihood of the register
-order (above, below, equal), with the known set sizes, estimates the similarity,
-and pairs that can reach the threshold are verified on whole sets.
-
-Documents with equal sets form a class first, and only its smallest document
-goes on. Later rounds compare what still is apart within a bucket: the smallest
-member of each component, and the bucket's largest document, with all members of
-other components. When a round adds no link, all members that are still apart in
-a bucket meet: they are dealt into chunks, a task compares two of them, and only
-links leave it.
+bucket are compared with its smallest one, then with its largest; the likelihood
+of the register order (above, below, equal), with the known set sizes, estimates
+the similarity, and pairs that can reach the threshold are verified on whole sets.
+
+Rows with equal sets form a class (a node of the graph), and only one of them is
+compared. What is still apart within a bucket meets by an exact prefix filter:
+shingles are ordered by rarity, and two sets of sizes a and b can only be linked
+if their first a - o + 1 and b - o + 1 shingles share one, where o is the overlap
+that the threshold asks for. Shingles that a single component holds come first:
+they fill places in a prefix, but no pair across components meets in them. So
+neither a large component nor a family of templated texts below the threshold is
+paired up; only sets that meet in a rare shingle and a bucket are compared.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillsieve.llm import arrow
 from quillsieve.llm.components import components
@@ -37,8 +39,10 @@ BASE = 1.02
 TOP = 65534
 # Below the threshold by five standard errors of an estimate from 128 registers.
 SLACK = 0.2
-# Documents and shingles of a chunk, on average; two chunks meet in a task.
-CHUNK, CHUNK_SHINGLES = 256, 1 << 20
+# Set sizes of a class differ by this factor at most.
+SIZE_STEP = 1.02
+# Keys that the rows of one bucket, or the pairs of one document, are dealt to.
+SALTS = 16
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -96,10 +100,10 @@ def estimate(above: np.ndarray, below: np.ndarray, equal: np.ndarray, left: np.n
 
 
 def sketch_documents(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, and for non-empty sets d1, d2 (digest of the set), registers, bands."""
+    """doc_id, content (see _content), n_shingles, and for non-empty sets d1, d2 (digest of the set), registers, bands."""
     schema = pa.schema(
         [
-            ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+            ("doc_id", pa.int64()), ("content", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
             ("registers", pa.binary()), ("bands", pa.list_(pa.int64())),
         ]
     )
@@ -120,12 +124,17 @@ def sketch_documents(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             ends = np.cumsum(np.full(len(counts), REGISTERS))
             places = pa.array(np.arange(0, bands.size + 1, bands.shape[1]), pa.int32())
             yield arrow.batch(
-                schema, part.column("doc_id"), counts, digests[0], digests[1],
+                schema, part.column("doc_id"), part.column("content"), counts, digests[0], digests[1],
                 arrow.binaries(registers.reshape(-1), ends), pa.ListArray.from_arrays(places, bands.reshape(-1)),
             )
 
-    kind = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, registers binary, bands array<bigint>"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sketch, kind)
+    kind = "doc_id bigint, content bigint, n_shingles bigint, d1 bigint, d2 bigint, registers binary, bands array<bigint>"
+    return docs.select("doc_id", _content(), "text").mapInArrow(sketch, kind)
+
+
+def _content() -> Column:
+    """Tells rows with one doc_id apart by their text."""
+    return F.xxhash64("doc_id", "text").alias("content")
 
 
 def _can_link(one: np.ndarray, two: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -135,8 +144,22 @@ def _can_link(one: np.ndarray, two: np.ndarray, left: np.ndarray, right: np.ndar
     return near & (DENOMINATOR * np.minimum(left, right) >= NUMERATOR * np.maximum(left, right))
 
 
-def _near(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose registers and sizes allow the threshold."""
+def _with_sides(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the columns of ``facts`` (node, ...) for either side, named ``_a`` and ``_b``.
+
+    A node in many pairs is copied to a few salted keys, so that its pairs do not meet in one task.
+    """
+    salt = {"a": F.pmod(F.xxhash64("b"), F.lit(SALTS)), "b": F.pmod(F.xxhash64("a"), F.lit(SALTS))}
+    joined = pairs
+    for side in "ba":
+        named = facts.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in facts.columns if c != "node"))
+        used = pairs.select(side, salt[side].alias("_salt")).distinct()
+        joined = joined.withColumn("_salt", salt[side]).join(used.join(named, side), [side, "_salt"]).drop("_salt")
+    return joined
+
+
+def _near(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a bucket and whose registers and sizes allow the threshold."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,20 +168,25 @@ def _near(pairs: DataFrame, known: DataFrame) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS).astype(np.int64)
                 for c in ("registers_a", "registers_b")
             )
-            left, right = (batch.column(c).to_numpy().astype(np.float64) for c in ("n_a", "n_b"))
+            left, right = (batch.column(c).to_numpy().astype(np.float64) for c in ("n_shingles_a", "n_shingles_b"))
             near = _can_link(one, two, left, right)
+            near &= (one.reshape(len(one), -1, ROWS) == two.reshape(len(two), -1, ROWS)).all(axis=2).any(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(near)) for c in ("a", "b")], schema=schema
             )
 
-    sides = [
-        known.select(F.col("doc_id").alias(k), F.col("registers").alias(f"registers_{k}"), F.col("n_shingles").alias(f"n_{k}"))
-        for k in "ab"
-    ]
-    return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(judge, "a bigint, b bigint")
+    sided = _with_sides(pairs, heads.select("node", "registers", "n_shingles"))
+    return sided.mapInArrow(judge, "a bigint, b bigint")
+
+
+def _texts_of(nodes: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and text of the heads of ``nodes`` (node, distinct)."""
+    wanted = nodes.join(heads.select("node", "doc_id", "content"), "node")
+    found = docs.select("doc_id", _content(), "text").join(wanted, ["doc_id", "content"])
+    return found.dropDuplicates(["node"]).select("node", "text")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Pairs (a, b) that are linked, decided on whole sets."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -180,192 +208,165 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                     [batch.column(c).filter(pa.array(linked)) for c in ("a", "b")], schema=schema
                 )
 
-    sides = [texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
-    return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(check, "a bigint, b bigint")
-
-
-def _placed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """``members`` of buckets with their component so far."""
-    if parts is None:
-        placed = members.withColumn("component", F.col("doc_id"))
-    else:
-        placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-    return materialize(placed.select("band", "doc_id", "first", "last", "component"), "placed")
-
-
-def _apart(placed: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket's centres and its members in other components that are not ``tested`` yet."""
-    spread = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    apart = placed.join(spread.where("low < high").select("band"), "band", "left_semi")
-    sizes = apart.groupBy("band", "component").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
-    # Stored: a join right above a union of shuffled tables may find different partition counts.
-    chosen = sizes.where("n > 1").select("band", "component", "a").unionByName(
-        apart.where("doc_id = last").select("band", "component", F.col("doc_id").alias("a"))
-    )
-    centres = materialize(chosen.distinct(), "centres")
-    # A pair meets in many buckets (at most one a band); only the first of them yields it.
-    apart = apart.withColumn("bands", F.collect_set("band").over(Window.partitionBy("doc_id")))
-    centres = centres.withColumn("bands", F.collect_set("band").over(Window.partitionBy("component", "a")))
-    first = "m.band = array_min(array_intersect(m.bands, c.bands))"
-    met = apart.alias("m").join(
-        centres.alias("c"), F.expr(f"m.band = c.band and m.component <> c.component and {first}")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = materialize(_texts_of(nodes, heads, docs), "texts")
+    return _with_sides(pairs, texts).mapInArrow(check, "a bigint, b bigint")
+
+
+def _linked(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Stored links among ``pairs``."""
+    near = materialize(_near(materialize(pairs.distinct(), "pairs"), heads), "near")
+    return materialize(_verified(near, heads, docs, width), "links")
+
+
+def _by_band(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """``members`` joined with ``facts`` of their band, which go to salted keys: one bucket may hold much of a band."""
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    salted = members.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    return salted.join(facts.withColumn("_salt", F.explode(salts)), ["band", "_salt"]).drop("_salt")
+
+
+def _open_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stored ``members`` of buckets that hold several components, with their ``component`` and the last member's."""
+    placed = members.select("band", "node", "n_shingles", "first", "last").join(parts.withColumnRenamed("id", "node"), "node", "left")
+    placed = materialize(placed.withColumn("component", F.coalesce("component", "node")), "placed")
+    spread = placed.groupBy("band").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.max_by("component", "node").alias("last_component")
     )
-    pairs = met.select(F.least("c.a", "m.doc_id").alias("a"), F.greatest("c.a", "m.doc_id").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    spread = materialize(spread.where("_low < _high").select("band", "last_component"), "open")
+    return materialize(_by_band(placed, spread), "apart")
 
 
-def _remaining(placed: DataFrame, heads: DataFrame, chunk: int) -> DataFrame:
-    """Members of buckets with several components, once for each cell (band, low, high) of two chunks in which they meet others.
+def least_overlap(one: Column, two: Column) -> Column:
+    """Shingles that linked sets of these sizes share at least: ceil(NUMERATOR * (one + two) / (NUMERATOR + DENOMINATOR))."""
+    whole = NUMERATOR + DENOMINATOR
+    return F.call_function("div", (one + two) * NUMERATOR + (whole - 1), F.lit(whole))
 
-    Centres have met all others already (see _apart) and stay out.
-    """
-    sizes = placed.groupBy("band", "component").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    centres = sizes.where("n > 1").select("band", F.col("least").alias("doc_id"))
-    rest = placed.where("doc_id <> first and doc_id <> last").join(centres, ["band", "doc_id"], "left_anti")
-    rest = materialize(
-        rest.join(heads.select("doc_id", "n_shingles"), "doc_id").select("band", "doc_id", "component", "n_shingles"), "rest"
+
+def size_class(size: Column) -> Column:
+    return F.floor(F.ln(size) / float(np.log(SIZE_STEP))).cast("int")
+
+
+def _partners(apart: DataFrame) -> DataFrame:
+    """node and ``partner``, the size classes of sets that it could be linked with in one of its buckets."""
+    sized = apart.withColumn("class", size_class(F.col("n_shingles")))
+    # One entry for each size class of a bucket.
+    present = materialize(sized.groupBy("band").agg(F.collect_set("class").alias("classes")), "classes")
+    farthest = int(np.ceil(np.log(DENOMINATOR / NUMERATOR) / np.log(SIZE_STEP))) + 1
+    fits = _by_band(sized, present).select(
+        "node", F.explode(F.filter("classes", lambda c: F.abs(c - F.col("class")) <= farthest)).alias("partner")
     )
-    spread = rest.groupBy("band").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"),
-        F.ceil(F.greatest(F.count(F.lit(1)) / chunk, F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int").alias("chunks"),
+    return fits.distinct()
+
+
+def _prefixes(apart: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Stored shingles of the prefixes: shingle, small, large (size classes), node, component, n_shingles, place."""
+    nodes = materialize(apart.select("node", "component", "n_shingles").distinct(), "nodes")
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrow.slices(batches, "text"):
+            flat, counts = shingle_sets(part.column("text"), width)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            yield arrow.batch(
+                schema, part.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
+            )
+
+    sets = _texts_of(nodes.select("node"), heads, docs).mapInArrow(read, "node bigint, shingles array<bigint>")
+    each = sets.select("node", F.explode("shingles").alias("shingle")).join(nodes, "node")
+    each = materialize(each, "shingles")
+    # Shingles of one component come first in the order; the others by their number of sets.
+    common = each.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("component").alias("_low"), F.max("component").alias("_high")
     )
-    dealt = rest.join(spread.where("least < most").select("band", "chunks"), "band").withColumn(
-        "own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    common = materialize(common.where("_low < _high").select("shingle", "sets"), "common")
+    shared = materialize(each.join(common, "shingle"), "shared")
+    size = F.col("n_shingles")
+    own = Window.partitionBy("node")
+    placed = shared.withColumn("place", size - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("sets", "shingle")) - 1)
+    longest = size - F.call_function("div", size * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1
+    placed = placed.where(F.col("place") < longest)
+    # The partner's size is at least the smallest of its class, and no less than the threshold allows.
+    least = F.greatest(
+        F.floor(F.pow(F.lit(SIZE_STEP), F.col("partner"))).cast("bigint"),
+        F.call_function("div", size * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)),
     )
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return met.select(
-        "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "component"
+    met = placed.join(materialize(_partners(apart), "partners"), "node").where(F.col("place") <= size - least_overlap(size, least))
+    kind = size_class(size)
+    return materialize(
+        met.select(
+            "shingle", F.least(kind, "partner").alias("small"), F.greatest(kind, "partner").alias("large"),
+            "node", "component", "n_shingles", "place",
+        ),
+        "prefixes",
     )
 
 
-def _candidates(cell: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """Each row of a cell, and later ones of other components that may be linked with it and first meet it in this bucket."""
-    registers = np.frombuffer(b"".join(cell.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
-    keys, band = band_keys(registers), cell.column("band")[0].as_py()
-    own, component = (cell.column(c).to_numpy() for c in ("own", "component"))
-    sizes = cell.column("n_shingles").to_numpy().astype(np.float64)
-    crossed = cell.column("low")[0].as_py() != cell.column("high")[0].as_py()
-    for a in range(len(sizes) - 1):
-        others = np.arange(a + 1, len(sizes))
-        fits = DENOMINATOR * np.minimum(sizes[a], sizes[others]) >= NUMERATOR * np.maximum(sizes[a], sizes[others])
-        fits &= component[others] != component[a]
-        if crossed:
-            fits &= own[others] != own[a]
-        others = others[fits]
-        # Two documents meet in many buckets; they are compared in the first.
-        others = others[keys[a][(keys[others] == keys[a]).argmax(axis=1)] == band]
-        if len(others):
-            left = np.full(len(others), sizes[a])
-            others = others[_can_link(registers[a][None], registers[others], left, sizes[others])]
-        if len(others):
-            yield a, others
-
-
-def _links_between(cell: pa.Table, width: int) -> tuple[list[int], list[int]]:
-    """Links of a cell's candidates, decided on whole sets; none between what earlier ones connect."""
-    flat, counts = shingle_sets(cell.column("text").combine_chunks(), width)
-    known, places = np.unique(flat, return_inverse=True)
-    ends = np.cumsum(counts)
-    names, group = cell.column("doc_id").to_numpy(), cell.column("component").to_numpy().copy()
-    one, two = [], []
-    for a, others in _candidates(cell):
-        others = others[group[others] != group[a]]
-        if not len(others):
-            continue
-        own = np.zeros(len(known), bool)
-        own[places[ends[a] - counts[a] : ends[a]]] = True
-        both = np.array([np.count_nonzero(own[places[ends[b] - counts[b] : ends[b]]]) for b in others.tolist()])
-        linked = DENOMINATOR * both >= NUMERATOR * (counts[a] + counts[others] - both)
-        for b in others[linked].tolist():
-            if group[a] != group[b]:
-                group[group == group[b]] = group[a]
-                one.append(min(names[a], names[b]))
-                two.append(max(names[a], names[b]))
-    return one, two
-
-
-def _all_apart(placed: DataFrame, heads: DataFrame, texts: DataFrame, width: int, chunk: int) -> DataFrame:
-    """Links (a, b) between members of a bucket that no centre has connected.
-
-    A first pass over the cells reads registers only; texts move just for the
-    members that have a candidate in their cell.
+def _across(prefixes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a prefix and whose sizes and places allow the threshold.
+
+    At each key the sets outside the component that holds most of it meet the
+    others, so that a large component is not paired with itself.
     """
-    cell = ["band", "low", "high"]
-    kind = "band bigint, low int, high int, own int, doc_id bigint, component bigint, registers binary, n_shingles bigint"
-    columns = [c.split()[0] for c in kind.split(", ")]
-    full = heads.select("doc_id", "registers", "n_shingles")
-
-    def promising(rows: pa.Table) -> pa.Table:
-        found = np.zeros(rows.num_rows, bool)
-        for a, others in _candidates(rows):
-            found[a] = True
-            found[others] = True
-        return rows.filter(pa.array(found)).select(columns)
-
-    def linked(rows: pa.Table) -> pa.Table:
-        one, two = _links_between(rows, width)
-        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
-
-    met = _remaining(placed, heads, chunk).join(full, "doc_id").select(*columns)
-    some = materialize(met.groupBy(*cell).applyInArrow(promising, kind), "candidates")
-    needed = texts.join(some.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    whole = some.join(needed, "doc_id").select(*columns, "text")
-    return whole.groupBy(*cell).applyInArrow(linked, "a bigint, b bigint").distinct()
-
-
-def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, chunk: int = CHUNK) -> DataFrame:
+    key = ["shingle", "small", "large"]
+    sizes = prefixes.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("n"))
+    facts = sizes.groupBy(*key).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("components"))
+    facts = materialize(facts.where("components > 1").drop("components"), "keys")
+    known = materialize(prefixes.join(facts, key), "meeting")
+    left = known.where("component <> main").drop("main").alias("x")
+    right = known.drop("main").alias("y")
+    overlap = least_overlap(F.col("x.n_shingles"), F.col("y.n_shingles"))
+    left_over = F.least(F.col("x.n_shingles") - F.col("x.place"), F.col("y.n_shingles") - F.col("y.place"))
+    met = left.join(right, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key] + [
+        F.col("x.component") != F.col("y.component"),
+        left_over >= overlap,
+        F.least("x.n_shingles", "y.n_shingles") >= overlap,
+    ])
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
     Words ignore the case of A-Z. A null or wordless text has no shingles and is
     its own component; so is a row without doc_id (component_id null, kept true).
-    Rows with equal doc_id are one document and must have equal texts.
+    Rows with equal doc_id are judged by their own text: copies get the same
+    component, different texts are not connected by their doc_id. Other columns
+    are dropped.
     """
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = materialize(sketch_documents(own, width), "sketches")
     digest = ["d1", "d2", "n_shingles"]
     full = known.where("n_shingles > 0 and doc_id is not null")
-    classes = materialize(full.groupBy(digest).agg(F.min("doc_id").alias("doc_id")), "classes")
-    heads = full.join(classes, [*digest, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-
-    banded = heads.select("doc_id", F.explode("bands").alias("band"))
-    ends = banded.groupBy("band").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    members = materialize(
-        banded.join(ends.where("first < last"), "band").select(
-            "band", "doc_id", "first", "last"
-        ),
-        "buckets",
+    # The class's smallest row stands for it; stored, so that the number of a node stays its own.
+    first = full.groupBy(*digest).agg(F.min(F.struct("doc_id", "content")).alias("head"))
+    classes = materialize(
+        first.select(*digest, "head.doc_id", "head.content", F.monotonically_increasing_id().alias("node")), "classes"
     )
-    pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    tested = fresh = materialize(pairs.distinct(), "pairs")
-    links = parts = placed = None
-    while True:
-        added = materialize(_verified(materialize(_near(fresh, full), "near"), own, width).distinct(), "links")
-        if added.isEmpty() and links is not None:
-            break
-        if not added.isEmpty():
-            links = added if links is None else links.unionByName(added)
-            parts = components(links)
-            placed = None
-        if placed is None:
-            placed = _placed(members, parts)
-        fresh = materialize(_apart(placed, tested), "pairs")
-        if fresh.isEmpty():
-            break
-        tested = tested.unionByName(fresh)
-    added = materialize(_all_apart(placed, heads, own, width, chunk), "links")
-    if not added.isEmpty():
-        parts = components(added if links is None else links.unionByName(added))
-
-    grouped = classes.withColumnRenamed("doc_id", "head")
-    if parts is not None:
-        named = parts.select(F.col("id").alias("head"), "component")
-        grouped = grouped.join(named, "head", "left").withColumn("component", F.coalesce("component", "head"))
-    else:
-        grouped = grouped.withColumn("component", F.col("head"))
-    answer = known.select("doc_id", *digest).join(grouped.drop("head"), digest, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    heads = full.join(classes, [*digest, "doc_id", "content"]).dropDuplicates(["node"])
+    heads = materialize(heads.select("node", "doc_id", "content", "n_shingles", "registers", "bands"), "heads")
+
+    banded = heads.select("node", "n_shingles", F.explode("bands").alias("band"))
+    ends = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
+    members = materialize(_by_band(banded, materialize(ends, "ends")), "buckets")
+    pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = _linked(pairs, heads, own, width)
+    parts = components(links)
+    apart = _open_buckets(members, parts)
+    pairs = apart.where("component <> last_component").select(F.col("node").alias("a"), F.col("last").alias("b"))
+    links = links.unionByName(_linked(pairs, heads, own, width))
+    parts = components(links)
+    apart = _open_buckets(apart, parts)
+    if not apart.isEmpty():
+        pairs = _across(_prefixes(apart, heads, own, width))
+        parts = components(links.unionByName(_linked(pairs, heads, own, width)))
+
+    grouped = classes.select(*digest, "doc_id", "node").join(parts.withColumnRenamed("id", "node"), "node", "left")
+    grouped = materialize(grouped.withColumn("component", F.coalesce("component", "node")), "grouped")
+    least = materialize(grouped.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    named = grouped.join(least, "component").select(*digest, "component_id")
+    answer = known.select("doc_id", *digest).join(materialize(named, "named"), digest, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return answer.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),

@@ -4,7 +4,6 @@ import random
 import re
 
 import numpy as np
-import pytest
 
 from quillsieve.llm import minhash, queries
 
@@ -66,8 +65,7 @@ def test_edges(spark):
     assert got == [(-1, 1, -1, True)] * 2 + [(4, 1, 4, True)] * 2
 
 
-@pytest.mark.parametrize("chunk", [16, 256])
-def test_links_within_a_family_below_the_threshold(spark, chunk):
+def test_links_within_a_family_below_the_threshold(spark):
     """Templated texts at similarity 0.72 share most buckets; only few pairs of them, at 0.77, are linked."""
     r = random.Random(11)
     ids = r.sample(range(10_000), 240)
@@ -78,7 +76,51 @@ def test_links_within_a_family_below_the_threshold(spark, chunk):
     want = brute(rows, 1)
     assert sum(not kept for _, _, kept in want.values()) == 30
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    assert answer(minhash.near_duplicates(df, width=1, chunk=chunk)) == want
+    assert answer(minhash.near_duplicates(df, width=1)) == want
+
+
+def test_families_and_outsiders(spark):
+    """A large component, outsiders near it, and families at 0.68 to 0.8 whose members keep varying parts of a template."""
+    r = random.Random(23)
+    base = [f"b{k}" for k in range(120)]
+    rows, d = [], 0
+    for _ in range(120):
+        words = list(base)
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+        d += 1
+    for keep in (80, 86, 90, 93, 96):
+        for _ in range(25):
+            words = sorted(r.sample(range(120), keep))
+            rows.append((d, " ".join([base[k] for k in words] + [f"y{d}-{k}" for k in range(r.randint(2, 120 - keep))])))
+            d += 1
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = brute(rows, 1)
+    assert 1 < sum(kept for _, _, kept in want.values()) < len(rows)
+    assert answer(minhash.near_duplicates(df, width=1)) == want
+
+
+def test_pairs_of_a_family_grow_with_it(spark, monkeypatch):
+    """Templated texts below the threshold: the rows that meet in a prefix are few, at any size of the family."""
+    made = []
+    plain = minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda prefixes: made.append((prefixes.count(), plain(prefixes).count())) or plain(prefixes))
+    for count in (150, 600):
+        rows = [(d, " ".join([f"t{k}" for k in range(84)] + [f"{d}-{k}" for k in range(16)])) for d in range(count)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        assert minhash.near_duplicates(df, width=1).where("kept").count() == count
+    assert made == [(0, 0), (0, 0)]
+
+
+def test_one_id_with_several_texts(spark):
+    """Texts that share nothing aren't joined through a doc_id; copies under one id stay together."""
+    one, two = (" ".join(f"{c}{n}" for n in range(40)) for c in "pq")
+    rows = [(7, one), (8, two), (5, one), (5, two), (5, two), (9, "long " * 300_000), (10, "LONG " * 300_001), (11, "")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id bigint, text string, node int, component string").repartition(3)
+    got = sorted(tuple(r) for r in minhash.near_duplicates(df).collect())
+    assert got == [(5, 36, 5, True)] * 3 + [(7, 36, 5, False), (8, 36, 5, False), (9, 1, 9, True), (10, 1, 9, False), (11, 0, 11, True)]
 
 
 def test_registers_merge_and_estimate():
