@@ -149,21 +149,21 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS)
     return model
 
 
-def score(docs: DataFrame, model: Model | float) -> DataFrame:
-    """``docs`` with ``score``, 0 to 1: the chance that the whole text is of good quality.
+def score(docs: DataFrame, model: Model | float, out: str = "score") -> DataFrame:
+    """``docs`` with the column ``out``, 0 to 1: the chance that the whole text is of good quality.
 
-    A null or empty text scores 0 under a model. A column ``score`` of the input is replaced.
+    A null or empty text scores 0 under a model. A column of that name in the input is replaced.
     """
-    kept = [c for c in docs.columns if c != "score"]
+    kept = [c for c in docs.columns if c != out]
     rows = docs.select(*kept)
     if not isinstance(model, Model):
-        return rows.withColumn("score", F.lit(float(model)))
+        return rows.withColumn(out, F.lit(float(model)))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors()
         for part in arrow.slices(batches, "text"):
             texts = part.column("text").to_pylist()
             values = np.where([bool(t) for t in texts], model.score(features(texts, compressors)), 0.0)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values)], [*part.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values)], [*part.schema.names, out])
 
-    return rows.mapInArrow(rate, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+    return rows.mapInArrow(rate, StructType([*rows.schema.fields, StructField(out, DoubleType())]))

@@ -17,12 +17,13 @@ Hashes travel as packed arrays, 5 bytes and a compressed place for an anchor.
 Contents that are common within one slice of documents are settled there: their
 anchors become marks at once, and only two of them go on to meet other slices.
 Windows are reduced to the smallest document in the same way before they leave
-a task. Texts move by a hash of doc_id, never by content.
+a task. Texts move by a hash of doc_id and text, so rows without doc_id spread.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 from collections.abc import Iterator
 from math import gcd
 
@@ -44,32 +45,37 @@ BUCKET_BYTES = 16 << 20
 GROUP_BYTES = 4 << 20
 _HEAD = "<QQQ"
 _LAST = np.iinfo(np.int64).max
-_PRIME = 2**31 - 1
 
 
-def pack_places(hashes: np.ndarray, width: int, docs: np.ndarray, places: np.ndarray) -> bytes:
-    """Rows (hash, document, place) as bytes: ``width`` bytes of each hash, the rest compressed.
+def pack_places(hashes: np.ndarray, width: int, docs: np.ndarray, marks: np.ndarray, places: np.ndarray) -> bytes:
+    """Rows (hash, document, row mark, place) as bytes: ``width`` bytes of each hash, the rest compressed.
 
     ``hashes`` is an array of bytes, one row for each item.
     """
-    own, index = np.unique(docs, return_inverse=True)
+    order = np.lexsort((marks, docs))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (np.diff(docs[order]) != 0) | (np.diff(marks[order]) != 0)
+    index = np.empty(len(order), np.int64)
+    index[order] = np.cumsum(fresh) - 1
+    own = np.concatenate([docs[order[fresh]], marks[order[fresh]]])
     rest = np.concatenate([np.diff(index, prepend=0).astype("<i4"), places.astype("<u4").view("<i4")])
     packed = zstandard.ZstdCompressor(level=1).compress(own.astype("<i8").tobytes() + rest.tobytes())
-    return struct.pack(_HEAD, len(docs), len(own), width) + hashes.tobytes() + packed
+    return struct.pack(_HEAD, len(docs), int(fresh.sum()), width) + hashes.tobytes() + packed
 
 
-def unpack_places(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The rows of pack_places: hashes as rows of bytes, documents, places."""
+def unpack_places(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of pack_places: hashes as rows of bytes, documents, row marks, places."""
     count, own, width = struct.unpack_from(_HEAD, blob)
     at = struct.calcsize(_HEAD)
     hashes = np.frombuffer(blob, np.uint8, count * width, at).reshape(count, width)
     rest = zstandard.ZstdDecompressor().decompress(blob[at + count * width :])
-    docs = np.frombuffer(rest, "<i8", own)
-    steps = np.frombuffer(rest, "<i4", 2 * count, 8 * own)
-    return hashes, docs[np.cumsum(steps[:count])], steps[count:].view("<u4").astype(np.int64)
+    docs, marks = np.frombuffer(rest, "<i8", 2 * own).reshape(2, own)
+    steps = np.frombuffer(rest, "<i4", 2 * count, 16 * own)
+    index = np.cumsum(steps[:count])
+    return hashes, docs[index], marks[index], steps[count:].view("<u4").astype(np.int64)
 
 
-def _all_places(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _all_places(table: pa.Table, column: str) -> tuple[np.ndarray, ...]:
     parts = [unpack_places(x.as_py()) for x in table.column(column)]
     return tuple(np.concatenate(x) for x in zip(*parts))
 
@@ -86,17 +92,9 @@ def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return pc.fill_null(column.cast(pa.int64()), _LAST).to_numpy(zero_copy_only=False)
 
 
-def _group_of(ids: np.ndarray, groups: int) -> np.ndarray:
-    """The group of a document, as _group."""
-    low, high = ids & 0xFFFF, (ids >> 16) & 0xFFFFFFFF
-    return ((low * 40503 + high % _PRIME * 30103) % _PRIME) % groups
-
-
-def _group(groups: int) -> Column:
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
-    low = key.bitwiseAND(F.lit(0xFFFF))
-    high = F.shiftright(key, 16).bitwiseAND(F.lit(0xFFFFFFFF))
-    return ((low * 40503 + high % _PRIME * 30103) % _PRIME) % groups
+def _row_mark() -> Column:
+    """Tells rows with one doc_id, or none, apart by their text."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))
 
 
 def _groups_of(keys: np.ndarray, ids: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +121,7 @@ def _anchors(docs: DataFrame, buckets: int, groups: int, window: int, block: int
             if not len(at):
                 continue
             hashes = rolling(words.hashes(), block)[at]
-            ids = np.repeat(_ids(part.column("doc_id")), words.sizes)[at]
+            ids, marks = (np.repeat(x, words.sizes)[at] for x in (_ids(part.column("doc_id")), part.column("mark").to_numpy()))
             roles, places = role[at], place[at]
             order, heads, shared = _groups_of(hashes, ids, roles)
             settled = order[np.repeat(shared, np.diff(heads, append=len(order)))]
@@ -133,17 +131,17 @@ def _anchors(docs: DataFrame, buckets: int, groups: int, window: int, block: int
             goes[ends], roles[ends] = True, 3  # the smallest and the largest document stand for the content
             none = np.zeros((len(ids), 0), np.uint8)
             local = [
-                (g % buckets, pack_places(none[settled[r]], 0, ids[settled[r]], places[settled[r]]))
-                for g, r in _by_key(_group_of(ids[settled], groups))
+                (g % buckets, pack_places(none[settled[r]], 0, ids[settled[r]], marks[settled[r]], places[settled[r]]))
+                for g, r in _by_key(marks[settled] % groups)
             ]
             yield arrow.batch(
                 schema, pa.array([b for b, _ in local], pa.int64()), pa.nulls(len(local), pa.binary()),
                 pa.array([x for _, x in local], pa.binary()),
             )
-            hashes, ids, roles, places = hashes[goes], ids[goes], roles[goes], places[goes]
+            hashes, ids, marks, roles, places = hashes[goes], ids[goes], marks[goes], roles[goes], places[goes]
             short = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:])
             made = [
-                (b, pack_places(short[own], 5, ids[own], places[own] * 4 + roles[own]))
+                (b, pack_places(short[own], 5, ids[own], marks[own], places[own] * 4 + roles[own]))
                 for b, own in _by_key(((hashes & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64))
             ]
             yield arrow.batch(
@@ -158,37 +156,47 @@ def _marks(anchors: DataFrame, groups: int) -> DataFrame:
     schema = pa.schema([("group", pa.int64()), ("marks", pa.binary())])
 
     def meet(table: pa.Table) -> pa.Table:
-        ids, places = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ids, marks, places = (np.zeros(0, np.int64) for _ in range(3))
         with_hashes = table.filter(pc.is_valid(table.column("anchors")))
         if with_hashes.num_rows:
-            short, ids, coded = _all_places(with_hashes, "anchors")
+            short, ids, marks, coded = _all_places(with_hashes, "anchors")
             wide = np.zeros((len(short), 8), np.uint8)
             wide[:, :5] = short
             order, heads, shared = _groups_of(wide.view("<u8").reshape(-1), ids, coded & 3)
             own = order[np.repeat(shared, np.diff(heads, append=len(order)))]
-            ids, places = ids[own], coded[own] >> 2
+            ids, marks, places = ids[own], marks[own], coded[own] >> 2
         settled = table.filter(pc.is_valid(table.column("marks")))
         if settled.num_rows:
-            _, more, at = _all_places(settled, "marks")
-            ids, places = np.concatenate([ids, more]), np.concatenate([places, at])
+            _, *more = _all_places(settled, "marks")
+            ids, marks, places = (np.concatenate(x) for x in zip((ids, marks, places), more))
         if not len(ids):
             return schema.empty_table()
         none = np.zeros((len(ids), 0), np.uint8)
-        made = [(g, pack_places(none[r], 0, ids[r], places[r])) for g, r in _by_key(_group_of(ids, groups))]
+        made = [(g, pack_places(none[r], 0, ids[r], marks[r], places[r])) for g, r in _by_key(marks % groups)]
         return pa.table([[g for g, _ in made], pa.array([x for _, x in made], pa.binary())], schema=schema)
 
     return anchors.groupBy("bucket").applyInArrow(meet, "group bigint, marks binary")
 
 
-def _words_of(table: pa.Table) -> tuple[Words, np.ndarray]:
-    texts = table.column("text").cast(pa.large_string()).combine_chunks()
-    return read_words(texts), _ids(table.column("doc_id"))
+def _words_of(table: pa.Table, doc_id: str, mark: str, text: str = "text") -> tuple[Words, np.ndarray, np.ndarray]:
+    texts = table.column(text).cast(pa.large_string()).combine_chunks()
+    return read_words(texts), _ids(table.column(doc_id)), table.column(mark).to_numpy()
 
 
-def _locate(words: Words, ids: np.ndarray, marked: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
-    """Word numbers of (document, place) pairs, in every row of the document with ``width`` words from there."""
-    order = np.argsort(ids, kind="stable")
-    low, high = (np.searchsorted(ids[order], marked, side) for side in ("left", "right"))
+def _locate(
+    words: Words, rows: tuple[np.ndarray, np.ndarray], found: tuple[np.ndarray, np.ndarray], places: np.ndarray, width: int
+) -> np.ndarray:
+    """Word numbers of ((document, row mark), place), in every such row with ``width`` words from there."""
+    count = len(rows[0])
+    both = [np.concatenate(x) for x in zip(rows, found)]
+    order = np.lexsort(both[::-1])
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (np.diff(both[0][order]) != 0) | (np.diff(both[1][order]) != 0)
+    name = np.empty(len(order), np.int64)
+    name[order] = np.cumsum(fresh)
+    own, asked = name[:count], name[count:]
+    order = np.argsort(own, kind="stable")
+    low, high = (np.searchsorted(own[order], asked, side) for side in ("left", "right"))
     times = high - low
     row = order[np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
     place = np.repeat(places, times)
@@ -204,9 +212,9 @@ def _windows(docs: DataFrame, marks: DataFrame, buckets: int, window: int, block
         none = schema.empty_table()
         if not left.num_rows or not right.num_rows:
             return none
-        words, ids = _words_of(left)
-        _, marked, places = _all_places(right, "marks")
-        at = _locate(words, ids, marked, places, block)
+        words, ids, row_marks = _words_of(left, "doc_id", "mark")
+        _, *found, places = _all_places(right, "marks")
+        at = _locate(words, (ids, row_marks), tuple(found), places, block)
         count = len(words.starts)
         cover = np.zeros(count + 1, np.int64)
         np.add.at(cover, np.maximum(at + block - window, 0), 1)
@@ -221,18 +229,18 @@ def _windows(docs: DataFrame, marks: DataFrame, buckets: int, window: int, block
         keys[:, :8] = head.astype("<u8").view(np.uint8).reshape(-1, 8)
         tail = rolling(words.hashes(1), window, 1)[begin]
         keys[:, 8:] = tail.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]
-        owner = np.repeat(ids, words.sizes)[begin]
+        owner, mark = (np.repeat(x, words.sizes)[begin] for x in (ids, row_marks))
         order, heads = _sorted_keys(keys, owner)
         smallest = np.empty(len(order), bool)
         smallest[order] = owner[order] == np.repeat(owner[order][heads], np.diff(heads, append=len(order)))
         out = [
-            (0, b, pack_places(keys[r], 12, owner[r], place[begin[r]]))
+            (0, b, pack_places(keys[r], 12, owner[r], mark[r], place[begin[r]]))
             for b, r in _by_key_of(np.flatnonzero(smallest), (head % np.uint64(buckets)).astype(np.int64))
         ]
         again = np.flatnonzero(~smallest)
         if len(again):
             group = left.column("group")[0].as_py()
-            out.append((1, group, pack_places(keys[again, :0], 0, owner[again], place[begin[again]])))
+            out.append((1, group, pack_places(keys[again, :0], 0, owner[again], mark[again], place[begin[again]])))
         return pa.table(
             [pa.array([x[0] for x in out], pa.int32()), [x[1] for x in out], pa.array([x[2] for x in out], pa.binary())],
             schema=schema,
@@ -262,13 +270,13 @@ def _repeats(windows: DataFrame, groups: int) -> DataFrame:
     schema = pa.schema([("group", pa.int64()), ("rows", pa.binary())])
 
     def compare(table: pa.Table) -> pa.Table:
-        keys, owner, places = _all_places(table, "rows")
+        keys, owner, mark, places = _all_places(table, "rows")
         order, heads = _sorted_keys(keys, owner)
         least = np.repeat(owner[order][heads], np.diff(heads, append=len(order)))
         again = order[owner[order] > least]
         made = [
-            (g, pack_places(keys[again[r], :0], 0, owner[again[r]], places[again[r]]))
-            for g, r in _by_key(_group_of(owner[again], groups))
+            (g, pack_places(keys[again[r], :0], 0, owner[again[r]], mark[again[r]], places[again[r]]))
+            for g, r in _by_key(mark[again] % groups)
         ]
         return pa.table([[g for g, _ in made], pa.array([x for _, x in made], pa.binary())], schema=schema)
 
@@ -283,15 +291,17 @@ def remove_repeats(
     step: int = STEP,
     bucket_bytes: int = BUCKET_BYTES,
     group_bytes: int = GROUP_BYTES,
+    names: tuple[str, str, str] = ("n_words", "n_removed", "kept_text"),
 ) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with n_words, n_removed and kept_text.
+    """``docs`` (doc_id, text and any others) with n_words, n_removed and kept_text (see ``names``).
 
     A word goes if a window of ``window`` words that covers it also starts in a
     document with a smaller doc_id. kept_text is the other words, joined by one
-    space; it is empty for a null text. Columns of these names in the input are
-    replaced. A null doc_id counts as larger than any other. Rows with equal
-    doc_id are one document: they don't remove each other's words, and what goes
-    from one goes from all at the same place.
+    space; it is empty for a null text. Each row is judged by its own text: rows
+    with equal doc_id do not remove each other's words, and neither do rows
+    without one, which count as larger than all others. Rows that are equal in
+    both lose the same words. Columns with the names of the results are
+    replaced; all others stay, whatever their names.
     """
     if gcd(block, step) > 1 or block * step + block - 1 > window:
         raise ValueError("block and step miss repeats of this window")
@@ -299,26 +309,29 @@ def remove_repeats(
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets, groups = max(least, -(-size // bucket_bytes)), max(least, -(-size // group_bytes))
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", _row_mark().alias("mark"))
 
     marks = materialize(_marks(_anchors(narrow, buckets, groups, window, block, step), groups), "marks")
-    grouped = narrow.withColumn("group", _group(groups))
+    grouped = narrow.withColumn("group", F.pmod("mark", F.lit(groups)))
     windows = materialize(_windows(grouped, marks, buckets, window, block), "windows")
     apart = _repeats(windows.where("kind = 0").select("key", "rows"), groups)
     near = windows.where("kind = 1").select(F.col("key").alias("group"), "rows")
     repeats = materialize(apart.unionByName(near), "repeats")
 
-    own = ("n_words", "n_removed", "kept_text", "group")
-    whole = docs.select(*[c for c in docs.columns if c not in own]).withColumn("group", _group(groups))
-    out = whole.drop("group").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    columns = whole.drop("group").columns
+    columns = [c for c in docs.columns if c not in names]
+    # Names that no input has.
+    mark, group = (f"{c}_{uuid.uuid4().hex}" for c in ("mark", "group"))
+    whole = docs.select(*columns, _row_mark().alias(mark)).withColumn(group, F.pmod(mark, F.lit(groups)))
+    out = whole.select(*columns).schema
+    for name, kind in zip(names, ("long", "long", "string")):
+        out = out.add(name, kind)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, ids = _words_of(left)
+        words, ids, row_marks = _words_of(left, "doc_id", mark)
         gone = np.zeros(len(words.starts) + 1, np.int64)
         if right.num_rows:
-            _, marked, places = _all_places(right, "rows")
-            at = _locate(words, ids, marked, places, window)
+            _, *found, places = _all_places(right, "rows")
+            at = _locate(words, (ids, row_marks), tuple(found), places, window)
             np.add.at(gone, at, 1)
             np.add.at(gone, at + window, -1)
         stays = np.cumsum(gone)[:-1] == 0
@@ -338,9 +351,9 @@ def remove_repeats(
             removed[some] = np.add.reduceat((~stays).astype(np.int64), first[some])
         rest = left.select(columns)
         return (
-            rest.append_column("n_words", pa.array(words.sizes, pa.int64()))
-            .append_column("n_removed", pa.array(removed, pa.int64()))
-            .append_column("kept_text", pa.array(kept, pa.string()))
+            rest.append_column(names[0], pa.array(words.sizes, pa.int64()))
+            .append_column(names[1], pa.array(removed, pa.int64()))
+            .append_column(names[2], pa.array(kept, pa.string()))
         )
 
-    return whole.groupBy("group").cogroup(repeats.groupBy("group")).applyInArrow(cut, out)
+    return whole.groupBy(group).cogroup(repeats.groupBy("group")).applyInArrow(cut, out)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from quillsieve.llm import quality, queries
@@ -109,3 +110,14 @@ def test_stages_decide_by_row(spark, sf_dir):
     assert (5, clean + " more") in left and (0, clean) not in left and (6, "short") in left
     copies = spark.createDataFrame([(None, clean)] * 3 + [(None, None)] * 2, "doc_id bigint, text string")
     assert sorted(str(r.text) for r in pipeline.drop_near_duplicates(spark, copies, sf_dir).collect()) == ["None", "None", clean]
+
+
+def test_clashing_columns_come_through(spark, sf_dir):
+    """Extra columns with names the stages use themselves keep their values."""
+    names = ["group", "score", "row_key", "mark", "n_words", "n_removed", "kept_text", "component_id", "node", "label"]
+    docs = queries.table(spark, sf_dir, "documents").select("*", *(F.lit(n).alias(c) for n, c in enumerate(names)))
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+        assert docs.columns == COLUMNS + names
+    assert [tuple(r) for r in docs.select(*names).distinct().collect()] == [tuple(range(len(names)))]
+    assert pipeline.pack_windows(spark, docs, sf_dir).count() > 0
