@@ -8,6 +8,7 @@ Parquet, so a lost executor repeats one stage at most.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,21 +21,27 @@ from quillsieve.runtime import materialize
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number of each row in ``row_key``; stored, so that it stays the row's own."""
-    return materialize(docs.withColumn("row_key", F.monotonically_increasing_id()), "numbered")
+def _fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"{name}_{uuid.uuid4().hex}"
 
 
-def _texts(numbered: DataFrame) -> DataFrame:
+def _numbered(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a number of each row in ``key``; stored, so that it stays the row's own."""
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+
+
+def _texts(numbered: DataFrame, key: str) -> DataFrame:
     """The rows' texts, with the row number as doc_id."""
-    return numbered.select(F.col("row_key").alias("doc_id"), "text")
+    return numbered.select(F.col(key).alias("doc_id"), "text")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject (score of at least 0.3); empty texts are rejected."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.learn(docs, labels)
-    return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    score = _fresh("score")
+    return quality.score(docs, model, out=score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,37 +50,39 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are told apart by their place, so rows with equal or no doc_id count one by one;
     one without comes after those with one.
     """
-    numbered = _numbered(docs)
-    groups = minhash.near_duplicates(_texts(numbered)).select(F.col("doc_id").alias("row_key"), "component_id")
-    placed = numbered.select("row_key", "doc_id").join(groups, "row_key")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    kept = placed.groupBy("component_id").agg(F.min_by("row_key", order).alias("row_key"))
-    return numbered.join(kept.select("row_key"), "row_key", "left_semi").select(*docs.columns)
+    key = _fresh("row")
+    numbered = _numbered(docs, key)
+    groups = minhash.near_duplicates(_texts(numbered, key)).select(F.col("doc_id").alias(key), "component_id")
+    placed = numbered.select(key, "doc_id").join(groups, key)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    kept = placed.groupBy("component_id").agg(F.min_by(key, order).alias(key))
+    return numbered.join(kept.select(key), key, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that repeat an earlier document are cut; other texts stay as they are.
+    """Passages of 50 words or more that repeat a document with a smaller doc_id are cut; other texts stay as they are.
 
     A text that loses words becomes its remaining words, joined by one space; if
     all go, it becomes empty. n_chars follows the text.
     """
-    cut = substring.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = cut.withColumn("text", text)
+    words, removed, kept = map(_fresh, ("words", "removed", "kept"))
+    cut = substring.remove_repeats(docs, names=(words, removed, kept))
+    changed = cut.withColumn("text", F.when(F.col(removed) > 0, F.col(kept)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.length("text").cast(kind)
-        changed = changed.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
+        changed = changed.withColumn("n_chars", F.when(F.col(removed) > 0, length).otherwise(F.col("n_chars")))
     return changed.select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without an overlap with a benchmark item, whatever their doc_id."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    numbered = _numbered(docs)
-    found = decontam.contamination(_texts(numbered), benchmark)
-    hits = materialize(found.select(F.col("doc_id").alias("row_key")).distinct(), "hits")
-    return numbered.join(hits, "row_key", "left_anti").select(*docs.columns)
+    key = _fresh("row")
+    numbered = _numbered(docs, key)
+    found = decontam.contamination(_texts(numbered, key), benchmark)
+    hits = materialize(found.select(F.col("doc_id").alias(key)).distinct(), "hits")
+    return numbered.join(hits, key, "left_anti").select(*docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
