@@ -14,15 +14,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quillsieve.functions.matching import has_phrase  # noqa: E402
 from quillsieve.functions.patterns import Term, TermList  # noqa: E402
-from quillsieve.functions.reporting import shard_label  # noqa: E402
+from quillsieve.functions.reporting import shard_label, shard_number  # noqa: E402
 from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplate  # noqa: E402
 from quillsieve.operators import audit, dialogues, filters, packing, selection, stats, termindex  # noqa: E402
 from quillsieve.plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live  # noqa: E402
-from quillsieve.plans.build import build_corpus  # noqa: E402
+from quillsieve.plans.build import Source, append_corpus, build_corpus, resumable_corpus  # noqa: E402
 from quillsieve.plans.dialogues import accepted, request_table, screen_replies  # noqa: E402
 from quillsieve.plans.report import report_json  # noqa: E402
 from quillsieve.runtime import materialize, run_dir, spread  # noqa: E402
 from quillsieve.sources import documents as raw, ledger, manifest, shards  # noqa: E402
+from quillsieve.sources.stagestore import StageStore  # noqa: E402
 from quillsieve.streaming import audit_stream, frames  # noqa: E402
 
 # Neutral stand-ins for a caller's term and phrase lists.
@@ -499,6 +500,50 @@ def corpus_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.select("shard", "doc_id", "copy", "is_pad", "text")
 
 
+def corpus_build_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build that fails at its third source, and its second run, which must not read the first two again."""
+    store = StageStore(spark, run_dir(spark, "build"))
+    items = table(spark, sf_dir, "benchmark")
+    books = items.select(F.col("item_id").alias("book_id"), wrapped(F.col("text"), F.col("item_id")).alias("raw"))
+    read: list[str] = []
+
+    def corpus(fails_at: str | None) -> DataFrame:
+        def source(name: str, rows: DataFrame) -> Source:
+            def load() -> DataFrame:
+                if name == fails_at:
+                    raise ConnectionError(name)
+                if name in read:
+                    raise RuntimeError(f"{name} is read twice")
+                read.append(name)
+                return rows
+
+            return Source(name, sf_dir, load)
+
+        rows = educational(spark, sf_dir)
+        parts = [source(f"part{n}", rows.where(F.col("ord").between(5 * n, 5 * n + 4))) for n in range(4)]
+        shelves = [source(f"shelf{n}", books.where(F.col("book_id") % 2 == n)) for n in range(2)]
+        return resumable_corpus(
+            store, parts, shelves, target_tokens=TOKEN_BUDGET, subsets=SUBSETS, shard_chars=SHARD_TARGET, group_rows=GROUP_ROWS
+        )
+
+    try:
+        corpus("part2")
+    except ConnectionError:
+        pass
+    return corpus(None).select("shard", "doc_id", "copy", "is_pad", "text")
+
+
+def corpus_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents packed first, all others behind them in a second run, which is repeated."""
+    root = run_dir(spark, "appended")
+    docs = table(spark, sf_dir, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for batch, rows in (("first", docs.where(english)), ("second", docs.where(~english)), ("second", docs.where(~english))):
+        append_corpus(spark, root, rows, batch, shard_chars=SHARD_TARGET, group_rows=GROUP_ROWS)
+    rows = manifest.scan(spark, root, "text string, is_pad boolean")
+    return rows.select(shard_number(F.col("_metadata.file_path")).alias("shard"), "text", "is_pad")
+
+
 # --- statistics ---------------------------------------------------------------
 
 
@@ -644,7 +689,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         layered_gate, term_table, audit_summary, dirty_shards, audit_log, audit_repack,
         dirty_rewrite, manifest_live, stream_audit, source_union, epoch_mixture, token_budget, subset_totals,
         mixture_budget, tokenizer_extract, seeded_shuffle, shard_pack, pad_shards,
-        train_val_split, sample_preview, corpus_build, shard_stats, corpus_totals,
+        train_val_split, sample_preview, corpus_build, corpus_build_resumed, corpus_append, shard_stats, corpus_totals,
         token_estimate, length_histogram, dialogue_valid, dialogue_blocklist, dialogue_text,
         dialogue_extract, dialogue_status, dialogue_funnel, topic_grid, grid_resume,
         sse_reassemble, sse_stream, accepted_target,
@@ -730,12 +775,12 @@ THREE_FILES = """
   UNION ALL SELECT 'benchmark.parquet', text FROM benchmark"""
 
 
-def pack_ctes(rows: str) -> str:
-    """Greedy packing of ``rows`` (doc_id, text): one recursion step per shard."""
+def pack_ctes(rows: str, key: str = "md5('42:' || doc_id)") -> str:
+    """Greedy packing of ``rows`` (doc_id, text, what ``key`` needs) in the order of ``key``: one recursion step per shard."""
     return f"""
   packing_rows AS ({rows}),
-  c AS (SELECT doc_id, text, md5('42:' || doc_id) AS k, length(text) AS n,
-               sum(length(text)) OVER (ORDER BY md5('42:' || doc_id)) AS cum FROM packing_rows),
+  c AS (SELECT doc_id, text, {key} AS k, length(text) AS n,
+               sum(length(text)) OVER (ORDER BY {key}) AS cum FROM packing_rows),
   b(s, base) AS (
     SELECT CAST(0 AS BIGINT), CAST(0 AS HUGEINT)
     UNION ALL
@@ -803,6 +848,18 @@ def budget_sql(group: str, budget: str) -> str:
           WHERE before < {budget})"""
 
 
+CORPUS_SQL = f"""WITH RECURSIVE
+            edu AS (SELECT *, sum(tokens) OVER (ORDER BY ord, doc_id) - tokens AS before FROM (
+              SELECT doc_id, {NUMBER_SQL} AS ord, text, {TOKENS_SQL} AS tokens FROM documents
+              WHERE {AUDIENCE_SQL} AND length({strip_sql('text')}) >= 50)),
+            cleaned AS (SELECT item_id, {unwrapped_sql(wrapped_sql('text', 'item_id'))} AS text FROM benchmark),
+            books AS (SELECT *, sum({TOKENS_SQL}) OVER (ORDER BY item_id) - {TOKENS_SQL} AS before FROM cleaned
+              WHERE length({strip_sql('text')}) > 200),
+            {pack_ctes('''SELECT 'e:' || ord || ':' || doc_id AS doc_id, text FROM edu WHERE before < 210000
+              UNION ALL SELECT 'b:' || item_id, text FROM books WHERE before < 90000''')}, {pad_ctes('packed')}
+            SELECT shard, doc_id, copy, is_pad, text FROM padded"""
+
+
 def library_sql() -> dict[str, str]:
     valid = """SELECT conv_id, count(*) AS messages,
         count(*) >= 4 AND bool_and(role IN ('user', 'assistant') AND text IS NOT NULL)
@@ -931,16 +988,10 @@ def library_sql() -> dict[str, str]:
         "sample_preview": """SELECT doc_id, CAST(length(text) AS INTEGER) AS chars,
               replace(left(text, 300), chr(10), ' ') || '...' AS preview
             FROM documents ORDER BY md5('123:' || doc_id) LIMIT 5""",
-        "corpus_build": f"""WITH RECURSIVE
-            edu AS (SELECT *, sum(tokens) OVER (ORDER BY ord, doc_id) - tokens AS before FROM (
-              SELECT doc_id, {NUMBER_SQL} AS ord, text, {TOKENS_SQL} AS tokens FROM documents
-              WHERE {AUDIENCE_SQL} AND length({strip_sql('text')}) >= 50)),
-            cleaned AS (SELECT item_id, {unwrapped_sql(wrapped_sql('text', 'item_id'))} AS text FROM benchmark),
-            books AS (SELECT *, sum({TOKENS_SQL}) OVER (ORDER BY item_id) - {TOKENS_SQL} AS before FROM cleaned
-              WHERE length({strip_sql('text')}) > 200),
-            {pack_ctes('''SELECT 'e:' || ord || ':' || doc_id AS doc_id, text FROM edu WHERE before < 210000
-              UNION ALL SELECT 'b:' || item_id, text FROM books WHERE before < 90000''')}, {pad_ctes('packed')}
-            SELECT shard, doc_id, copy, is_pad, text FROM padded""",
+        "corpus_build": CORPUS_SQL,
+        "corpus_build_resumed": CORPUS_SQL,
+        "corpus_append": f"""WITH RECURSIVE {pack_ctes("SELECT doc_id, text, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS run FROM documents", "run || md5('42:' || doc_id)")}, {pad_ctes('packed')}
+            SELECT shard, text, is_pad FROM padded""",
         "shard_stats": f"""SELECT name, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars
             FROM ({THREE_FILES}) GROUP BY name""",
         "corpus_totals": f"""SELECT count(*) AS total_docs, CAST(sum(length(text)) AS BIGINT) AS total_chars,

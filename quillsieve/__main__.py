@@ -7,22 +7,26 @@ driver. Run ``python -m quillsieve <job> -h`` for its options.
 from __future__ import annotations
 
 import argparse
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.patterns import DEFAULT_PHRASES, TermList
-from .functions.ordering import shuffle_key
+from .functions.ordering import SHUFFLE_SEED, shuffle_key
 from .functions.reporting import shard_number
-from .operators.packing import SHARD_CHARS, pad_shards, sample_previews
+from .functions.textnorm import long_enough
+from .operators.packing import ROW_GROUP_ROWS, SHARD_CHARS, pad_shards, sample_previews
 from .operators.stats import length_histogram
 from .plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live
-from .plans.build import TARGET_TOKENS, build_corpus
+from .plans.build import TARGET_TOKENS, Source, append_corpus, build_corpus, collect_sources, packed_corpus
 from .plans.dialogues import TARGET_DIALOGUES, accepted, request_table, screen_replies
 from .plans.report import report_json
-from .runtime import drop_stages, materialize
+from .runtime import drop_stages, materialize, rename_new
 from .sources.documents import append_dialogues, count_jsonl, read_books, scan_subsets
 from .sources import manifest
 from .sources.shards import all_valid, validate_shards, write_shards
+from .sources.stagestore import StageStore, fingerprint
 from .streaming.audit_stream import audit_new_shards, audited_counts
 
 PAD_HELP = "write an is_pad column, so that later jobs can drop the pad copies"
@@ -44,21 +48,63 @@ def pad_flag(args: argparse.Namespace) -> tuple[str, ...]:
     return ("is_pad",) if args.pad_flag else ()
 
 
+SUBSET_SCHEMA = "row_id bigint, text string, audience string, text_token_length bigint"
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with row ids; sources without any are numbered once and stored, so that every later pass sees the same numbers."""
+    if rows.where(F.col("row_id").isNull()).isEmpty():
+        return rows
+    if not rows.where(F.col("row_id").isNotNull()).isEmpty():
+        raise ValueError("some rows have a row_id and some have none")
+    return materialize(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
+
+
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = dict(pair.split("=", 1) for pair in args.subset)
-    schema = "row_id bigint, text string, audience string, text_token_length bigint"
-    rows, failed = scan_subsets(spark, paths, schema)
+    if args.state:
+        return build_by_stages(spark, args, paths)
+    rows, failed = scan_subsets(spark, paths, SUBSET_SCHEMA)
     for name, error in failed.items():
         print(f"skipped {name}: {error.splitlines()[0]}")
-    if not rows.where(F.col("row_id").isNull()).isEmpty():
-        # Sources without ids: rows are numbered once and stored, so that every later pass sees the same numbers.
-        if not rows.where(F.col("row_id").isNotNull()).isEmpty():
-            raise ValueError("some rows have a row_id and some have none")
-        rows = materialize(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
-    corpus = build_corpus(rows, read_books(spark, args.books), args.target_tokens, shard_chars=args.shard_chars)
+    corpus = build_corpus(numbered(rows), read_books(spark, args.books), args.target_tokens, shard_chars=args.shard_chars)
     write_shards(corpus, args.output, clustered=True, extra=pad_flag(args))
 
 
+def build_by_stages(spark: SparkSession, args: argparse.Namespace, paths: dict[str, str]) -> None:
+    """A build that keeps finished sources in ``--state`` and, run again, goes on where it stopped."""
+    store = StageStore(spark, args.state)
+
+    def source(name: str, path: str, position: int) -> Source:
+        def read() -> DataFrame:
+            rows, _ = scan_subsets(spark, {name: path}, SUBSET_SCHEMA)
+            return numbered(rows.withColumn("ord", F.lit(position)))
+
+        return Source(name, f"{position}:{fingerprint(spark, path)}", read)
+
+    parts = []
+    for position, (name, path) in enumerate(paths.items()):
+        try:
+            parts.append(source(name, path, position))
+        except AnalysisException as error:
+            print(f"skipped {name}: {str(error).splitlines()[0]}")
+    books = Source("books", fingerprint(spark, args.books, "pg*.txt"), lambda: read_books(spark, args.books))
+    selected = collect_sources(store, parts, [books], args.target_tokens)
+    corpus = packed_corpus(selected.rows, args.shard_chars, ROW_GROUP_ROWS, SHUFFLE_SEED)
+    staged = f"{args.output.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    write_shards(corpus, staged, clustered=True, extra=pad_flag(args))
+    if not rename_new(spark, staged, args.output):
+        raise FileExistsError(args.output)
+
+
+def append(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Packs documents (Parquet files with a text column) behind a shard folder, once for each batch name."""
+    rows = spark.read.schema("text string").parquet(args.input)
+    position = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    docs = rows.where(long_enough(F.col("text"))).select(F.md5(position).alias("doc_id"), "text")
+    print(f"version {append_corpus(spark, args.output, docs, args.batch, shard_chars=args.shard_chars)}")
+
+
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
     docs = live_rows(spark, args.input)
     phrases = DEFAULT_PHRASES if args.phrases else []
@@ -157,6 +203,9 @@ def arguments() -> argparse.ArgumentParser:
     sub.add_argument("--target-tokens", type=int, default=TARGET_TOKENS)
     sub.add_argument("--shard-chars", type=int, default=SHARD_CHARS)
     sub.add_argument("--pad-flag", action="store_true", help=PAD_HELP)
+    sub.add_argument("--state", help="folder of finished stages; a build that stopped goes on from there")
+    sub = job(append, "append", "input", "output", "batch")
+    sub.add_argument("--shard-chars", type=int, default=SHARD_CHARS)
     sub = job(audit, "audit", "input", "output", "terms")
     sub.add_argument("--pad-flag", action="store_true", help=PAD_HELP)
     sub.add_argument("--phrases", action="store_true", help="apply the second pass as well")

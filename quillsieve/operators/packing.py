@@ -78,13 +78,14 @@ class ShardPlan:
     lookup_rows: int
     digits: int
     seed: int
+    first_shard: int = 0
 
     def _place(self, keyed: DataFrame) -> DataFrame:
         here = F.size(F.filter("closing", lambda k: k < F.col("shuffle_key")))
         return (
             keyed.withColumn("bucket", key_bucket(F.col("shuffle_key"), self.digits))
             .join(broadcast_within(self.lookup, self.lookup_rows), "bucket")
-            .withColumn("shard", (F.col("closed") + here).cast("bigint"))
+            .withColumn("shard", (F.col("closed") + here + self.first_shard).cast("bigint"))
             .drop("bucket", "closing", "closed")
         )
 
@@ -108,14 +109,21 @@ def plan_shards(
     seed: int = SHUFFLE_SEED,
     bucket_rows: int = BUCKET_ROWS,
     chain_blocks: int = CHAIN_BLOCKS,
+    first_shard: int = 0,
+    carry: int = 0,
 ) -> ShardPlan:
     """Greedy packing of the seeded shuffle.
 
+    Numbers go on from ``first_shard``, in which ``carry`` characters, fewer than
+    ``target``, lie already.
+
     A shard closes with the document that brings it to ``target`` characters
     and the next one starts empty. Only keys and lengths are handled here;
     ``chars`` names a stored length column, so that no text is read at all.
     Null or repeated row ids are refused: their order would not be defined.
     """
+    if not 0 <= carry < target:
+        raise ValueError("the open shard holds fewer characters than its target")
     key = shuffle_key(F.col(row_id), seed)
     length = F.col(chars) if chars else F.length(text)
     lengths = materialize(
@@ -146,9 +154,9 @@ def plan_shards(
     # An empty document shares its "cum" with the one before and never closes a shard;
     # without them the totals are strictly increasing.
     filled = placed.where("chars > 0")
-    ends = shard_ends(filled.select("cum"), rows, total, target, bucket_rows, chain_blocks)
+    ends = shard_ends(filled.select("cum"), rows, total, target, bucket_rows, chain_blocks, target - carry)
     closing = (
-        filled.join(broadcast_within(ends, total // target + 1), "cum")
+        filled.join(broadcast_within(ends, (total + carry) // target + 1), "cum")
         .groupBy("bucket")
         .agg(F.array_sort(F.collect_list("key")).alias("closing"))
     )
@@ -164,9 +172,10 @@ def plan_shards(
     return ShardPlan(
         placed=placed,
         lookup=materialize(lookup, "closing"),
-        lookup_rows=buckets + total // target,
+        lookup_rows=buckets + (total + carry) // target,
         digits=digits,
         seed=seed,
+        first_shard=first_shard,
     )
 
 
@@ -182,10 +191,12 @@ def shard_ends(
     target: int,
     block_rows: int = BUCKET_ROWS,
     chain_blocks: int = CHAIN_BLOCKS,
+    first: int | None = None,
 ) -> DataFrame:
     """Running totals (distinct ``cum`` values) at which a shard closes.
 
-    The next end is the first total at or above "last end + target", a chain
+    The first end is the first total at or above ``first`` (``target`` unless
+    given, and never more). The next end is the first total at or above "last end + target", a chain
     with one link per shard. It is cut into blocks of the value range. Every
     block is mapped in parallel from each end it may be entered at to the
     threshold it leaves behind; the maps of ``chain_blocks`` neighbours are
@@ -197,7 +208,7 @@ def shard_ends(
     span = max(1, block_rows // rows_per_shard) * target
     n_blocks = total // span + 1
     blocked = cums.select(whole_div(F.col("cum"), span).alias("block"), "cum")
-    entered = spark.createDataFrame([(0, target)], "block bigint, threshold bigint")
+    entered = spark.createDataFrame([(0, target if first is None else first)], "block bigint, threshold bigint")
 
     def walk_thresholds(blocks: list, thresholds: np.ndarray) -> np.ndarray:
         for entries, exits in blocks:

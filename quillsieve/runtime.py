@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Size up to which a table is sent to every executor; wider rows count for more.
@@ -54,6 +55,22 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{_app_dirs[app]}/{label}-{uuid.uuid4().hex}"
 
 
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder in one step; False if ``target`` exists by now."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    context = hadoop.FileContext.getFileContext(old.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    # Without an option to overwrite, the rename fails if the target is there.
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(old, new, options)
+        return True
+    except Py4JJavaError:
+        if not filesystem_of(spark, target)[0].exists(new):
+            raise
+        return False
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Remove the stored intermediate tables early; results built on them must be written by now."""
     root = _app_dirs.pop(spark.sparkContext.applicationId, None)

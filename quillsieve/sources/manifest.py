@@ -1,6 +1,6 @@
 """Versioned list of a corpus folder's live shard files.
 
-Version n of a folder is the small table ``_manifest/<n>``: a row for every
+Version n of a folder is the small table ``_manifest/<n>/shards``: a row for every
 shard with its files (paths below the folder), rows and bytes. A shard that lost
 all its rows keeps a row without files, a tombstone. A change writes its files
 to a folder of its own below ``_versions``, which readers of the whole folder
@@ -18,15 +18,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.reporting import shard_number
-from ..runtime import filesystem_of, materialize
+from ..runtime import filesystem_of, materialize, rename_new
 
 FOLDER = "_manifest"
 DATA = "_versions"
 SCHEMA = "shard bigint, files array<string>, rows bigint, bytes bigint"
+BATCHES = "batch string, version bigint"
 # Tries of a change that others overtake.
 TRIES = 20
 
@@ -89,7 +89,10 @@ def shards_at(spark: SparkSession, root: str, version: int | None = None) -> Dat
     if version:
         if version not in known:
             raise ValueError(f"{root} has no version {version}")
-        return spark.read.schema(SCHEMA).parquet(f"{root}/{FOLDER}/{version:012d}")
+        return spark.read.schema(SCHEMA).parquet(f"{root}/{FOLDER}/{version:012d}/shards")
+    filesystem, path = filesystem_of(spark, root)
+    if not filesystem.exists(path):
+        return spark.createDataFrame([], SCHEMA)
     return _entries(spark, root, materialize(_listed(spark, root, root), "listed"))
 
 
@@ -114,23 +117,25 @@ def scan(spark: SparkSession, root: str, schema: str, version: int | None = None
     return reader.parquet(*files)
 
 
-def _publish(spark: SparkSession, root: str, entries: DataFrame, version: int) -> bool:
-    """Write a version's list and rename it into place; False if that version exists by now."""
+def _publish(spark: SparkSession, root: str, entries: DataFrame, version: int, batches: DataFrame) -> bool:
+    """Write a version's lists and rename them into place; False if that version exists by now."""
     staged = f"{root}/{FOLDER}/staged-{uuid.uuid4().hex}"
-    entries.coalesce(1).write.parquet(staged)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(staged), hadoop.Path(f"{root}/{FOLDER}/{version:012d}")
-    context = hadoop.FileContext.getFileContext(source.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    # Without an option to overwrite, the rename fails if the target is there.
-    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
-    try:
-        context.rename(source, target, options)
+    entries.coalesce(1).write.parquet(f"{staged}/shards")
+    batches.coalesce(1).write.parquet(f"{staged}/batches")
+    if rename_new(spark, staged, f"{root}/{FOLDER}/{version:012d}"):
         return True
-    except Py4JJavaError:
-        if version not in versions(spark, root):
-            raise
-        filesystem_of(spark, staged)[0].delete(source, True)
-        return False
+    filesystem, path = filesystem_of(spark, staged)
+    filesystem.delete(path, True)
+    return False
+
+
+def batches(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """batch, version: the named changes that a version (the newest by default) holds."""
+    known = versions(spark, root)
+    version = version if version is not None else (known or [0])[-1]
+    if not version:
+        return spark.createDataFrame([], BATCHES)
+    return spark.read.schema(BATCHES).parquet(f"{root.rstrip('/')}/{FOLDER}/{version:012d}/batches")
 
 
 def _same(one: DataFrame, two: DataFrame, shards: DataFrame) -> bool:
@@ -140,7 +145,12 @@ def _same(one: DataFrame, two: DataFrame, shards: DataFrame) -> bool:
 
 
 def replace_shards(
-    spark: SparkSession, root: str, rows: DataFrame, touched: DataFrame, write: Callable[[DataFrame, str], None]
+    spark: SparkSession,
+    root: str,
+    rows: DataFrame,
+    touched: DataFrame,
+    write: Callable[[DataFrame, str], None],
+    batch: str | None = None,
 ) -> int:
     """Publish ``rows`` as the new content of the shards in ``touched`` (shard); returns the new version.
 
@@ -148,10 +158,17 @@ def replace_shards(
     shard without rows becomes a tombstone; shards of ``rows`` that are new are
     added. Others stay as they are. If another change came first, this one
     follows it unless both replace a shard (Conflict). A run that dies leaves the
-    former version in force, and may be repeated.
+    former version in force, and may be repeated. A change with a ``batch`` name
+    takes place once: if the folder holds it already, nothing is done.
     """
     root = root.rstrip("/")
     base = (versions(spark, root) or [0])[-1]
+
+    def held(version: int) -> bool:
+        return batch is not None and not batches(spark, root, version).where(F.col("batch") == batch).isEmpty()
+
+    if held(base):
+        return base
     before = materialize(shards_at(spark, root, base), "before")
     folder = f"{root}/{DATA}/{uuid.uuid4().hex}"
     write(rows, folder)
@@ -166,8 +183,13 @@ def replace_shards(
         current = before if newest == base else shards_at(spark, root, newest)
         if newest != base and not _same(before, current, shards):
             raise Conflict(f"version {newest} of {root} replaced the same shards")
+        if newest != base and held(newest):
+            return newest
         kept = current.join(shards, "shard", "left_anti")
-        if _publish(spark, root, kept.unionByName(fresh).unionByName(gone), newest + 1):
+        names = batches(spark, root, newest)
+        if batch is not None:
+            names = names.union(spark.createDataFrame([(batch, newest + 1)], BATCHES))
+        if _publish(spark, root, kept.unionByName(fresh).unionByName(gone), newest + 1, names):
             return newest + 1
     raise Conflict(f"{root} changes faster than this change can follow")
 
@@ -176,7 +198,7 @@ def restore(spark: SparkSession, root: str, version: int) -> int:
     """Make an earlier version the newest again, as long as ``vacuum`` has left its files."""
     root = root.rstrip("/")
     newest = (versions(spark, root) or [0])[-1]
-    if not _publish(spark, root, shards_at(spark, root, version), newest + 1):
+    if not _publish(spark, root, shards_at(spark, root, version), newest + 1, batches(spark, root, version)):
         raise Conflict(f"{root} has changed")
     return newest + 1
 
