@@ -1,7 +1,8 @@
 """Token ids in files of patched frame-of-reference blocks.
 
 A file holds consecutive documents: blocks of 4,096 ids, then an index of block
-starts, then doc_id and id count of every document. A block keeps its minimum,
+starts, then doc_id and id count of every document and a bit that is set if it
+has a doc_id. A block keeps its minimum,
 the differences to it packed at the width that ``PERCENTILE`` of them need, and
 the wider ones as exceptions (position, difference). Differences are packed in
 64 lanes of 64, so one vector operation handles a row of every block at once.
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quillsieve.llm import arrow
@@ -98,7 +100,9 @@ def filesystem(uri: str):
     """The file system of a shared folder and the path in it."""
     import pyarrow.fs as pafs
 
-    return pafs.FileSystem.from_uri(uri)
+    # Hadoop's names of a store's connector; Arrow knows the store by one name.
+    scheme, mark, rest = uri.partition("://")
+    return pafs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest)
 
 
 class FileWriter:
@@ -109,11 +113,13 @@ class FileWriter:
         self.rest = np.zeros(0, np.uint32)
         self.starts: list[int] = []
         self.docs: list[np.ndarray] = []
+        self.known: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.ids = 0
 
-    def add(self, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-        self.docs.append(doc_ids)
+    def add(self, doc_ids: pa.Array, counts: np.ndarray, ids: np.ndarray) -> None:
+        self.docs.append(pc.fill_null(doc_ids, 0).to_numpy(zero_copy_only=False))
+        self.known.append(pc.is_valid(doc_ids).to_numpy(zero_copy_only=False))
         self.counts.append(counts)
         self.ids += len(ids)
         ids = np.concatenate([self.rest, ids])
@@ -133,6 +139,7 @@ class FileWriter:
         docs, counts = np.concatenate(self.docs), np.concatenate(self.counts)
         for column in (np.array(self.starts, "<i8"), docs.astype("<i8"), counts.astype("<i8")):
             self.stream.write(column.tobytes())
+        self.stream.write(np.packbits(np.concatenate(self.known)).tobytes())
         self.stream.write(struct.pack(FOOT, len(self.starts), len(docs), self.ids))
 
 
@@ -141,8 +148,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, *, end_id: int = 1) -> Da
 
     Returns the stored list of files: file, part (their order), n_docs, n_ids.
     Texts are shuffled once, by range of doc_id. Null texts have only the end
-    id; rows with equal doc_id follow each other in order of their text. doc_id
-    must not be null. A repeated task writes a new file, and the list names
+    id; rows with equal doc_id follow each other in order of their text, those
+    without one come first. A repeated task writes a new file, and the list names
     the file of the attempt that succeeded.
     """
     schema = pa.schema([("file", pa.string()), ("part", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
@@ -160,7 +167,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, *, end_id: int = 1) -> Da
                 writer = FileWriter(fs.open_output_stream(f"{root}/{name}"))
             ids, counts = tokenizer(path).encode(piece.column("text"))
             ids = np.insert(ids, np.cumsum(counts), end_id)
-            writer.add(piece.column("doc_id").to_numpy(zero_copy_only=False), counts + 1, ids)
+            writer.add(piece.column("doc_id"), counts + 1, ids)
         if writer is not None:
             writer.close()
             writer.stream.close()
@@ -189,8 +196,10 @@ def read_ids(files: DataFrame) -> DataFrame:
     def documents(file, base: int) -> Iterator[pa.RecordBatch]:
         size = file.size()
         blocks, docs, _ = struct.unpack(FOOT, file.read_at(FOOT_BYTES, size - FOOT_BYTES))
-        tail = file.read_at(8 * (blocks + 2 * docs), size - FOOT_BYTES - 8 * (blocks + 2 * docs))
-        numbers = np.frombuffer(tail, "<i8")
+        bits = -(-docs // 8)
+        tail = file.read_at(8 * (blocks + 2 * docs) + bits, size - FOOT_BYTES - 8 * (blocks + 2 * docs) - bits)
+        numbers = np.frombuffer(tail, "<i8", blocks + 2 * docs)
+        missing = np.unpackbits(np.frombuffer(tail, np.uint8, bits, len(tail) - bits), count=docs) == 0
         starts, doc_ids, counts = numbers[:blocks], numbers[blocks : blocks + docs], numbers[blocks + docs :]
         edges = np.append(starts, size - FOOT_BYTES - len(tail))
         ends = np.cumsum(counts)
@@ -204,7 +213,7 @@ def read_ids(files: DataFrame) -> DataFrame:
                 used = int(ends[ready - 1]) - seen
                 own = counts[done:ready]
                 yield arrow.batch(
-                    schema, doc_ids[done:ready], base + ends[done:ready] - own, own,
+                    schema, pa.array(doc_ids[done:ready], mask=missing[done:ready]), base + ends[done:ready] - own, own,
                     arrow.binaries(rest[:used].astype("<u4"), np.cumsum(own)),
                 )
                 rest, seen, done = rest[used:], seen + used, ready

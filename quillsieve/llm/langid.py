@@ -75,7 +75,7 @@ class Parser:
         self.languages = sorted(samples)
         frequent: dict[str, int] = {}
         for text in samples.values():
-            for letter in text:
+            for letter in text.lower():
                 if letter.isalpha():
                     frequent[letter] = frequent.get(letter, 0) + 1
         self.codes = np.zeros(0x110000, np.uint8)
@@ -160,21 +160,26 @@ def parser(samples: dict[str, str]) -> Parser:
 def learn(docs: DataFrame, *, sample_chars: int = SAMPLE_CHARS, document_chars: int = DOCUMENT_CHARS) -> dict[str, str]:
     """Sample text of every language, from rows outside the held-out fold with a label (doc_id, text, lang).
 
-    Of each language about twice as many documents as needed are chosen by a hash
-    of doc_id, and the first ``document_chars`` characters of each are used until
-    ``sample_chars`` are reached.
+    Documents are chosen by a hash of doc_id and text, so rows that share an id
+    or have none are chosen one by one, and equal rows once. Of each about
+    ``document_chars`` characters from a hashed place are used; of a language
+    about twice as many as needed are read, until ``sample_chars`` are reached.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    place = F.xxhash64("doc_id", F.lit(7)).bitwiseAND(F.lit((1 << 40) - 1))
-    piece = F.substring("text", 1, document_chars)
-    volumes = known.groupBy("lang").agg(F.sum(F.length(piece)).alias("chars"))
-    # One row for each language: at most twice the sample is read, whatever the size of the input.
-    limits = volumes.select("lang", (F.lit(2.0) * sample_chars / F.col("chars") * (1 << 40)).alias("limit"))
+    place = F.xxhash64("doc_id", "text", F.lit(7)).bitwiseAND(F.lit((1 << 40) - 1))
+    begin = F.pmod(F.xxhash64("text", F.lit(8)), F.greatest(F.length("text") - document_chars + 1, F.lit(1)))
+    piece = F.substring(F.col("text"), (begin + 1).cast("int"), F.lit(document_chars))
+    known = known.select("lang", place.alias("place"), F.length("text").alias("chars"), piece.alias("piece"))
+    # Equal rows are combined before the shuffle of these narrow rows.
+    each = known.groupBy("lang", "place").agg(F.least(F.max("chars"), F.lit(document_chars)).alias("chars"))
+    volumes = each.groupBy("lang").agg(F.sum("chars").alias("chars"))
+    # One row for each language: about twice the sample is read, whatever the size of the input.
+    limits = volumes.where("chars > 0").select("lang", (F.lit(2.0) * sample_chars / F.col("chars") * (1 << 40)).alias("limit"))
     limits = {r["lang"]: r["limit"] for r in limits.collect()}
     if not limits:
         return {}
     limit = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair])
-    drawn = known.where(place < limit[F.col("lang")]).select("lang", place.alias("place"), piece.alias("piece"))
+    drawn = known.where(F.col("place") < limit[F.col("lang")]).groupBy("lang", "place").agg(F.min("piece").alias("piece"))
     samples: dict[str, list[str]] = {}
     for row in sorted(drawn.collect(), key=lambda r: (r["lang"], r["place"], r["piece"])):
         samples.setdefault(row["lang"], []).append(row["piece"])

@@ -77,6 +77,22 @@ def test_only_other_folds_are_learned_from(spark):
     assert "open" in sample and "held" not in sample
 
 
+def test_every_language_is_learned(spark):
+    """Rows without id, rows with one id, and one text under many ids; late parts of long texts count as well."""
+    english = [(None, f"the house number {n} stands near the old tree and the river " * 20, "en") for n in range(400)]
+    spanish = [(7, f"la casa número {n} está cerca del árbol viejo y del río " * 20, "es") for n in range(400)]
+    french = [(n, "une maison près du vieil arbre et de la rivière " * 30, "fr") for n in range(400)]
+    late = [(n, "a" * 40_000 + " zzyzx" * 7_000, "xx") for n in range(40)]
+    df = spark.createDataFrame(english + spanish + french + late, "doc_id bigint, text string, lang string").repartition(4)
+    samples = langid.learn(df)
+    assert set(samples) == {"en", "es", "fr", "xx"} and all(samples.values())
+    assert "zzyzx" in samples["xx"]
+    assert all(len(t) <= langid.SAMPLE_CHARS for t in samples.values())
+    assert len({t for t in samples["en"].split("\n")}) > 20
+    found = langid.identify(df.limit(400).union(df.where("lang = 'fr'").limit(3)).select("doc_id", "text"), samples)
+    assert found.where("lang_pred = 'und'").count() == 0
+
+
 def test_quality_table(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in queries.table(spark, sf_dir, "labels").collect()}

@@ -124,6 +124,19 @@ def test_id_files_edges(spark):
     assert idfiles.roundtrip(df.limit(0), path).collect() == []
 
 
+def test_id_files_keep_every_doc_id(spark):
+    """Missing ids come back missing and come first; ids beyond 2**53 keep all digits."""
+    path = vocabulary("word_bpe_49k.json")
+    big = [2**53 + 1, -(2**63), 2**63 - 1, 0]
+    rows = [(d, f"text {n}") for n, d in enumerate(big)] + [(None, "no id"), (None, None), (None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(idfiles.roundtrip(df, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 3 + sorted(big)
+    ids = PieceTokenizer(path).raw([t or "" for _, t in rows])
+    want = sorted(((d is not None, d or 0), crc([*x, 1])) for (d, _), x in zip(rows, ids))
+    assert sorted(((r.doc_id is not None, r.doc_id or 0), zlib.crc32(bytes(r.ids))) for r in got) == want
+
+
 @pytest.mark.parametrize("block,run", [(1, 2), (3, 2), (7, 4096), (1000, 4096)])
 def test_separator_scan(spark, block, run):
     r = np.random.default_rng(block)
