@@ -19,12 +19,12 @@ from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplat
 from quillsieve.operators import audit, dialogues, filters, packing, selection, stats, termindex  # noqa: E402
 from quillsieve.plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live  # noqa: E402
 from quillsieve.plans.build import Source, append_corpus, build_corpus, resumable_corpus  # noqa: E402
-from quillsieve.plans.dialogues import accepted, request_table, screen_replies  # noqa: E402
+from quillsieve.plans.dialogues import accepted, pending_requests, request_table, screen_replies  # noqa: E402
 from quillsieve.plans.report import report_json  # noqa: E402
 from quillsieve.runtime import materialize, run_dir, spread  # noqa: E402
 from quillsieve.sources import documents as raw, ledger, manifest, shards  # noqa: E402
 from quillsieve.sources.stagestore import StageStore  # noqa: E402
-from quillsieve.streaming import audit_stream, frames  # noqa: E402
+from quillsieve.streaming import audit_stream, frames, quota_stream as quota, verdict_stream as verdict  # noqa: E402
 
 # Neutral stand-ins for a caller's term and phrase lists.
 TERMS = TermList.of(
@@ -614,6 +614,52 @@ def accepted_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted(dialogue_status(spark, sf_dir), "conv_id", 20).select("conv_id")
 
 
+def quota_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies in files of their own, read in one batch for each two, up to 20 accepted; a second run adds nothing."""
+    base = run_dir(spark, "quota")
+    judged = verdicts(spark, sf_dir, "conv_id")
+    replies(spark, sf_dir).join(judged, "conv_id", "left").repartition(6).write.parquet(f"{base}/replies")
+    source = spark.readStream.schema("conv_id bigint, reply string, verdict string").option("maxFilesPerTrigger", 2)
+
+    def good(batch: DataFrame) -> DataFrame:
+        return dialogues.dialogue_status(batch, TERMS).where("status = 'ok'")
+
+    for _ in range(2):
+        quota.accept_stream(source.parquet(f"{base}/replies"), good, f"{base}/out", f"{base}/checkpoint", 20, "conv_id", "conv_id bigint, status string")
+    kept = quota.accepted_so_far(spark, f"{base}/out", "conv_id bigint, status string")
+    return kept.agg(F.count(F.lit(1)).alias("accepted"), F.countDistinct("conv_id").alias("dialogues"), F.count_if(F.col("status") != "ok").alias("bad"))
+
+
+def grid_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks still to send when the first variation of every topic of a valid conversation is finished."""
+    valid = dialogues.valid_conversations(table(spark, sf_dir, "conversations")).where("is_valid").select("conv_id")
+    listed = topics(spark, sf_dir)
+    opened = listed.withColumn("conv_id", F.substring_index("topic_id", "-", 1).cast("bigint")).join(valid, "conv_id", "left_semi")
+    finished = opened.select(F.concat_ws(":", "topic_id", F.lit(1)).alias("task_id"))
+    return pending_requests(listed, finished).select("task_id", "pos")
+
+
+def verdict_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents a second apart and verdicts 0 to 12 minutes later, of which the gate waits for ten."""
+    base = run_dir(spark, "verdicts")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id"))
+    clock = spark.createDataFrame([(None, 4_000_000_000)], "doc_id bigint, s bigint").select("doc_id", F.timestamp_seconds("s").alias("time"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", at.alias("time"))
+    docs.union(clock).write.parquet(f"{base}/docs")
+    delayed = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id") + 60 * (F.col("doc_id") % 13))
+    judged = verdicts(spark, sf_dir).select("doc_id", delayed.alias("time"), "verdict")
+    judged.union(clock.withColumn("verdict", F.lit(None).cast("string"))).write.parquet(f"{base}/judged")
+    gated = verdict.gate_stream(
+        spark.readStream.schema("doc_id bigint, time timestamp").parquet(f"{base}/docs"),
+        spark.readStream.schema("doc_id bigint, time timestamp, verdict string").parquet(f"{base}/judged"),
+        "doc_id",
+    )
+    verdict.run_gate(gated, f"{base}/out", f"{base}/checkpoint")
+    decided = verdict.decisions(spark, f"{base}/out", "doc_id bigint, time timestamp").select("doc_id", "is_safe")
+    late = verdict.late_verdicts(spark, f"{base}/out").select(F.col("late_key").alias("doc_id"), F.lit(True).alias("came_late"))
+    return decided.join(late, "doc_id", "left").fillna(False, ["came_late"])
+
+
 def dialogue_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogues.status_funnel(screened(spark, sf_dir))
 
@@ -692,7 +738,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         train_val_split, sample_preview, corpus_build, corpus_build_resumed, corpus_append, shard_stats, corpus_totals,
         token_estimate, length_histogram, dialogue_valid, dialogue_blocklist, dialogue_text,
         dialogue_extract, dialogue_status, dialogue_funnel, topic_grid, grid_resume,
-        sse_reassemble, sse_stream, accepted_target,
+        sse_reassemble, sse_stream, accepted_target, quota_stream, grid_pending, verdict_stream,
     ]
     named = {query.__name__: query for query in listed}
     named["strip_boilerplate"] = strip_boilerplate_query
@@ -1027,6 +1073,16 @@ def library_sql() -> dict[str, str]:
                      FROM conversations, range(1, 51) r(v) WHERE role = 'user'),
             placed AS (SELECT task_id, row_number() OVER (ORDER BY md5('42:' || task_id)) - 1 AS pos FROM grid)
             SELECT task_id, pos FROM placed WHERE pos >= (SELECT e FROM finished) AND pos < 5000""",
+        "grid_pending": f"""WITH valid AS ({valid}),
+            grid AS (SELECT conv_id || '-' || turn || ':' || v AS task_id, v = 1 AND is_valid AS finished
+                     FROM conversations JOIN valid USING (conv_id), range(1, 51) r(v) WHERE role = 'user'),
+            placed AS (SELECT task_id, row_number() OVER (ORDER BY md5('42:' || task_id)) - 1 AS pos FROM grid WHERE NOT finished)
+            SELECT task_id, pos FROM placed WHERE pos < 5000 - (SELECT count(*) FROM grid WHERE finished)""",
+        "quota_stream": f"""WITH {REPLIES_SQL} SELECT least(20, count(*)) AS accepted, least(20, count(*)) AS dialogues, CAST(0 AS BIGINT) AS bad
+            FROM judged WHERE status = 'ok'""",
+        "verdict_stream": """SELECT doc_id, coalesce(toxic = 0, false) AND doc_id % 13 <= 10 AS is_safe,
+              labels.quality IS NOT NULL AND doc_id % 13 > 10 AS came_late
+            FROM documents LEFT JOIN labels USING (doc_id)""",
         "sse_reassemble": "SELECT conv_id || ':' || turn AS stream_id, text FROM conversations",
         "sse_stream": "SELECT conv_id || ':' || turn AS stream_id, text FROM conversations",
     }

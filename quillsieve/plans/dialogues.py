@@ -30,6 +30,24 @@ def request_table(
     return window_of(grid, "task_id", existing, target, seed)
 
 
+def pending_requests(
+    topics: DataFrame,
+    finished: DataFrame,
+    target: int = TARGET_DIALOGUES,
+    variations: int = VARIATIONS,
+    seed: int = SHUFFLE_SEED,
+) -> DataFrame:
+    """Prompts still to send for ``target`` dialogues: tasks that ``finished`` (task_id) doesn't list, in seeded order.
+
+    Unlike request_table, which skips a count, this sends failed tasks again and
+    finished ones never, in whatever order they came. ``pos`` numbers what is sent.
+    """
+    grid = topic_grid(topics, variations).withColumn("task_id", F.concat_ws(":", "topic_id", "variation"))
+    done = finished.select("task_id").distinct()
+    missing = max(0, target - done.count())
+    return window_of(grid.join(done, "task_id", "left_anti"), "task_id", 0, missing, seed)
+
+
 def screen_replies(replies: DataFrame, verdicts: DataFrame, terms: TermList, key: str = "task_id") -> DataFrame:
     """``replies`` (key, reply) with ``messages`` and ``status``; a missing verdict rejects."""
     joined = replies.join(verdicts.select(key, "verdict"), key, "left")
