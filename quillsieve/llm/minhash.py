@@ -100,11 +100,11 @@ def estimate(above: np.ndarray, below: np.ndarray, equal: np.ndarray, left: np.n
 
 
 def sketch_documents(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, content (see _content), n_shingles, and for non-empty sets d1, d2 (digest of the set), registers, bands."""
+    """doc_id, content (see _content), n_shingles, and for non-empty sets d1, d2 (digest of the set), registers."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()), ("content", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-            ("registers", pa.binary()), ("bands", pa.list_(pa.int64())),
+            ("registers", pa.binary()),
         ]
     )
 
@@ -114,21 +114,18 @@ def sketch_documents(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             full = counts > 0
             digests = np.zeros((2, len(counts)), np.int64)
             registers = np.zeros((len(counts), REGISTERS), np.uint16)
-            bands = np.zeros((len(counts), REGISTERS // ROWS), np.int64)
             if full.any():
                 heads = (np.cumsum(counts) - counts)[full]
                 digests[0, full] = np.add.reduceat(mix(flat), heads).view(np.int64)
                 digests[1, full] = np.add.reduceat(mix(flat ^ np.uint64(0x5851F42D4C957F2D)), heads).view(np.int64)
                 registers[full] = sketches(flat, counts[full])
-                bands[full] = band_keys(registers[full])
             ends = np.cumsum(np.full(len(counts), REGISTERS))
-            places = pa.array(np.arange(0, bands.size + 1, bands.shape[1]), pa.int32())
             yield arrow.batch(
                 schema, part.column("doc_id"), part.column("content"), counts, digests[0], digests[1],
-                arrow.binaries(registers.reshape(-1), ends), pa.ListArray.from_arrays(places, bands.reshape(-1)),
+                arrow.binaries(registers.reshape(-1), ends),
             )
 
-    kind = "doc_id bigint, content bigint, n_shingles bigint, d1 bigint, d2 bigint, registers binary, bands array<bigint>"
+    kind = "doc_id bigint, content bigint, n_shingles bigint, d1 bigint, d2 bigint, registers binary"
     return docs.select("doc_id", _content(), "text").mapInArrow(sketch, kind)
 
 
@@ -137,6 +134,22 @@ def _content() -> Column:
     return F.xxhash64("doc_id", "text").alias("content")
 
 
+def _banded(heads: DataFrame) -> DataFrame:
+    """node, n_shingles and one row for each ``band`` of every head."""
+    schema = pa.schema([("node", pa.int64()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = band_keys(np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS))
+            places = pa.array(np.arange(0, bands.size + 1, bands.shape[1]), pa.int32())
+            lists = pa.ListArray.from_arrays(places, bands.reshape(-1))
+            yield arrow.batch(schema, batch.column("node"), batch.column("n_shingles"), lists)
+
+    rows = heads.select("node", "n_shingles", "registers")
+    cuts = rows.mapInArrow(cut, "node bigint, n_shingles bigint, bands array<bigint>")
+    return cuts.select("node", "n_shingles", F.explode("bands").alias("band"))
+
+
 def _can_link(one: np.ndarray, two: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Whether registers and set sizes allow the threshold, pair by pair."""
     above, below = (one > two).sum(axis=1), (one < two).sum(axis=1)
@@ -180,13 +193,13 @@ def _near(pairs: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def _texts_of(nodes: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
-    """node and text of the heads of ``nodes`` (node, distinct)."""
+    """Stored node and text of the heads of ``nodes`` (node, distinct)."""
     wanted = nodes.join(heads.select("node", "doc_id", "content"), "node")
     found = docs.select("doc_id", _content(), "text").join(wanted, ["doc_id", "content"])
-    return found.dropDuplicates(["node"]).select("node", "text")
+    return materialize(found.dropDuplicates(["node"]).select("node", "text"), "texts")
 
 
-def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Pairs (a, b) that are linked, decided on whole sets."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -208,15 +221,13 @@ def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -
                     [batch.column(c).filter(pa.array(linked)) for c in ("a", "b")], schema=schema
                 )
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = materialize(_texts_of(nodes, heads, docs), "texts")
     return _with_sides(pairs, texts).mapInArrow(check, "a bigint, b bigint")
 
 
-def _linked(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _linked(pairs: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Stored links among ``pairs``."""
     near = materialize(_near(materialize(pairs.distinct(), "pairs"), heads), "near")
-    return materialize(_verified(near, heads, docs, width), "links")
+    return materialize(_verified(near, texts, width), "links")
 
 
 def _by_band(members: DataFrame, facts: DataFrame) -> DataFrame:
@@ -248,18 +259,18 @@ def size_class(size: Column) -> Column:
 
 
 def _partners(apart: DataFrame) -> DataFrame:
-    """node and ``partner``, the size classes of sets that it could be linked with in one of its buckets."""
+    """node and ``partners``, the size classes of sets that it could be linked with in one of its buckets."""
     sized = apart.withColumn("class", size_class(F.col("n_shingles")))
     # One entry for each size class of a bucket.
     present = materialize(sized.groupBy("band").agg(F.collect_set("class").alias("classes")), "classes")
     farthest = int(np.ceil(np.log(DENOMINATOR / NUMERATOR) / np.log(SIZE_STEP))) + 1
     fits = _by_band(sized, present).select(
-        "node", F.explode(F.filter("classes", lambda c: F.abs(c - F.col("class")) <= farthest)).alias("partner")
+        "node", F.array_sort(F.filter("classes", lambda c: F.abs(c - F.col("class")) <= farthest)).alias("classes")
     )
-    return fits.distinct()
+    return fits.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("classes"))).alias("partners"))
 
 
-def _prefixes(apart: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _prefixes(apart: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Stored shingles of the prefixes: shingle, small, large (size classes), node, component, n_shingles, place."""
     nodes = materialize(apart.select("node", "component", "n_shingles").distinct(), "nodes")
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -272,8 +283,8 @@ def _prefixes(apart: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -
                 schema, part.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
             )
 
-    sets = _texts_of(nodes.select("node"), heads, docs).mapInArrow(read, "node bigint, shingles array<bigint>")
-    each = sets.select("node", F.explode("shingles").alias("shingle")).join(nodes, "node")
+    sets = texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(read, "node bigint, shingles array<bigint>")
+    each = sets.join(nodes, "node").select("node", "component", "n_shingles", F.explode("shingles").alias("shingle"))
     each = materialize(each, "shingles")
     # Shingles of one component come first in the order; the others by their number of sets.
     common = each.groupBy("shingle").agg(
@@ -287,11 +298,14 @@ def _prefixes(apart: DataFrame, heads: DataFrame, docs: DataFrame, width: int) -
     longest = size - F.call_function("div", size * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1
     placed = placed.where(F.col("place") < longest)
     # The partner's size is at least the smallest of its class, and no less than the threshold allows.
-    least = F.greatest(
-        F.floor(F.pow(F.lit(SIZE_STEP), F.col("partner"))).cast("bigint"),
-        F.call_function("div", size * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)),
-    )
-    met = placed.join(materialize(_partners(apart), "partners"), "node").where(F.col("place") <= size - least_overlap(size, least))
+    fewest = F.call_function("div", size * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR))
+
+    def reaches(partner: Column) -> Column:
+        least = F.greatest(F.floor(F.pow(F.lit(SIZE_STEP), partner)).cast("bigint"), fewest)
+        return F.col("place") <= size - least_overlap(size, least)
+
+    met = placed.join(materialize(_partners(apart), "partners"), "node")
+    met = met.withColumn("partner", F.explode(F.filter("partners", reaches)))
     kind = size_class(size)
     return materialize(
         met.select(
@@ -339,29 +353,29 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     digest = ["d1", "d2", "n_shingles"]
     full = known.where("n_shingles > 0 and doc_id is not null")
     # The class's smallest row stands for it; stored, so that the number of a node stays its own.
-    first = full.groupBy(*digest).agg(F.min(F.struct("doc_id", "content")).alias("head"))
-    classes = materialize(
-        first.select(*digest, "head.doc_id", "head.content", F.monotonically_increasing_id().alias("node")), "classes"
-    )
-    heads = full.join(classes, [*digest, "doc_id", "content"]).dropDuplicates(["node"])
-    heads = materialize(heads.select("node", "doc_id", "content", "n_shingles", "registers", "bands"), "heads")
+    first = full.groupBy(*digest).agg(F.min(F.struct("doc_id", "content", "registers")).alias("head"))
+    heads = materialize(first.select(*digest, "head.*", F.monotonically_increasing_id().alias("node")), "heads")
 
-    banded = heads.select("node", "n_shingles", F.explode("bands").alias("band"))
+    banded = materialize(_banded(heads), "bands")
     ends = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     members = materialize(_by_band(banded, materialize(ends, "ends")), "buckets")
+    texts = _texts_of(members.select("node").distinct(), heads, own)
     pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    links = _linked(pairs, heads, own, width)
+    links = _linked(pairs, heads, texts, width)
     parts = components(links)
     apart = _open_buckets(members, parts)
     pairs = apart.where("component <> last_component").select(F.col("node").alias("a"), F.col("last").alias("b"))
-    links = links.unionByName(_linked(pairs, heads, own, width))
-    parts = components(links)
-    apart = _open_buckets(apart, parts)
+    more = _linked(pairs, heads, texts, width)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        parts = components(links)
+        apart = _open_buckets(apart, parts)
     if not apart.isEmpty():
-        pairs = _across(_prefixes(apart, heads, own, width))
-        parts = components(links.unionByName(_linked(pairs, heads, own, width)))
+        more = _linked(_across(_prefixes(apart, texts, width)), heads, texts, width)
+        if not more.isEmpty():
+            parts = components(links.unionByName(more))
 
-    grouped = classes.select(*digest, "doc_id", "node").join(parts.withColumnRenamed("id", "node"), "node", "left")
+    grouped = heads.select(*digest, "doc_id", "node").join(parts.withColumnRenamed("id", "node"), "node", "left")
     grouped = materialize(grouped.withColumn("component", F.coalesce("component", "node")), "grouped")
     least = materialize(grouped.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     named = grouped.join(least, "component").select(*digest, "component_id")
