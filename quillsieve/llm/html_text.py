@@ -16,6 +16,7 @@ import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,6 +63,9 @@ IMPLIED_ENDS = {
 }
 IMPLIED_ENDS["thead"] = IMPLIED_ENDS["tfoot"] = IMPLIED_ENDS["tbody"]
 CELL_SCOPE = frozenset(["table", "td", "th", "caption"])
+# Characters of a cell that still is set in a column, and of a table whose columns are aligned.
+CELL_WIDTH = 80
+ROW_WIDTH = 400
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -132,34 +136,58 @@ class Lines:
                     self.start()
                 self.line.append(part)
 
+    def whole(self, lines: list[str]) -> None:
+        """Finished lines, as by verbatim."""
+        if self.indent or self.mark or self.line:
+            self.verbatim("\n".join(lines))
+            return
+        self.start()
+        self.done += lines[:-1]
+        if lines[-1]:
+            self.line.append(lines[-1])
+
     def finish(self) -> list[str]:
         self.close_line()
         return self.done
 
 
 def table_lines(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (lines, columns spanned) with the columns aligned and two spaces between them."""
+    """Rows of (lines, columns spanned) with the columns aligned and two spaces between them.
+
+    A row with a cell longer than ``CELL_WIDTH`` is no line of a table: its cells
+    stand below each other as they are. In a table wider than ``ROW_WIDTH`` the
+    cells of a row are only set apart. So no line gets more than ROW_WIDTH blanks.
+    """
     widths: dict[int, int] = {}
     for row in rows:
         column = 0
         for lines, span in row:
-            if span == 1:
-                widths[column] = max(widths.get(column, 0), max(map(len, lines), default=0))
+            width = max(map(len, lines), default=0)
+            if span == 1 and width <= CELL_WIDTH:
+                widths[column] = max(widths.get(column, 0), width)
             column += span
-    out = []
+    columns = sorted(widths)
+    starts = list(accumulate((widths[c] + 2 for c in columns), initial=0))
+    aligned = starts[-1] <= ROW_WIDTH
+    out: list[str] = []
     for row in rows:
-        if len(row) == 1:  # nothing to align
-            out += [line.rstrip() for line in row[0][0]]
+        if len(row) == 1 or any(len(line) > CELL_WIDTH for lines, _ in row for line in lines):
+            for lines, _ in row:
+                out += [line.rstrip() for line in lines]
             continue
-        for n in range(max((len(lines) for lines, _ in row), default=0)):
-            line, place, column = "", 0, 0
-            for lines, span in row:
-                line = line.ljust(place) + (lines[n] if n < len(lines) else "")
-                place = sum(widths.get(c, 0) + 2 for c in range(column + span))
-                if len(line) + 2 > place:  # a spanning cell wider than its columns
-                    place = len(line) + 2
-                column += span
-            out.append(line.rstrip())
+        made: list[list[str]] = [[] for _ in range(max((len(lines) for lines, _ in row), default=0))]
+        ends = [0] * len(made)
+        column = 0
+        for lines, span in row:
+            # Only columns that hold a cell of their own take up room.
+            start = starts[bisect.bisect_left(columns, column)] if aligned else 0
+            for n, piece in enumerate(lines):
+                if piece:
+                    place = max(start, ends[n] + 2 if ends[n] else 0)
+                    made[n].append(" " * (place - ends[n]) + piece)
+                    ends[n] = place + len(piece)
+            column += span
+        out += ["".join(parts).rstrip() for parts in made]
     return out
 
 
@@ -332,7 +360,7 @@ class Page:
                 if not self.tables[-1]:
                     self.tables[-1].append([])
                 span = known.get("colspan", "1")
-                self.cells.append((len(self.stack), max(1, min(1000, int(span))) if re.fullmatch(r"\d{1,4}", span) else 1))
+                self.cells.append((len(self.stack), max(1, int(span[:4]) if len(span) < 5 else 1000) if re.fullmatch(r"[0-9]+", span) else 1))
                 self.flows.append(Lines())
             else:
                 flow.apart(1)
@@ -347,7 +375,7 @@ class Page:
             flow.apart(2)
             lines = table_lines(self.tables.pop())
             if any(lines):
-                flow.verbatim("\n".join(lines))
+                flow.whole(lines)
         if name in LISTS:
             self.counters.pop()
         elif name == "li":

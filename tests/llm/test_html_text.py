@@ -64,6 +64,44 @@ def test_long_and_deep_pages_end(part):
     assert time.time() - start < 20
 
 
+@pytest.mark.parametrize("page", [
+    "<table><tr><td>" + "long " * 20_000 + "<td>x" + "<tr><td>a<td>b" * 3_000 + "</table>",
+    "<table><tr>" + "<td colspan=1000>c" * 800 + "</table>",
+    "<table><tr>" + "<td>c" * 40_000 + "</table>",
+    "<table><tr>" + f"<td>{'w' * 79}" * 1_000 + "<tr><td colspan=999><td>x" * 3_000 + "</table>",
+    "<table><tr><td>" + "a<br>" * 20_000 + "<td>b" * 5_000 + "</table>",
+    "<table><tr><td>x<br>y" * 2_000 + "z",
+    "<table><tr><td colspan=99999999999>a<td>b" * 50,
+])
+def test_tables_stay_in_proportion(page):
+    start = time.time()
+    text = page_text(page)
+    assert time.time() - start < 10 and len(text) < 30 * len(page)
+
+
+def test_wide_cells_and_tables():
+    long = "word " * 30
+    assert page_text(f"<table><tr><td>a<td>{long}<td>c<tr><td>d<td>e<td>f</table>z") == f"a\n{long.strip()}\nc\nd  e  f\n\nz"
+    wide = "<table>" + "".join("<tr>" + "".join(f"<td>{r}{'x' * (70 if r == c % 2 else 1)}" for c in range(8)) for r in range(2)) + "</table>"
+    first, second = page_text(wide).split("\n")
+    assert first.split("  ") == [f"0{'x' * (70 if c % 2 == 0 else 1)}" for c in range(8)] and second.split("  ")[0] == "1x"
+    # A span takes the room of the columns that have cells of their own.
+    assert page_text("<table><tr><td colspan=500>a<td>b<tr><td>c<td>d</table>") == "a     b\nc  d"
+
+
+def test_whole_page():
+    page = """<html><head><title>no</title><style>.ad { display: none }</style></head><body>
+      <h1>Report</h1><p class=ad>buy</p><p>Two  words<br>and a line.
+      <ul><li>one<ol><li>first<li>second</ol><li>two</ul>
+      <table><thead><tr><th>Name<th>Value</thead><tbody><tr><td>alpha<td>1<tr><td>b<td><p>2</p><p>3</p></tbody></table>
+      <pre>  keep
+   this</pre><script>var no = 1</script><footer>End</footer></body></html>"""
+    assert page_text(page) == (
+        "Report\n\nTwo words\nand a line.\n\n- one\n  1. first\n  2. second\n- two\n\n"
+        "Name   Value\nalpha  1\nb      2\n\n       3\n\n  keep\n   this\n\nEnd"
+    )
+
+
 def test_rules_hold_at_any_depth():
     spans = "<span>" * 600
     assert page_text(spans + "a<script>var x = '<p>no';</script><style>p{}</style><div hidden>h</div>b<ul><li>c</ul>d") == "ab\n\n- c\n\nd"
