@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 
 from quillsieve.llm import decontam, queries
 
@@ -20,10 +21,11 @@ def brute(docs, items, least=13, share=0.8):
         for i, s in items:
             v = np.array(fold(s) or [b""], object)
             m = len(fold(s))
-            if m < decontam.SHORTEST:
+            if m == 0 or m < 3 and fold(t) != fold(s):
                 continue
             width = min(least, m)
-            need = width if m < least else int(np.ceil(share * width - 1e-9))
+            # Fewer than 7 words: all of them; else the share.
+            need = width if width < 7 else -(-round(share * 100) * width // 100)
             for g in range(-m + 1, n):
                 low, high = max(0, -g), min(m, n - g)
                 if high - low < width:
@@ -80,6 +82,30 @@ def test_equals_brute_force(spark):
     assert answer(decontam.contamination(df, bench, block_bytes=600)) == want
 
 
+def test_items_of_every_length(spark):
+    """Items of 1 to 40 words, copied whole or with exchanged words, between other words or alone."""
+    r = random.Random(9)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 41)]
+    docs = []
+    for n, text in items:
+        for bad in range(5):
+            words = text.split()
+            for k in r.sample(range(n), min(bad, n)):
+                words[k] = "other"
+            docs.append((100 * n + bad, " ".join(words if bad % 2 else ["before", "it", *words, "after"])))
+        docs.append((100 * n + 9, text.upper()))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = brute(docs, items)
+    found = {(d // 100, d % 100) for d, _ in want}
+    assert {(1, 9), (2, 9), (3, 0), (5, 0), (8, 1), (10, 2), (40, 2)} <= found and not {(1, 0), (5, 1), (9, 2)} & found
+    assert answer(decontam.contamination(df, bench)) == want
+    for least, share in ((13, 0.9), (8, 0.8), (20, 0.8), (6, 1.0)):
+        assert answer(decontam.contamination(df, bench, overlap=least, share=share)) == brute(docs, items, least, share)
+    with pytest.raises(ValueError):
+        decontam.contamination(df, bench, overlap=13, share=0.6)
+
+
 def test_table(spark, sf_dir):
     docs = [tuple(r) for r in queries.texts(spark, sf_dir).orderBy("doc_id").collect()]
     items = [tuple(r) for r in queries.table(spark, sf_dir, "benchmark").select("item_id", "text").collect()]
@@ -98,5 +124,5 @@ def test_edges(spark):
         "doc_id bigint, text string, item_id int",
     )
     got = sorted(tuple(r) for r in decontam.contamination(rows, bench).fillna(-1).collect())
-    assert got == [(-1, 1, 1, 0, 8, 8), (3, 1, 0, 0, 8, 8), (3, 1, 0, 0, 8, 8)]
+    assert got == [(-1, 1, 1, 0, 8, 8), (2, 1, 0, 0, 8, 7), (3, 1, 0, 0, 8, 8), (3, 1, 0, 0, 8, 8)]
     assert decontam.contamination(rows, bench.limit(0)).collect() == []
