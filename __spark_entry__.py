@@ -16,7 +16,7 @@ from quillsieve.functions.matching import has_phrase  # noqa: E402
 from quillsieve.functions.patterns import Term, TermList  # noqa: E402
 from quillsieve.functions.reporting import shard_label, shard_number  # noqa: E402
 from quillsieve.functions.textnorm import estimate_from_length, strip_boilerplate  # noqa: E402
-from quillsieve.operators import audit, dialogues, filters, packing, selection, stats, termindex  # noqa: E402
+from quillsieve.operators import audit, dialogues, filters, packing, selection, spans, stats, termindex  # noqa: E402
 from quillsieve.plans.audit import audit_corpus, live_rows, rewrite_dirty, rewrite_live  # noqa: E402
 from quillsieve.plans.build import Source, append_corpus, build_corpus, resumable_corpus  # noqa: E402
 from quillsieve.plans.dialogues import accepted, pending_requests, request_table, screen_replies  # noqa: E402
@@ -306,6 +306,11 @@ def blocklist_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termindex.blocklist_filter(docs, wide_terms(spark, sf_dir)).select("doc_id")
 
 
+def term_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.term_spans(docs, TERMS).select("doc_id", "term", "start", "end", F.lower("match").alias("match"))
+
+
 def term_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return termindex.term_hits(docs, wide_terms(spark, sf_dir)).select("doc_id", "ord", "term")
@@ -561,6 +566,14 @@ def corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stats.token_ratio(table(spark, sf_dir, "documents"))
+    return measured.select(
+        "sample_docs", "sample_chars", "sample_tokens",
+        F.round("chars_per_token", 9).alias("chars_per_token"), F.round("standard_error", 9).alias("standard_error"),
+    )
+
+
 def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     estimate = stats.token_estimate(table(spark, sf_dir, "documents"))
     return estimate.select(
@@ -731,12 +744,12 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         scan_shards, subset_scan, jsonl_roundtrip, jsonl_count, wholetext_scan, catalog_select,
         write_shards, validate_shards, all_shards_valid, resume_pending, dialogue_jsonl,
         corpus_report_json, audience_filter, min_length, empty_docs, blocklist_filter,
-        blocklist_first_term, blocklist_flagged, blocklist_wide, term_hits, phrase_filter, verdict_gate, score_gate,
+        blocklist_first_term, blocklist_flagged, blocklist_wide, term_hits, term_spans, phrase_filter, verdict_gate, score_gate,
         layered_gate, term_table, audit_summary, dirty_shards, audit_log, audit_repack,
         dirty_rewrite, manifest_live, stream_audit, source_union, epoch_mixture, token_budget, subset_totals,
         mixture_budget, tokenizer_extract, seeded_shuffle, shard_pack, pad_shards,
         train_val_split, sample_preview, corpus_build, corpus_build_resumed, corpus_append, shard_stats, corpus_totals,
-        token_estimate, length_histogram, dialogue_valid, dialogue_blocklist, dialogue_text,
+        token_estimate, token_ratio, length_histogram, dialogue_valid, dialogue_blocklist, dialogue_text,
         dialogue_extract, dialogue_status, dialogue_funnel, topic_grid, grid_resume,
         sse_reassemble, sse_stream, accepted_target, quota_stream, grid_pending, verdict_stream,
     ]
@@ -821,6 +834,12 @@ THREE_FILES = """
   UNION ALL SELECT 'benchmark.parquet', text FROM benchmark"""
 
 
+NUMBERED_FILES = """
+  SELECT 'documents.parquet' AS name, row_number() OVER () - 1 AS i, text FROM documents
+  UNION ALL SELECT 'conversations.parquet', row_number() OVER () - 1, text FROM conversations
+  UNION ALL SELECT 'benchmark.parquet', row_number() OVER () - 1, text FROM benchmark"""
+
+
 def pack_ctes(rows: str, key: str = "md5('42:' || doc_id)") -> str:
     """Greedy packing of ``rows`` (doc_id, text, what ``key`` needs) in the order of ``key``: one recursion step per shard."""
     return f"""
@@ -946,7 +965,7 @@ def library_sql() -> dict[str, str]:
         "dialogue_jsonl": f"SELECT CAST({MESSAGES_SQL} AS VARCHAR) AS value FROM conversations GROUP BY conv_id",
         "corpus_report_json": f"""WITH f AS ({THREE_FILES}),
             per AS (SELECT name, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars FROM f GROUP BY name),
-            drawn AS (SELECT text FROM f ORDER BY md5('123:' || md5(text)) LIMIT 1000),
+            drawn AS (SELECT text FROM ({NUMBERED_FILES}) ORDER BY md5('123:' || name || ':' || i) LIMIT 1000),
             r AS (SELECT CAST(sum(length(text)) AS DOUBLE)
                 / sum(len(regexp_extract_all(text, '\\w+|[^\\w\\s]'))) AS cpt FROM drawn)
             SELECT CAST(sum(docs) AS BIGINT) AS total_docs, CAST(sum(chars) AS BIGINT) AS total_chars,
@@ -969,6 +988,14 @@ def library_sql() -> dict[str, str]:
             SELECT doc_id FROM documents, list WHERE NOT regexp_matches(lower(text), p)""",
         "term_hits": f"""WITH {WIDE_TERMS_SQL}
             SELECT doc_id, CAST(ord AS BIGINT) AS ord, term FROM documents JOIN patterns ON regexp_matches(lower(text), p)""",
+        "term_spans": f"""WITH terms(term, p) AS (VALUES {", ".join(f"('{t}', '{p}')" for t, p in TERM_SQL)}),
+            found AS (SELECT doc_id, term, lower(text) AS low, regexp_extract_all({ascii_words('text')}, p) AS hits,
+              string_split_regex({ascii_words('text')}, p) AS parts FROM documents, terms),
+            numbered AS (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM found),
+            placed AS (SELECT doc_id, term, low, length(hits[k]) AS n,
+              length(array_to_string(parts[1:k], '')) + length(array_to_string(hits[1:k - 1], '')) AS start FROM numbered)
+            SELECT doc_id, term, CAST(start AS INTEGER) AS start, CAST(start + n AS INTEGER) AS "end", low[start + 1:start + n] AS match
+            FROM placed""",
         "phrase_filter": f"SELECT doc_id, text FROM documents WHERE NOT {any_phrase('text')}",
         "verdict_gate": """SELECT doc_id, coalesce(labels.toxic = 0, false) AS is_safe
             FROM documents LEFT JOIN labels USING (doc_id)""",
@@ -1051,6 +1078,14 @@ def library_sql() -> dict[str, str]:
             SELECT CAST(tc AS BIGINT) AS total_chars, CAST(sc AS BIGINT) AS sample_chars,
               CAST(st AS BIGINT) AS sample_tokens, round(CAST(sc AS DOUBLE) / st, 9) AS chars_per_token,
               CAST(trunc(tc / (CAST(sc AS DOUBLE) / st)) AS BIGINT) AS estimated_tokens FROM s, t""",
+        "token_ratio": """WITH s AS (SELECT CAST(length(text) AS DOUBLE) AS c,
+                CAST(len(regexp_extract_all(text, '\\w+|[^\\w\\s]')) AS DOUBLE) AS t
+              FROM (SELECT text FROM documents ORDER BY md5('123:' || doc_id) LIMIT 1000)),
+            r AS (SELECT sum(c) / sum(t) AS r, avg(t) AS mean FROM s)
+            SELECT count(*) AS sample_docs, CAST(sum(c) AS BIGINT) AS sample_chars, CAST(sum(t) AS BIGINT) AS sample_tokens,
+              round(any_value(r), 9) AS chars_per_token,
+              round(sqrt(sum((c - r * t) * (c - r * t)) / (count(*) * (count(*) - 1))) / any_value(mean), 9) AS standard_error
+            FROM s, r""",
         "length_histogram": histogram,
         "strip_boilerplate": f"SELECT doc_id, {unwrapped_sql(wrapped_sql('text', 'doc_id'))} AS text FROM documents",
         "dialogue_valid": valid,

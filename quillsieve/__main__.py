@@ -33,9 +33,16 @@ PAD_HELP = "write an is_pad column, so that later jobs can drop the pad copies"
 TERM_SCHEMA = "ord int, term string, category string, whole_word boolean"
 
 
+# Terms that still travel to every task as a list; more are matched through the index.
+LIST_TERMS = 5_000
+
+
 def read_terms(spark: SparkSession, path: str) -> TermList:
     """Term list as JSON lines: ord, term, category, whole_word."""
-    return TermList.from_table(spark.read.schema(TERM_SCHEMA).json(path))
+    rows = spark.read.schema(TERM_SCHEMA).json(path)
+    if rows.count() > LIST_TERMS:
+        raise ValueError(f"{path} has more than {LIST_TERMS} terms: this job takes a list, only the audit takes tables of any size")
+    return TermList.from_table(rows)
 
 
 def print_rows(rows: DataFrame) -> None:
@@ -108,7 +115,10 @@ def append(spark: SparkSession, args: argparse.Namespace) -> None:
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
     docs = live_rows(spark, args.input)
     phrases = DEFAULT_PHRASES if args.phrases else []
-    result = audit_corpus(docs, read_terms(spark, args.terms), phrases, whole_shards=True)
+    terms = spark.read.schema(TERM_SCHEMA).json(args.terms)
+    if terms.count() <= LIST_TERMS:
+        terms = TermList.from_table(terms)
+    result = audit_corpus(docs, terms, phrases, whole_shards=True)
     write_shards(result.kept, args.output, clustered=True, extra=pad_flag(args))
     result.log.write.mode("overwrite").json(f"{args.output}-log")
     result.counts.write.mode("overwrite").json(f"{args.output}-counts")

@@ -29,6 +29,9 @@ BUCKET_ROWS = 1 << 20
 MIN_DIGITS = 2
 # Blocks whose boundary maps are chained in one task.
 CHAIN_BLOCKS = 64
+# Groups in which the samples of all partitions meet first, and rows that Spark's group limit takes.
+MERGE_GROUPS = 256
+GROUP_LIMIT = 1000
 
 
 def padded_rows(rows: Column, group_rows: int = ROW_GROUP_ROWS) -> Column:
@@ -363,23 +366,29 @@ def pad_shards(
     )
 
 
+def bottom_k(df: DataFrame, k: int, *order: str) -> DataFrame:
+    """The first ``k`` rows by ``order``, in one job over any number of partitions.
+
+    Each partition keeps its first k; these meet in ``MERGE_GROUPS`` groups that
+    keep theirs, and only then in one place. Wide rows or a larger k than
+    ``GROUP_LIMIT`` (up to which Spark cuts before a shuffle): see sample_rows.
+    """
+    grouped = df.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
+    return grouped.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_group", "_rank").orderBy(*order).limit(k)
+
+
 def sample_rows(df: DataFrame, k: int, row_id: str, seed: int = SAMPLE_SEED) -> DataFrame:
-    """Seeded sample of ``min(k, n)`` rows without replacement: the k smallest keys.
+    """Seeded sample of ``min(k, n)`` rows with an id, without replacement: the k smallest keys.
 
-    Each task would send its own k candidates to the merge, so only rows below a
-    key ceiling that about 2k + 200 rows pass compete. Should fewer than k pass
-    (by chance, or as ids repeat), the ceiling is raised fourfold.
+    One pass, without a count: see bottom_k. For a large k only the keys are
+    merged, and a second pass takes the rows up to the last one.
     """
-    key = shuffle_key(F.col(row_id), seed)
-    rows = df.count()
-    share = (2 * k + 200) / max(rows, 1)
-    while True:
-        # Every digest of 32 digits is below "g".
-        ceiling = f"{int(share * 16**12):012x}" if share < 1 else "g"
-        near = df.where(key < F.lit(ceiling))
-        if share >= 1 or near.count() >= k:
-            return near.orderBy(key, row_id).limit(k)
-        share *= 4
+    keyed = df.where(F.col(row_id).isNotNull()).withColumn("_key", shuffle_key(F.col(row_id), seed))
+    if k > GROUP_LIMIT:
+        last = bottom_k(keyed.select("_key"), k, "_key").agg(F.max("_key")).first()[0]
+        return keyed.where(F.col("_key") <= F.lit(last)).orderBy("_key", row_id).limit(k).drop("_key")
+    return bottom_k(keyed, k, "_key", row_id).drop("_key")
 
 
 def sample_previews(

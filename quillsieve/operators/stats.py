@@ -74,6 +74,36 @@ def token_estimate(
     )
 
 
+def token_ratio(
+    docs: DataFrame,
+    row_id: str = "doc_id",
+    text: str = "text",
+    sample_size: int = TOKEN_SAMPLE,
+    tokens: Callable[[Column], Column] = pattern_tokens,
+) -> DataFrame:
+    """Characters per token of a seeded sample with its standard error, in one pass over the corpus.
+
+    The error is that of a ratio of sums: the spread of ``chars - ratio * tokens``
+    over the sampled documents. It is null below two documents or without tokens.
+    """
+    sampled = sample_rows(docs.select(row_id, text), sample_size, row_id)
+    each = sampled.select(F.coalesce(F.length(text), F.lit(0)).alias("c"), F.coalesce(tokens(F.col(text)), F.lit(0)).alias("t"))
+    # Sums of squares and products of whole numbers are exact.
+    whole = [F.sum(x.cast("decimal(38,0)")).alias(n) for n, x in (
+        ("c", F.col("c")), ("t", F.col("t")), ("cc", F.col("c").cast("decimal(18,0)") * F.col("c").cast("decimal(18,0)")),
+        ("ct", F.col("c").cast("decimal(18,0)") * F.col("t").cast("decimal(18,0)")), ("tt", F.col("t").cast("decimal(18,0)") * F.col("t").cast("decimal(18,0)")),
+    )]
+    sums = each.agg(F.count(F.lit(1)).alias("n"), *whole)
+    n, c, t, cc, ct, tt = (F.col(x).cast("double") for x in ("n", "c", "t", "cc", "ct", "tt"))
+    ratio = F.try_divide(c, t)
+    spread = F.try_divide(F.greatest(cc - 2 * ratio * ct + ratio * ratio * tt, F.lit(0.0)), n * (n - 1))
+    return sums.select(
+        F.col("n").alias("sample_docs"), F.coalesce("c", F.lit(0)).cast("bigint").alias("sample_chars"),
+        F.coalesce("t", F.lit(0)).cast("bigint").alias("sample_tokens"), ratio.alias("chars_per_token"),
+        F.try_divide(F.sqrt(spread), t / n).alias("standard_error"),
+    )
+
+
 def length_histogram(docs: DataFrame, bins: int = 10, text: str = "text") -> DataFrame:
     """Equal-width histogram of lengths; empty bins stay, an empty corpus has none.
 

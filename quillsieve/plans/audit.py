@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.ordering import shuffle_key
-from ..functions.matching import has_phrase
+from ..functions.matching import first_phrase, has_phrase
 from ..functions.patterns import DEFAULT_PHRASES, TermList
 from ..functions.reporting import shard_number
+from ..operators import termindex
 from ..operators.audit import audit_counts, dirty_shards, evidence, screen
 from ..operators.packing import ROW_GROUP_ROWS, pad_shards
 from ..runtime import broadcast_within, materialize
@@ -29,7 +30,7 @@ class AuditResult:
 
 def audit_corpus(
     docs: DataFrame,
-    terms: TermList,
+    terms: TermList | DataFrame,
     phrases: Iterable[str] = (),
     shard: str = "shard",
     row_id: str = "doc_id",
@@ -42,12 +43,24 @@ def audit_corpus(
     Matching costs far more than storing, so the screened rows are written once
     and counts, log and repacking read them back: counts without the texts, the
     log only the rejected rows. Pad copies of an earlier run are dropped first
-    and the survivors padded anew (``whole_shards`` as in pad_shards).
+    and the survivors padded anew (``whole_shards`` as in pad_shards). ``terms``
+    may be a table of any size (ord, term, category, whole_word); ``row_id`` must
+    then be unique.
     """
     phrases = list(phrases)
     if "is_pad" in docs.columns:
         docs = docs.where(~F.col("is_pad")).drop("is_pad", "copy")
-    screened = materialize(screen(docs, terms, phrases, text), "screened")
+    if isinstance(terms, DataFrame):
+        named = termindex.with_first_term(docs, terms, row_id, text, "_term")
+        stage = F.when(F.col("_term").isNotNull(), "blocklist").when(has_phrase(F.col(text), phrases), "phrase")
+        screened = materialize(named.withColumn("stage", stage), "screened")
+        rejected = screened.where(F.col("stage").isNotNull())
+        matched = F.coalesce("_term", first_phrase(F.col(text), phrases))
+        log = rejected.select(row_id, "stage", matched.alias("matched"))
+        screened = screened.drop("_term")
+    else:
+        screened = materialize(screen(docs, terms, phrases, text), "screened")
+        log = evidence(screened, terms, phrases, row_id, text)
     counts = audit_counts(screened.withColumn("blocked", F.col("stage").isNotNull()), shard)
     kept = screened.where(F.col("stage").isNull()).drop("stage")
     if "shuffle_key" not in kept.columns:
@@ -58,7 +71,7 @@ def audit_corpus(
             kept, shard, row_id, group_rows=group_rows, sizes=sizes, whole_shards=whole_shards
         ),
         counts=counts,
-        log=evidence(screened, terms, phrases, row_id, text),
+        log=log,
     )
 
 

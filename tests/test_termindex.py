@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.functions.patterns import Term, TermList, exact_pattern
 from quillsieve.operators import filters, termindex
+from quillsieve.plans.audit import audit_corpus
 
 KIND = "ord int, term string, category string, whole_word boolean"
 
@@ -72,6 +73,17 @@ def test_hot_grams_and_long_texts(spark, monkeypatch, salt_rows):
     assert got == sorted([(n, "passage") for n in range(60)] + [(99, "passaqe")], key=repr)
 
 
+def test_audit_with_a_table(spark):
+    """The audit gives the same rows whether the terms come as a list or as a table."""
+    rows = [(n, n % 3, t) for n, t in enumerate(["b4dword here", "clean", "torture", "BADWORD and torture", None, "worse b a d", ""] * 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, shard bigint, text string")
+    terms = spark.createDataFrame([(0, "badword", "x", False), (1, "worse", "y", True)], KIND)
+    one, two = (audit_corpus(docs, t, ["torture"], group_rows=4) for t in (TermList.from_table(terms), terms))
+    for name in ("kept", "counts", "log"):
+        assert found(getattr(one, name)) == found(getattr(two, name).select(*getattr(one, name).columns))
+    assert one.log.where("stage = 'phrase'").count() == 6
+
+
 def test_many_terms(spark):
     """More terms than a pattern could hold; nothing about them passes the driver."""
     terms = spark.range(200_000).select(
