@@ -4,9 +4,9 @@ Each document's distinct word shingles become ``REGISTERS`` registers: the
 smallest of the shingles' exponential variates, as a truncated logarithm to the
 base ``BASE``. Registers merge by maximum and agree the more often the more
 alike two sets are. Bands of ``ROWS`` registers name buckets. The members of a
-bucket are compared with its smallest one, then with its largest; the likelihood
-of the register order (above, below, equal), with the known set sizes, estimates
-the similarity, and pairs that can reach the threshold are verified on whole sets.
+bucket are compared with its first one; the likelihood of the register order
+(above, below, equal), with the known set sizes, estimates the similarity, and
+pairs that can reach the threshold are verified on whole sets.
 
 Rows with equal sets form a class (a node of the graph), and only one of them is
 compared. What is still apart within a bucket meets by an exact prefix filter:
@@ -41,7 +41,7 @@ TOP = 65534
 SLACK = 0.2
 # Set sizes of a class differ by this factor at most.
 SIZE_STEP = 1.02
-# Keys that the rows of one bucket, or the pairs of one document, are dealt to.
+# Keys that the pairs of one document are dealt to.
 SALTS = 16
 
 
@@ -194,7 +194,7 @@ def _near(pairs: DataFrame, heads: DataFrame) -> DataFrame:
 
 def _texts_of(nodes: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
     """Stored node and text of the heads of ``nodes`` (node, distinct)."""
-    wanted = nodes.join(heads.select("node", "doc_id", "content"), "node")
+    wanted = materialize(nodes.join(heads.select("node", "doc_id", "content"), "node"), "wanted")
     found = docs.select("doc_id", _content(), "text").join(wanted, ["doc_id", "content"])
     return materialize(found.dropDuplicates(["node"]).select("node", "text"), "texts")
 
@@ -230,22 +230,13 @@ def _linked(pairs: DataFrame, heads: DataFrame, texts: DataFrame, width: int) ->
     return materialize(_verified(near, texts, width), "links")
 
 
-def _by_band(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """``members`` joined with ``facts`` of their band, which go to salted keys: one bucket may hold much of a band."""
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    salted = members.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-    return salted.join(facts.withColumn("_salt", F.explode(salts)), ["band", "_salt"]).drop("_salt")
-
-
 def _open_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Stored ``members`` of buckets that hold several components, with their ``component`` and the last member's."""
-    placed = members.select("band", "node", "n_shingles", "first", "last").join(parts.withColumnRenamed("id", "node"), "node", "left")
+    """Stored ``members`` of buckets that hold several components, with their ``component``."""
+    placed = members.select("band", "node", "n_shingles").join(parts.withColumnRenamed("id", "node"), "node", "left")
     placed = materialize(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-    spread = placed.groupBy("band").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.max_by("component", "node").alias("last_component")
-    )
-    spread = materialize(spread.where("_low < _high").select("band", "last_component"), "open")
-    return materialize(_by_band(placed, spread), "apart")
+    spread = placed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    spread = materialize(spread.where("_low < _high").select("band"), "open")
+    return materialize(placed.join(spread, "band"), "apart")
 
 
 def least_overlap(one: Column, two: Column) -> Column:
@@ -264,7 +255,7 @@ def _partners(apart: DataFrame) -> DataFrame:
     # One entry for each size class of a bucket.
     present = materialize(sized.groupBy("band").agg(F.collect_set("class").alias("classes")), "classes")
     farthest = int(np.ceil(np.log(DENOMINATOR / NUMERATOR) / np.log(SIZE_STEP))) + 1
-    fits = _by_band(sized, present).select(
+    fits = sized.join(present, "band").select(
         "node", F.array_sort(F.filter("classes", lambda c: F.abs(c - F.col("class")) <= farthest)).alias("classes")
     )
     return fits.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("classes"))).alias("partners"))
@@ -357,19 +348,15 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     heads = materialize(first.select(*digest, "head.*", F.monotonically_increasing_id().alias("node")), "heads")
 
     banded = materialize(_banded(heads), "bands")
-    ends = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    members = materialize(_by_band(banded, materialize(ends, "ends")), "buckets")
+    ends = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("_last"))
+    ends = ends.where("first < _last").select("band", "first")
+    # Stored right after the join, so that a large bucket's partition can be split.
+    members = materialize(banded.join(materialize(ends, "ends"), "band"), "buckets")
     texts = _texts_of(members.select("node").distinct(), heads, own)
     pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     links = _linked(pairs, heads, texts, width)
     parts = components(links)
     apart = _open_buckets(members, parts)
-    pairs = apart.where("component <> last_component").select(F.col("node").alias("a"), F.col("last").alias("b"))
-    more = _linked(pairs, heads, texts, width)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        parts = components(links)
-        apart = _open_buckets(apart, parts)
     if not apart.isEmpty():
         more = _linked(_across(_prefixes(apart, texts, width)), heads, texts, width)
         if not more.isEmpty():
