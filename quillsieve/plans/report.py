@@ -24,7 +24,7 @@ def report_json(
     tokens: Callable[[Column], Column] = pattern_tokens,
 ) -> DataFrame:
     """One row, one JSON document. Shard texts carry no id: the sample is keyed by file and row, so copies are drawn one by one."""
-    docs = scan_shards(spark, path, glob)
+    docs = scan_shards(spark, path, glob, row_index=True)
     stats = shard_stats(docs, footer_groups(spark, path, glob))
     keyed = docs.select(F.concat_ws(":", "name", "row_index").alias("doc_id"), "text")
     return corpus_report(stats, token_estimate(keyed, tokens=tokens))

@@ -14,8 +14,8 @@ from ..operators.packing import ROW_GROUP_ROWS
 from . import manifest
 
 
-def scan_shards(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``path, name, text, file_size, row_index`` of every live shard file; unused columns are never read."""
+def scan_shards(spark: SparkSession, path: str, glob: str | None = None, row_index: bool = False) -> DataFrame:
+    """``path, name, text, file_size`` (and ``row_index`` if asked) of every live shard file; unused columns are never read."""
     rows = manifest.scan(spark, path, "text string", **({"pathGlobFilter": glob} if glob else {}))
     located = F.col("_metadata.file_path")
     return rows.select(
@@ -23,7 +23,7 @@ def scan_shards(spark: SparkSession, path: str, glob: str | None = None) -> Data
         shard_label(located).alias("name"),
         "text",
         F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.row_index").alias("row_index"),
+        *([F.col("_metadata.row_index").alias("row_index")] if row_index else []),
     )
 
 
