@@ -4,18 +4,22 @@ Each document's distinct word shingles become ``REGISTERS`` registers: the
 smallest of the shingles' exponential variates, as a truncated logarithm to the
 base ``BASE``. Registers merge by maximum and agree the more often the more
 alike two sets are. Bands of ``ROWS`` registers name buckets. The members of a
-bucket are compared with its first one; the likelihood of the register order
-(above, below, equal), with the known set sizes, estimates the similarity, and
-pairs that can reach the threshold are verified on whole sets.
+bucket are compared with its first one, the pairs that share most buckets before
+the others, which are dropped if one component holds them by then; the likelihood
+of the register order (above, below, equal), with the known set sizes, estimates
+the similarity, and pairs that can reach the threshold are verified on whole sets.
 
 Rows with equal sets form a class (a node of the graph), and only one of them is
-compared. What is still apart within a bucket meets by an exact prefix filter:
+compared. What is still apart within a bucket, its first one aside, meets by an
+exact prefix filter:
 shingles are ordered by rarity, and two sets of sizes a and b can only be linked
 if their first a - o + 1 and b - o + 1 shingles share one, where o is the overlap
 that the threshold asks for. Shingles that a single component holds come first:
 they fill places in a prefix, but no pair across components meets in them. So
 neither a large component nor a family of templated texts below the threshold is
-paired up; only sets that meet in a rare shingle and a bucket are compared.
+paired up; only sets that meet in a rare shingle and a bucket are compared. A set
+outside the largest component of a shingle first meets a few of its members there;
+only sets that are apart after some such rounds meet all of them.
 """
 
 from __future__ import annotations
@@ -41,8 +45,17 @@ TOP = 65534
 SLACK = 0.2
 # Set sizes of a class differ by this factor at most.
 SIZE_STEP = 1.02
-# Keys that the pairs of one document are dealt to.
-SALTS = 16
+# What sets of a prefix meet at: a shingle and their size classes.
+KEY = ["shingle", "small", "large"]
+# Pairs of one document that one salted key takes.
+SALT_PAIRS = 256
+# Pairs of a document that are tried first, by the buckets or prefixes they share.
+LIKELIEST = 2
+# Rounds in which sets apart meet some of the large component at a key, before all pairs that are left.
+STAR_ROUNDS = 3
+# Members of that component that a set meets in the first round; each later one has STAR_GROWTH times as many.
+STAR_HEADS = 16
+STAR_GROWTH = 4
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -160,14 +173,17 @@ def _can_link(one: np.ndarray, two: np.ndarray, left: np.ndarray, right: np.ndar
 def _with_sides(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with the columns of ``facts`` (node, ...) for either side, named ``_a`` and ``_b``.
 
-    A node in many pairs is copied to a few salted keys, so that its pairs do not meet in one task.
+    A node in many pairs is copied to salted keys, so that its pairs do not meet in one task.
     """
-    salt = {"a": F.pmod(F.xxhash64("b"), F.lit(SALTS)), "b": F.pmod(F.xxhash64("a"), F.lit(SALTS))}
     joined = pairs
-    for side in "ba":
+    for side, other in ("b", "a"), ("a", "b"):
+        counted = pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / SALT_PAIRS).cast("int").alias("_salts"))
+        salted = materialize(counted.where("_salts > 1"), "salted")
+        salts = F.coalesce("_salts", F.lit(1))
         named = facts.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in facts.columns if c != "node"))
-        used = pairs.select(side, salt[side].alias("_salt")).distinct()
-        joined = joined.withColumn("_salt", salt[side]).join(used.join(named, side), [side, "_salt"]).drop("_salt")
+        named = named.join(salted, side, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+        dealt = joined.join(salted, side, "left").withColumn("_salt", F.pmod(F.xxhash64(other), salts).cast("int")).drop("_salts")
+        joined = dealt.join(named, [side, "_salt"]).drop("_salt")
     return joined
 
 
@@ -192,11 +208,13 @@ def _near(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     return sided.mapInArrow(judge, "a bigint, b bigint")
 
 
-def _texts_of(nodes: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
-    """Stored node and text of the heads of ``nodes`` (node, distinct)."""
-    wanted = materialize(nodes.join(heads.select("node", "doc_id", "content"), "node"), "wanted")
-    found = docs.select("doc_id", _content(), "text").join(wanted, ["doc_id", "content"])
-    return materialize(found.dropDuplicates(["node"]).select("node", "text"), "texts")
+def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """Stored node and text of ``wanted`` (stored; node, doc_id, content)."""
+    places = wanted.select("node", "doc_id", "content")
+    found = docs.select("doc_id", _content(), "text").join(places, ["doc_id", "content"])
+    found = materialize(found.select("node", "text"), "texts")
+    # Only copies of a row with its doc_id are found more than once.
+    return found if found.count() == places.count() else materialize(found.dropDuplicates(["node"]), "texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -225,15 +243,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Stored links among ``pairs``."""
-    near = materialize(_near(materialize(pairs.distinct(), "pairs"), heads), "near")
+    """Stored links among ``pairs`` (stored, distinct)."""
+    near = materialize(_near(pairs.select("a", "b"), heads), "near")
     return materialize(_verified(near, texts, width), "links")
 
 
+def _placed(rows: DataFrame, parts: DataFrame, node: str = "node", component: str = "component") -> DataFrame:
+    """``rows`` with the component of ``node``; one without links is its own."""
+    named = parts.select(F.col("id").alias(node), F.col("component").alias(component))
+    return rows.join(named, node, "left").withColumn(component, F.coalesce(component, node))
+
+
+def _still_apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stored ``pairs`` (a, b) that no component holds."""
+    sided = _placed(_placed(pairs, parts, "a", "_one"), parts, "b", "_two")
+    return materialize(sided.where("_one <> _two").select("a", "b"), "pairs")
+
+
 def _open_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Stored ``members`` of buckets that hold several components, with their ``component``."""
-    placed = members.select("band", "node", "n_shingles").join(parts.withColumnRenamed("id", "node"), "node", "left")
-    placed = materialize(placed.withColumn("component", F.coalesce("component", "node")), "placed")
+    """Stored ``members`` of buckets that hold several components beside their first node, with their ``component``.
+
+    The first node has been compared with all others.
+    """
+    others = members.where("node <> first").select("band", "node", "n_shingles")
+    placed = materialize(_placed(others, parts), "placed")
     spread = placed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     spread = materialize(spread.where("_low < _high").select("band"), "open")
     return materialize(placed.join(spread, "band"), "apart")
@@ -307,29 +340,72 @@ def _prefixes(apart: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _across(prefixes: DataFrame) -> DataFrame:
+def _meeting(prefixes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stored ``prefixes`` at keys that hold several components, with ``main`` (the one that holds most) and its number of sets."""
+    placed = _placed(prefixes.drop("component"), parts)
+    sizes = placed.groupBy(*KEY, "component").agg(F.count(F.lit(1)).alias("n"))
+    facts = sizes.groupBy(*KEY).agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("components"))
+    facts = facts.where("components > 1").select(*KEY, F.col("top.component").alias("main"), F.col("top.n").alias("main_sets"))
+    return materialize(placed.join(materialize(facts, "keys"), KEY), "meeting")
+
+
+def _fits(x: str, y: str) -> Column:
+    """Whether sizes and places of two sets that meet allow the threshold."""
+    size_x, size_y = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    overlap = least_overlap(size_x, size_y)
+    left_over = F.least(size_x - F.col(f"{x}.place"), size_y - F.col(f"{y}.place"))
+    return (left_over >= overlap) & (F.least(size_x, size_y) >= overlap)
+
+
+def _stars(meeting: DataFrame, heads: int, seed: int) -> DataFrame:
+    """Pairs (a, b) of each set outside a key's main component with about ``heads`` of its members.
+
+    The members are dealt to slots, and the set meets those of one slot.
+    """
+    slots = F.ceil(F.col("main_sets") / heads)
+    dealt = meeting.withColumn("slot", F.pmod(F.xxhash64("node", F.lit(seed)), slots))
+    x = dealt.where("component <> main").alias("x")
+    y = dealt.where("component = main").alias("y")
+    met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in (*KEY, "slot")] + [_fits("x", "y")])
+    met = met.groupBy("x.node", "x.main", F.col("y.node").alias("head")).agg(F.count(F.lit(1)).alias("shared"))
+    ranked = Window.partitionBy("node", "main").orderBy(F.desc("shared"), "head")
+    likely = met.withColumn("nth", F.row_number().over(ranked)).where(F.col("nth") <= heads)
+    return likely.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
+def _across(meeting: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that meet in a prefix and whose sizes and places allow the threshold.
 
     At each key the sets outside the component that holds most of it meet the
     others, so that a large component is not paired with itself.
     """
-    key = ["shingle", "small", "large"]
-    sizes = prefixes.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("n"))
-    facts = sizes.groupBy(*key).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("components"))
-    facts = materialize(facts.where("components > 1").drop("components"), "keys")
-    known = materialize(prefixes.join(facts, key), "meeting")
-    left = known.where("component <> main").drop("main").alias("x")
-    right = known.drop("main").alias("y")
-    overlap = least_overlap(F.col("x.n_shingles"), F.col("y.n_shingles"))
-    left_over = F.least(F.col("x.n_shingles") - F.col("x.place"), F.col("y.n_shingles") - F.col("y.place"))
-    met = left.join(right, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key] + [
-        F.col("x.component") != F.col("y.component"),
-        left_over >= overlap,
-        F.least("x.n_shingles", "y.n_shingles") >= overlap,
+    rows = meeting.select(*KEY, "node", "component", "n_shingles", "place", "main")
+    left = rows.where("component <> main").alias("x")
+    right = rows.alias("y")
+    met = left.join(right, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in KEY] + [
+        F.col("x.component") != F.col("y.component"), _fits("x", "y"),
     ])
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def _link_apart(apart: DataFrame, links: DataFrame, parts: DataFrame, tried: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Components once all linked pairs of ``apart`` that share a bucket are linked, too."""
+    nodes = materialize(apart.select("node").distinct(), "apart-nodes")
+    heads = materialize(heads.join(nodes, "node", "left_semi"), "apart-heads")
+    texts = materialize(texts.join(nodes, "node", "left_semi"), "apart-texts")
+    prefixes = _prefixes(apart, texts, width)
+    for turn in range(STAR_ROUNDS + 1):
+        meeting = _meeting(prefixes, parts)
+        pairs = _stars(meeting, STAR_HEADS * STAR_GROWTH**turn, turn) if turn < STAR_ROUNDS else _across(meeting)
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = _linked(pairs, heads, texts, width)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            parts = components(links)
+        tried = tried.unionByName(pairs)
+    return parts
+
+
 def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -352,15 +428,22 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     ends = ends.where("first < _last").select("band", "first")
     # Stored right after the join, so that a large bucket's partition can be split.
     members = materialize(banded.join(materialize(ends, "ends"), "band"), "buckets")
-    texts = _texts_of(members.select("node").distinct(), heads, own)
-    pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    links = _linked(pairs, heads, texts, width)
+    nodes = materialize(members.select("node").distinct(), "nodes")
+    wanted = materialize(nodes.join(heads.select("node", "doc_id", "content", "n_shingles", "registers"), "node"), "wanted")
+    texts = _texts_of(wanted, own)
+    compared = wanted.select("node", "n_shingles", "registers")
+    stars = members.where("node <> first").groupBy(F.col("first").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    ranked = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
+    stars = materialize(stars.withColumn("nth", F.row_number().over(ranked)), "stars")
+    links = _linked(stars.where(F.col("nth") <= LIKELIEST), compared, texts, width)
     parts = components(links)
+    more = _linked(_still_apart(stars.where(F.col("nth") > LIKELIEST), parts), compared, texts, width)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        parts = components(links)
     apart = _open_buckets(members, parts)
     if not apart.isEmpty():
-        more = _linked(_across(_prefixes(apart, texts, width)), heads, texts, width)
-        if not more.isEmpty():
-            parts = components(links.unionByName(more))
+        parts = _link_apart(apart, links, parts, stars.select("a", "b"), compared, texts, width)
 
     grouped = heads.select(*digest, "doc_id", "node").join(parts.withColumnRenamed("id", "node"), "node", "left")
     grouped = materialize(grouped.withColumn("component", F.coalesce("component", "node")), "grouped")

@@ -132,3 +132,24 @@ def test_registers_merge_and_estimate():
     above, below = (rows[0] > rows[1]).sum(), (rows[0] < rows[1]).sum()
     got = minhash.estimate(*(np.array([x]) for x in (above, below, 128 - above - below, 2500.0, 3500.0)))
     assert abs(got[0] - 0.5) < 0.15
+
+
+def test_bucket_compared_with_its_first_is_closed(spark):
+    members = spark.createDataFrame(
+        [(1, 10, 20, 10), (1, 11, 20, 10), (2, 10, 20, 10), (2, 11, 20, 10), (2, 12, 20, 10)],
+        "band bigint, node bigint, n_shingles bigint, first bigint",
+    )
+    parts = spark.createDataFrame([], "id bigint, component bigint")
+    left = minhash._open_buckets(members, parts)
+    assert sorted((r.band, r.node, r.component) for r in left.collect()) == [(2, 11, 11), (2, 12, 12)]
+
+
+def test_set_apart_meets_some_of_a_large_component_first(spark):
+    rows = [(1, 1, 1, n, 20, 0) for n in range(1000)] + [(1, 1, 1, 5000 + n, 20, 0) for n in range(5)]
+    prefixes = spark.createDataFrame(rows, "shingle bigint, small int, large int, node bigint, n_shingles bigint, place bigint")
+    parts = spark.createDataFrame([(n, 0) for n in range(1000)], "id bigint, component bigint")
+    meeting = minhash._meeting(prefixes.selectExpr("*", "node AS component"), parts)
+    pairs = [tuple(r) for r in minhash._stars(meeting, 16, 0).collect()]
+    assert 5 <= len(pairs) <= 5 * 16 and len(set(pairs)) == len(pairs)
+    assert all(a < 1000 and b >= 5000 for a, b in pairs)
+    assert minhash._across(meeting).count() == 5 * 1000 + 10
