@@ -20,11 +20,13 @@ from .patterns import TermList, exact_pattern, phrase_pattern, scan_patterns
 # Pattern characters combined into one automaton. Measured: lists four times as
 # long overflow the engine's state cache and run hundreds of times slower.
 CHUNK_CHARS = 8_000
+# Bytes of text that are lowered and matched at a time, whatever the batches Spark sends.
+SLICE_BYTES = 2 << 20
 
 
 def _kernel(names: list[str], sure: list[str], possible: list[str], exact: list[str]):
     """Functions over a lowered Arrow array; nested, so that they ship by value."""
-    chunk = CHUNK_CHARS
+    chunk, most = CHUNK_CHARS, SLICE_BYTES
     unsure = [i for i in range(len(names)) if sure[i] != possible[i]]
 
     def scan(lowered, patterns: list[str]):
@@ -87,7 +89,20 @@ def _kernel(names: list[str], sure: list[str], possible: list[str], exact: list[
             open_ranges += [(rows[front], low, middle), (rows[~front], middle, high)]
         return pa.array(result, pa.string())
 
-    return hits, first
+    def sliced(texts, answer):
+        """``answer`` of the lowered texts, a few megabytes at a time."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        found = [answer(pc.utf8_lower(texts.slice(low, high - low))) for low, high in zip(cuts, cuts[1:])]
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(found)
+
+    return hits, first, sliced
 
 
 def _compiled(terms: TermList) -> tuple[list[str], ...]:
@@ -103,27 +118,32 @@ def _literal(phrases: Iterable[str]) -> tuple[list[str], ...]:
 
 
 def _flag(text: Column, *lists: list[str]) -> Column:
-    hits, _ = _kernel(*lists)
+    hits, _, sliced = _kernel(*lists)
     n_terms = len(lists[0])
 
     def flag(text: pa.Array) -> pa.Array:
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        return pa.array(hits(pc.utf8_lower(text), 0, n_terms))
+        return sliced(text, lambda lowered: pa.array(hits(lowered, 0, n_terms)))
 
     return F.arrow_udf(flag, "boolean")(text)
 
 
-def _name(text: Column, *lists: list[str]) -> Column:
-    _, first = _kernel(*lists)
+def _name(text: Column, *lists: list[str], once: bool = False) -> Column:
+    _, first, sliced = _kernel(*lists)
 
     def name(text: pa.Array) -> pa.Array:
-        import pyarrow.compute as pc
+        return sliced(text, first)
+
+    matching = F.arrow_udf(name, "string")
+    return (matching.asNondeterministic() if once else matching)(text)
 
-        return first(pc.utf8_lower(text))
 
-    return F.arrow_udf(name, "string")(text)
+def matcher(terms: TermList):
+    """A function that tells which texts of a lowered Arrow array contain any term, for use inside tasks."""
+    hits, _, _ = _kernel(*_compiled(terms))
+    n_terms = len(terms.terms)
+    return lambda lowered: hits(lowered, 0, n_terms)
 
 
 def blocked(text: Column, terms: TermList) -> Column:
@@ -131,9 +151,12 @@ def blocked(text: Column, terms: TermList) -> Column:
     return _flag(text, *_compiled(terms))
 
 
-def first_term(text: Column, terms: TermList) -> Column:
-    """The matching term that comes first in list order, else null."""
-    return _name(text, *_compiled(terms))
+def first_term(text: Column, terms: TermList, once: bool = False) -> Column:
+    """The matching term that comes first in list order, else null.
+
+    ``once`` keeps Spark from running it a second time, in another worker, for a filter on the result.
+    """
+    return _name(text, *_compiled(terms), once=once)
 
 
 def has_phrase(text: Column, phrases: Iterable[str]) -> Column:

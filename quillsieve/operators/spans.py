@@ -5,25 +5,35 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.matching import blocked
+from ..functions.matching import matcher
 from ..functions.patterns import Term, TermList, exact_pattern
 from ..runtime import spread
-from .termindex import fold
+from .termindex import _DROPPED, _TABLE, _WIDE_GAPS, fold, text_slices
 
 CONTEXT = 30
 
+_DROPPED_BYTES = np.zeros(256, bool)
+_DROPPED_BYTES[list(_DROPPED)] = True
 
-def _starts(lowered: str) -> tuple[str, list[int]]:
+
+def _starts(lowered: str) -> tuple[str, np.ndarray]:
     """The folded text, one character for each byte, and the place in ``lowered`` that each comes from."""
-    folded, places = [], []
-    for at, letter in enumerate(lowered):
-        data = fold(letter)
-        folded.append(data)
-        places += [at] * len(data)
-    return b"".join(folded).decode("latin-1"), places
+    data = lowered.encode("utf-8", "surrogatepass")
+    letters = np.frombuffer(data, np.uint8)
+    kept = ~_DROPPED_BYTES[letters]
+    if not lowered.isascii():
+        for gap in _WIDE_GAPS:
+            at = data.find(gap)
+            while at >= 0:
+                kept[at : at + len(gap)] = False
+                at = data.find(gap, at + len(gap))
+    places = np.cumsum((letters & 0xC0) != 0x80, dtype=np.int32) - 1
+    folded = np.frombuffer(data.translate(_TABLE), np.uint8)[kept]
+    return folded.tobytes().decode("latin-1"), places[kept]
 
 
 def term_spans(
@@ -36,8 +46,10 @@ def term_spans(
     with up to that many characters on either side, as the text has them. Texts
     that no term rejects have no rows. An automaton over the folded terms reads a
     text once and names the places where a term may start; the term's exact
-    pattern decides there.
+    pattern decides there. Texts are screened and read a few megabytes at a time,
+    in one pass of one Python worker.
     """
+    blocked = matcher(terms)
     listed = [(t.ord, t.term, t.whole_word) for t in terms.terms]
     kind = docs.select(key).schema.add("ord", "long").add("term", "string").add("start", "integer").add("end", "integer")
     kind = kind.add("match", "string").add("context", "string")
@@ -58,16 +70,18 @@ def term_spans(
         if len(automaton):
             automaton.make_automaton()
         sizes = [len(fold(term)) for _, term, _ in listed]
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             rows, found = [], []
-            lowered = pc.utf8_lower(batch.column(1)).to_pylist()
+            lowered = pc.utf8_lower(batch.column(1))
+            hits = pa.array(np.flatnonzero(blocked(lowered)))
+            batch, lowered = batch.take(hits), lowered.take(hits).to_pylist()
             for row, (own, whole) in enumerate(zip(batch.column(1).to_pylist(), lowered)):
                 places: dict[int, list[int]] = {}
                 if len(automaton):
                     short, at = _starts(whole)
                     for end, names in automaton.iter(short):
                         for n in names:
-                            places.setdefault(n, []).append(at[end - sizes[n] + 1])
+                            places.setdefault(n, []).append(int(at[end - sizes[n] + 1]))
                 spans = []
                 for n, candidates in places.items():
                     last = 0
@@ -88,5 +102,4 @@ def term_spans(
                 [key, "ord", "term", "start", "end", "match", "context"],
             )
 
-    rejected = spread(docs.select(key, text)).where(blocked(F.col(text), terms))
-    return rejected.mapInArrow(find, kind)
+    return spread(docs.select(key, text)).mapInArrow(find, kind)

@@ -98,12 +98,12 @@ def _folded_terms(terms: DataFrame) -> DataFrame:
     return plain.mapInArrow(read, kind)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], text: str | int = "text") -> Iterator[pa.RecordBatch]:
     """Batches of a few megabytes of text; a longer text is one of its own."""
     import pyarrow.compute as pc
 
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
@@ -124,7 +124,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
-        for part in _slices(batches):
+        for part in text_slices(batches):
             data, _ = _folded(part.column("text"))
             total += np.bincount(spread(grams(data, GRAM), COUNT_BITS), minlength=len(total))
         used = np.flatnonzero(total)
@@ -166,7 +166,7 @@ def _met(rows: DataFrame, keys: list[str], table: np.ndarray, sizes: list[int])
     kind = rows.select(*keys).schema.add("gram", "long")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
+        for part in text_slices(batches):
             data, starts = _folded(part.column("text"))
             row_of = np.repeat(np.arange(part.num_rows), np.diff(starts))
             found = []
@@ -224,7 +224,7 @@ def term_hits(
 
         patterns: dict[tuple[str, bool], re.Pattern] = {}
         folded_terms: dict[str, bytes] = {}
-        for part in _slices(batches):
+        for part in text_slices(batches):
             at, out = [], []
             lowered = pc.utf8_lower(part.column("text")).to_pylist()
             for n, (whole, candidates) in enumerate(zip(lowered, part.column("candidates").to_pylist())):

@@ -39,3 +39,20 @@ def test_context_and_no_terms(spark):
     listed = TermList.of([Term(5, "badword")])
     assert answer(spans.term_spans(df, listed, context=4)) == [(1, 5, "badword", 4, 11, "B4DWORD", "One B4DWORD her")]
     assert spans.term_spans(df, TermList()).collect() == []
+
+
+def test_one_worker_reads_small_slices(spark, monkeypatch):
+    listed = TermList.of([Term(1, "badword"), Term(2, "a b")])
+    df = spark.createDataFrame([(n, f"É x B4D­word {'y' * n} a b") for n in range(300)] + [(None, None)], "doc_id bigint, text string")
+    found = spans.term_spans(df, listed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and plan.count("MapInArrow") == 1
+    assert answer(found) == brute(df.collect(), listed)
+
+
+def test_places_of_folded_letters():
+    for text in ("", "é a b-c", "x  y", "日本 b4d", "- _."):
+        short, at = spans._starts(text)
+        each = [(spans.fold(c), n) for n, c in enumerate(text)]
+        assert short.encode("latin-1") == b"".join(f for f, _ in each)
+        assert at.tolist() == [n for f, n in each for _ in f]
