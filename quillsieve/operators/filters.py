@@ -81,7 +81,8 @@ def flagged(
     df: DataFrame, terms: TermList, text: str = "text", out: str = "matched_term"
 ) -> DataFrame:
     """Only the documents that match, with the term that rejected them."""
-    return with_first_term(df, terms, text, out).where(F.col(out).isNotNull())
+    named = spread(df).withColumn(out, first_term(F.col(text), terms, once=True))
+    return named.where(F.col(out).isNotNull())
 
 
 def phrase_filter(

@@ -87,3 +87,11 @@ def test_rewrite_touches_dirty_shards_only(spark):
     df = spark.createDataFrame(rows, "doc_id int, shard string, text string")
     out = rewrite_dirty(df, ["phrase"], group_rows=4).collect()
     assert {r.doc_id for r in out} == {2} and len(out) == 4
+
+
+def test_flagged_matches_once(spark):
+    listed = TermList.of([Term(1, "badword")])
+    df = spark.createDataFrame([(1, "a badword"), (2, "clean"), (3, None)], "doc_id bigint, text string")
+    found = filters.flagged(df, listed)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r.doc_id for r in found.collect()] == [1]
