@@ -74,38 +74,40 @@ def reassemble_stream(
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        following, end = 0, -1
-        parts = [pd.DataFrame({"seq": [], "token": []})]
+        following, end, waiting = 0, -1, {}
         if state.exists:
             following, end, numbers, texts = state.get
-            parts = [pd.DataFrame({"seq": numbers, "token": texts})]
+            waiting = dict(zip(numbers, texts))
         latest = 0
         if state.hasTimedOut:
             state.remove()
-            waiting = parts[0]
-            run_starts = np.flatnonzero(np.diff(waiting["seq"], prepend=-2) != 1)
+            ready = sorted(waiting)
+            starts = [n for n, seq in enumerate(ready) if n == 0 or seq != ready[n - 1] + 1]
         else:
             for pdf in batches:
-                parts.append(pdf[pdf["seq"] >= following][["seq", "token"]])
-                end = max(end, int(pdf.loc[pdf["ended"], "seq"].max() if pdf["ended"].any() else -1))
+                numbers, ended = pdf["seq"].to_numpy(), pdf["ended"].to_numpy()
+                due = np.flatnonzero(numbers >= following)
+                waiting.update(zip(numbers[due].astype(np.int64).tolist(), pdf["token"].to_numpy()[due].tolist()))
+                if ended.any():
+                    end = max(end, int(np.nanmax(numbers[ended])))
                 if event_time:
                     latest = max(latest, int(pdf["at"].max().timestamp() * 1000))
-            waiting = pd.concat(parts).drop_duplicates("seq", keep="last").sort_values("seq", ignore_index=True)
-            ready = int((waiting["seq"].to_numpy() == following + np.arange(len(waiting))).sum())
-            rest = waiting[ready:]
-            run_starts, waiting = np.arange(min(ready, 1)), waiting[:ready]
-            following += ready
-            state.update((following, end, [int(n) for n in rest["seq"]], list(rest["token"])))
+            ready, due_next = [], following
+            while due_next in waiting:
+                ready.append(due_next)
+                due_next += 1
+            starts, following = [0] if ready else [], due_next
+            rest = sorted(n for n in waiting if n >= following)
+            state.update((following, end, rest, [waiting[n] for n in rest]))
             if event_time:
                 state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1)
-        texts, numbers = waiting["token"].tolist(), waiting["seq"].tolist()
-        ends = [*run_starts[1:], len(texts)]
-        if len(run_starts):
+        if starts:
+            ends = [*starts[1:], len(ready)]
             yield pd.DataFrame(
                 {
-                    "stream_id": [key[0]] * len(run_starts),
-                    "from_seq": [int(numbers[low]) for low in run_starts],
-                    "piece": ["".join(texts[low:high]) for low, high in zip(run_starts, ends)],
+                    "stream_id": [key[0]] * len(starts),
+                    "from_seq": [ready[low] for low in starts],
+                    "piece": ["".join(waiting[n] for n in ready[low:high]) for low, high in zip(starts, ends)],
                 }
             )
 
