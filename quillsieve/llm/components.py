@@ -8,16 +8,14 @@ from quillsieve.runtime import materialize
 
 
 def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
-    """``id, component`` for every id in ``links``; component is the smallest id that can be reached.
+    """``id, component`` for every id in stored ``links``; component is the smallest id that can be reached.
 
     Each round takes the smallest label among neighbours, then the label of that
     label, so a path of n links takes about log n rounds. Labels are stored after
     every round.
     """
     pairs = links.select(F.col(first).alias("id"), F.col(second).alias("other"))
-    both = materialize(
-        pairs.unionByName(pairs.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "both-ways"
-    )
+    both = pairs.unionByName(pairs.select(F.col("other").alias("id"), F.col("id").alias("other")))
     labels = materialize(
         both.groupBy("id").agg(F.least("id", F.min("other")).alias("component")), "labels"
     )

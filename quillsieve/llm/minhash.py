@@ -4,10 +4,9 @@ Each document's distinct word shingles become ``REGISTERS`` registers: the
 smallest of the shingles' exponential variates, as a truncated logarithm to the
 base ``BASE``. Registers merge by maximum and agree the more often the more
 alike two sets are. Bands of ``ROWS`` registers name buckets. The members of a
-bucket are compared with its first one, the pairs that share most buckets before
-the others, which are dropped if one component holds them by then; the likelihood
-of the register order (above, below, equal), with the known set sizes, estimates
-the similarity, and pairs that can reach the threshold are verified on whole sets.
+bucket are compared with its first one; the likelihood of the register order (above, below,
+equal), with the known set sizes, estimates the similarity, and pairs that can
+reach the threshold are verified on whole sets.
 
 Rows with equal sets form a class (a node of the graph), and only one of them is
 compared. What is still apart within a bucket, its first one aside, meets by an
@@ -49,13 +48,11 @@ SIZE_STEP = 1.02
 KEY = ["shingle", "small", "large"]
 # Pairs of one document that one salted key takes.
 SALT_PAIRS = 256
-# Pairs of a document that are tried first, by the buckets or prefixes they share.
-LIKELIEST = 2
 # Rounds in which sets apart meet some of the large component at a key, before all pairs that are left.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 # Members of that component that a set meets in the first round; each later one has STAR_GROWTH times as many.
 STAR_HEADS = 16
-STAR_GROWTH = 4
+STAR_GROWTH = 16
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -176,9 +173,12 @@ def _with_sides(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     A node in many pairs is copied to salted keys, so that its pairs do not meet in one task.
     """
     joined = pairs
+    ends = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("end")) for c in ("a", "b"))))
+    counted = pairs.select(ends.alias("_")).select("_.*").groupBy("side", "end")
+    counted = counted.agg(F.ceil(F.count(F.lit(1)) / SALT_PAIRS).cast("int").alias("_salts"))
+    many = materialize(counted.where("_salts > 1"), "salted")
     for side, other in ("b", "a"), ("a", "b"):
-        counted = pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / SALT_PAIRS).cast("int").alias("_salts"))
-        salted = materialize(counted.where("_salts > 1"), "salted")
+        salted = many.where(F.col("side") == side).select(F.col("end").alias(side), "_salts")
         salts = F.coalesce("_salts", F.lit(1))
         named = facts.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in facts.columns if c != "node"))
         named = named.join(salted, side, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
@@ -187,42 +187,50 @@ def _with_sides(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return joined
 
 
+def _judged(batch: pa.RecordBatch) -> pa.Array:
+    """Whether the pairs share a bucket and their registers and sizes allow the threshold."""
+    one, two = (
+        np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS).astype(np.int64)
+        for c in ("registers_a", "registers_b")
+    )
+    left, right = (batch.column(c).to_numpy().astype(np.float64) for c in ("n_shingles_a", "n_shingles_b"))
+    near = _can_link(one, two, left, right)
+    return pa.array(near & (one.reshape(len(one), -1, ROWS) == two.reshape(len(two), -1, ROWS)).all(axis=2).any(axis=1))
+
+
 def _near(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """Pairs (a, b) that share a bucket and whose registers and sizes allow the threshold."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS).astype(np.int64)
-                for c in ("registers_a", "registers_b")
-            )
-            left, right = (batch.column(c).to_numpy().astype(np.float64) for c in ("n_shingles_a", "n_shingles_b"))
-            near = _can_link(one, two, left, right)
-            near &= (one.reshape(len(one), -1, ROWS) == two.reshape(len(two), -1, ROWS)).all(axis=2).any(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(near)) for c in ("a", "b")], schema=schema
-            )
+            near = _judged(batch)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(near) for c in ("a", "b")], schema=schema)
 
     sided = _with_sides(pairs, heads.select("node", "registers", "n_shingles"))
     return sided.mapInArrow(judge, "a bigint, b bigint")
 
 
 def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """Stored node and text of ``wanted`` (stored; node, doc_id, content)."""
-    places = wanted.select("node", "doc_id", "content")
-    found = docs.select("doc_id", _content(), "text").join(places, ["doc_id", "content"])
-    found = materialize(found.select("node", "text"), "texts")
+    """Stored node, n_shingles, registers and text of ``wanted`` (stored; with doc_id and content)."""
+    found = docs.select("doc_id", _content(), "text").join(wanted, ["doc_id", "content"])
+    found = materialize(found.select("node", "n_shingles", "registers", "text"), "texts")
     # Only copies of a row with its doc_id are found more than once.
-    return found if found.count() == places.count() else materialize(found.dropDuplicates(["node"]), "texts")
+    return found if found.count() == wanted.count() else materialize(found.dropDuplicates(["node"]), "texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Pairs (a, b) that are linked, decided on whole sets."""
+    """Pairs (a, b) that are linked, decided on whole sets.
+
+    Where ``texts`` has registers and sizes, too, pairs that _near would drop are dropped first.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    judged = "registers" in texts.columns
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            if judged:
+                whole = whole.filter(_judged(whole))
             for batch in arrow.slices(iter([whole]), "text_b"):
                 names = batch.column("a").to_pylist()
                 distinct = {a: n for n, a in enumerate(dict.fromkeys(names))}
@@ -242,10 +250,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return _with_sides(pairs, texts).mapInArrow(check, "a bigint, b bigint")
 
 
-def _linked(pairs: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Stored links among ``pairs`` (stored, distinct)."""
-    near = materialize(_near(pairs.select("a", "b"), heads), "near")
-    return materialize(_verified(near, texts, width), "links")
+def _linked(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Stored links among ``pairs`` (stored, distinct); texts are read for the near ones only."""
+    near = materialize(_near(pairs, texts), "near")
+    return materialize(_verified(near, texts.select("node", "text"), width), "links")
 
 
 def _placed(rows: DataFrame, parts: DataFrame, node: str = "node", component: str = "component") -> DataFrame:
@@ -254,10 +262,18 @@ def _placed(rows: DataFrame, parts: DataFrame, node: str = "node", component: st
     return rows.join(named, node, "left").withColumn(component, F.coalesce(component, node))
 
 
-def _still_apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Stored ``pairs`` (a, b) that no component holds."""
-    sided = _placed(_placed(pairs, parts, "a", "_one"), parts, "b", "_two")
-    return materialize(sided.where("_one <> _two").select("a", "b"), "pairs")
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored components ``parts`` once the stored ``links`` between them are added.
+
+    Only the graph of the components that are linked is walked, not the links within them.
+    """
+    ends = _placed(_placed(links, parts, "a", "_one"), parts, "b", "_two")
+    ends = materialize(ends.select("_one", "_two").where("_one <> _two"), "ends")
+    joined = components(ends, "_one", "_two")
+    moved = joined.select(F.col("id").alias("component"), F.col("component").alias("_to"))
+    known = parts.join(moved, "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    # Nodes that had no link so far.
+    return materialize(known.unionByName(joined.join(parts, "id", "left_anti")), "parts")
 
 
 def _open_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -294,9 +310,11 @@ def _partners(apart: DataFrame) -> DataFrame:
     return fits.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("classes"))).alias("partners"))
 
 
-def _prefixes(apart: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Stored shingles of the prefixes: shingle, small, large (size classes), node, component, n_shingles, place."""
-    nodes = materialize(apart.select("node", "component", "n_shingles").distinct(), "nodes")
+def _prefixes(apart: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Stored shingles of the prefixes: shingle, small, large (size classes), node, component, n_shingles, place.
+
+    ``nodes`` (node, component, n_shingles) has each node of ``apart`` once, ``texts`` (node, text) no other.
+    """
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +325,7 @@ def _prefixes(apart: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                 schema, part.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
             )
 
-    sets = texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(read, "node bigint, shingles array<bigint>")
+    sets = texts.select("node", "text").mapInArrow(read, "node bigint, shingles array<bigint>")
     each = sets.join(nodes, "node").select("node", "component", "n_shingles", F.explode("shingles").alias("shingle"))
     each = materialize(each, "shingles")
     # Shingles of one component come first in the order; the others by their number of sets.
@@ -388,20 +406,19 @@ def _across(meeting: DataFrame) -> DataFrame:
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _link_apart(apart: DataFrame, links: DataFrame, parts: DataFrame, tried: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _link_apart(apart: DataFrame, parts: DataFrame, tried: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Components once all linked pairs of ``apart`` that share a bucket are linked, too."""
-    nodes = materialize(apart.select("node").distinct(), "apart-nodes")
-    heads = materialize(heads.join(nodes, "node", "left_semi"), "apart-heads")
-    texts = materialize(texts.join(nodes, "node", "left_semi"), "apart-texts")
-    prefixes = _prefixes(apart, texts, width)
+    nodes = materialize(apart.select("node", "component", "n_shingles").distinct(), "apart-nodes")
+    texts = materialize(texts.join(nodes.select("node"), "node", "left_semi"), "apart-texts")
+    prefixes = _prefixes(apart, nodes, texts, width)
     for turn in range(STAR_ROUNDS + 1):
         meeting = _meeting(prefixes, parts)
         pairs = _stars(meeting, STAR_HEADS * STAR_GROWTH**turn, turn) if turn < STAR_ROUNDS else _across(meeting)
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = _linked(pairs, heads, texts, width)
+        # Sets that meet in a prefix are mostly near, so texts come along with the registers.
+        more = materialize(_verified(pairs, texts, width), "links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            parts = components(links)
+            parts = _merged(parts, more)
         tried = tried.unionByName(pairs)
     return parts
 
@@ -431,19 +448,12 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     nodes = materialize(members.select("node").distinct(), "nodes")
     wanted = materialize(nodes.join(heads.select("node", "doc_id", "content", "n_shingles", "registers"), "node"), "wanted")
     texts = _texts_of(wanted, own)
-    compared = wanted.select("node", "n_shingles", "registers")
-    stars = members.where("node <> first").groupBy(F.col("first").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    ranked = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
-    stars = materialize(stars.withColumn("nth", F.row_number().over(ranked)), "stars")
-    links = _linked(stars.where(F.col("nth") <= LIKELIEST), compared, texts, width)
-    parts = components(links)
-    more = _linked(_still_apart(stars.where(F.col("nth") > LIKELIEST), parts), compared, texts, width)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        parts = components(links)
+    stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    stars = materialize(stars.distinct(), "stars")
+    parts = components(_linked(stars, texts, width))
     apart = _open_buckets(members, parts)
     if not apart.isEmpty():
-        parts = _link_apart(apart, links, parts, stars.select("a", "b"), compared, texts, width)
+        parts = _link_apart(apart, parts, stars, texts, width)
 
     grouped = heads.select(*digest, "doc_id", "node").join(parts.withColumnRenamed("id", "node"), "node", "left")
     grouped = materialize(grouped.withColumn("component", F.coalesce("component", "node")), "grouped")

@@ -1,5 +1,6 @@
 """Near-duplicate groups against all pairs."""
 
+import importlib
 import random
 import re
 
@@ -153,3 +154,33 @@ def test_set_apart_meets_some_of_a_large_component_first(spark):
     assert 5 <= len(pairs) <= 5 * 16 and len(set(pairs)) == len(pairs)
     assert all(a < 1000 and b >= 5000 for a, b in pairs)
     assert minhash._across(meeting).count() == 5 * 1000 + 10
+
+
+def test_new_links_join_components(spark, tmp_path):
+    """Links walk the graph of the components; a node without a link so far becomes part of one."""
+    spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "id bigint, component bigint").write.parquet(f"{tmp_path}/parts")
+    spark.createDataFrame([(2, 6), (2, 5), (3, 9), (4, 7)], "a bigint, b bigint").write.parquet(f"{tmp_path}/links")
+    got = minhash._merged(spark.read.parquet(f"{tmp_path}/parts"), spark.read.parquet(f"{tmp_path}/links")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 1), (6, 1), (7, 4), (8, 3), (9, 3)]
+
+
+def test_rounds_store_few_tables(spark, monkeypatch):
+    """Each stored table costs a job at all shuffle partitions, whatever its rows: all rounds together store no more than 65."""
+    stored, plain = [], minhash.materialize
+    for module in (minhash, importlib.import_module("quillsieve.llm.components")):
+        monkeypatch.setattr(module, "materialize", lambda df, label="stage": stored.append(label) or plain(df, label))
+    r = random.Random(23)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for d in range(120):
+        words = list(base)
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    for keep in (80, 86, 90, 93, 96):
+        for d in range(len(rows), len(rows) + 25):
+            words = sorted(r.sample(range(120), keep))
+            rows.append((d, " ".join([base[k] for k in words] + [f"y{d}-{k}" for k in range(r.randint(2, 120 - keep))])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert answer(minhash.near_duplicates(df, width=1)) == brute(rows, 1)
+    assert "prefixes" in stored and len(stored) <= 65
