@@ -114,7 +114,8 @@ def count_tokens(
         F.coalesce(F.sum("ends").over(across), zero).alias("run_ordinal"),
         F.coalesce(F.max("last").over(across), zero).alias("run_start"),
     )
-    placed = found.join(carried, ["file", "run"]).select(
+    # Merged: the windows need the same exchange, and no table that grows with the files goes through the driver.
+    placed = found.hint("merge").join(carried, ["file", "run"]).select(
         "file", "n_ids", "block",
         (F.col("run_ordinal") + F.coalesce(F.sum("ends").over(within), zero)).alias("ordinal"),
         F.greatest("run_start", F.coalesce(F.max("last").over(within), zero)).alias("start"),
@@ -141,8 +142,13 @@ def count_tokens(
 
 
 def with_doc_ids(counts: DataFrame, written: DataFrame) -> DataFrame:
-    """Name the documents of files made by write_flat."""
+    """Name the documents of files made by write_flat.
+
+    Both sides have a row for each document, but come out of few rows (blocks,
+    portions) whose size Spark takes for theirs; so they are merged, not broadcast.
+    """
     names = written.select("file", "first", F.posexplode("doc_ids").alias("place", "doc_id")).select(
         "file", (F.col("first") + F.col("place")).alias("ordinal"), "doc_id"
     )
-    return counts.join(names, ["file", "ordinal"])
+    # Ordinals first: they sort faster than paths that begin alike.
+    return counts.hint("merge").join(names, ["ordinal", "file"]).select(*counts.columns, "doc_id")

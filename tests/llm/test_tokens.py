@@ -167,6 +167,23 @@ def test_token_counts_table(spark, sf_dir):
     assert {r.doc_id: r.n_tokens for r in got} == want and len(got) == len(want) and all(r.terminated for r in got)
 
 
+def test_token_counts_broadcast_nothing(spark):
+    """One block and one portion name many documents, so small tables say nothing about the sizes joined."""
+    path = vocabulary("byte_bpe_50k.json")
+    rows = [r[:2] for r in ROWS] + [(None, "no id"), (None, None), *[(n, "x" * (n % 7)) for n in range(300)]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    written = tokencounts.write_flat(df, path, run_dir(spark, "flat"), separator=50256)
+    files = written.groupBy("file").agg(F.sum("n_ids").alias("n_ids"))
+    counts = tokencounts.count_tokens(files, separator=50256, block_ids=500, run_blocks=2)
+    named = tokencounts.with_doc_ids(counts, written)
+    assert named.columns == ["file", "ordinal", "start", "n_tokens", "terminated", "doc_id"]
+    want = [(d, len(x) + 1, True) for (d, _), x in zip(rows, PieceTokenizer(path).raw([t or "" for _, t in rows]))]
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, r.n_tokens, r.terminated) for r in named.collect()), key=order) == sorted(want, key=order)
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_flat_files_refuse_what_they_cannot_hold(spark):
     path = vocabulary("byte_bpe_50k.json")
     df = spark.createDataFrame(ROWS, KIND)
