@@ -26,7 +26,7 @@ SLICE_BYTES = 2 << 20
 
 def _kernel(names: list[str], sure: list[str], possible: list[str], exact: list[str]):
     """Functions over a lowered Arrow array; nested, so that they ship by value."""
-    chunk, most = CHUNK_CHARS, SLICE_BYTES
+    chunk = CHUNK_CHARS
     unsure = [i for i in range(len(names)) if sure[i] != possible[i]]
 
     def scan(lowered, patterns: list[str]):
@@ -89,6 +89,13 @@ def _kernel(names: list[str], sure: list[str], possible: list[str], exact: list[
             open_ranges += [(rows[front], low, middle), (rows[~front], middle, high)]
         return pa.array(result, pa.string())
 
+    return hits, first
+
+
+def _slicer():
+    """A function over an Arrow array of texts; nested, so that it ships by value."""
+    most = SLICE_BYTES
+
     def sliced(texts, answer):
         """``answer`` of the lowered texts, a few megabytes at a time."""
         import numpy as np
@@ -102,7 +109,7 @@ def _kernel(names: list[str], sure: list[str], possible: list[str], exact: list[
         pa.default_memory_pool().release_unused()
         return pa.concat_arrays(found)
 
-    return hits, first, sliced
+    return sliced
 
 
 def _compiled(terms: TermList) -> tuple[list[str], ...]:
@@ -118,7 +125,7 @@ def _literal(phrases: Iterable[str]) -> tuple[list[str], ...]:
 
 
 def _flag(text: Column, *lists: list[str]) -> Column:
-    hits, _, sliced = _kernel(*lists)
+    (hits, _), sliced = _kernel(*lists), _slicer()
     n_terms = len(lists[0])
 
     def flag(text: pa.Array) -> pa.Array:
@@ -130,7 +137,7 @@ def _flag(text: Column, *lists: list[str]) -> Column:
 
 
 def _name(text: Column, *lists: list[str], once: bool = False) -> Column:
-    _, first, sliced = _kernel(*lists)
+    (_, first), sliced = _kernel(*lists), _slicer()
 
     def name(text: pa.Array) -> pa.Array:
         return sliced(text, first)
@@ -141,7 +148,7 @@ def _name(text: Column, *lists: list[str], once: bool = False) -> Column:
 
 def matcher(terms: TermList):
     """A function that tells which texts of a lowered Arrow array contain any term, for use inside tasks."""
-    hits, _, _ = _kernel(*_compiled(terms))
+    hits, _ = _kernel(*_compiled(terms))
     n_terms = len(terms.terms)
     return lambda lowered: hits(lowered, 0, n_terms)
 
